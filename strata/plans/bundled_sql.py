@@ -247,3 +247,58 @@ SELECT event_type, event_date, {_xavg('value')} AS value_avg,
        {_xext('max', 'value')} AS value_max, COUNT(*) AS n_events
 FROM good GROUP BY event_type, event_date""",
 }
+
+
+_YEAR_SLICE = "CAST(year(o_orderdate) AS VARCHAR) || '-01-01'"
+
+ORACLE_SQL.update({
+    "landing_bronze": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+       'b0001' AS batch_id, 'orders' AS _source_system, 'orders-2024-01-01' AS _batch_id,
+       '2024-01-01' AS _ingest_date
+FROM orders""",
+    "replace_slice": f"""
+WITH s AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_YEAR_SLICE} AS _ingest_date
+  FROM orders
+)
+SELECT * FROM s
+WHERE _ingest_date NOT IN ('1997-01-01', '1998-01-01')
+   OR (_ingest_date = '1997-01-01' AND o_orderstatus = 'F')""",
+    "schema_evolution": f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus,
+       CASE WHEN year(o_orderdate) > 1997 THEN o_orderpriority END AS o_orderpriority,
+       {_YEAR_SLICE} AS _ingest_date
+FROM orders""",
+    "incremental_cursor": """
+SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30 00:00:00'""",
+    "incremental_hwm": """
+SELECT max(o_orderdate) AS new_hwm FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30 00:00:00'""",
+    "incremental_window": """
+SELECT * FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-06-01' AND DATE '1998-01-01'""",
+    "paged_read": """
+WITH n AS (
+  SELECT o_orderkey, o_orderdate, o_custkey,
+         row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_ordinal
+  FROM orders
+)
+SELECT *, row_ordinal // 1000 AS page_no FROM n""",
+    "keyset_page": """
+SELECT o_orderkey, o_orderdate, o_custkey FROM orders
+WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'
+   OR (o_orderdate = TIMESTAMP '1998-01-01 00:00:00' AND o_orderkey > 0)
+ORDER BY o_orderdate, o_orderkey
+LIMIT 1000""",
+    "windows_stream": """
+WITH w AS (
+  SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, event_type, COUNT(*) AS event_count
+  FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL
+  GROUP BY 1, 2
+)
+SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, event_type, event_count
+FROM w
+WHERE window_start + INTERVAL '10 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'""",
+})

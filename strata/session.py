@@ -47,6 +47,22 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Start wide (about one shuffle partition per ``target_partition_bytes`` of
+    input, so no reducer spills) and let AQE coalesce what turns out small;
+    AQE also splits skewed partitions of joins and rebalanced writes.
+    """
+    partitions = max(200, min(100_000, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 256 << 20)),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+    }
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Lenient typing and window boundaries assume a UTC session clock."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

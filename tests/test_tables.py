@@ -42,3 +42,28 @@ def test_publish_version_flips_location(spark, scratch):
     assert first != second
     assert [r["x"] for r in spark.table(t).collect()] == [2]
     spark.sql("DROP DATABASE pubtest CASCADE")
+
+
+def test_catalog_sinks(spark, scratch):
+    from strata.sources.tables import (
+        append_run,
+        create_or_replace_as_select,
+        ensure_namespaces,
+        overwrite_table,
+    )
+
+    ensure_namespaces(spark, ["sinkdb"])
+    ensure_namespaces(spark, ["sinkdb"])  # idempotent
+    df = spark.createDataFrame([("2026-06-01", 1), ("2026-06-02", 2)], "d string, x int")
+    overwrite_table(df, "sinkdb.silver_t", partition_by=["d"], path=scratch("silver_t"))
+    overwrite_table(df.limit(1), "sinkdb.silver_t", partition_by=["d"], path=scratch("silver_t2"))
+    assert spark.table("sinkdb.silver_t").count() == 1
+    q = scratch("quarantine")
+    append_run(df, q, "run-1")
+    append_run(df, q, "run-1")  # rerun of the run replaces its rows
+    append_run(df, q, "run-2")
+    assert spark.read.parquet(q).count() == 4
+    create_or_replace_as_select(spark, "SELECT 7 AS x", "sinkdb.mart", root=scratch("mart"))
+    create_or_replace_as_select(spark, "SELECT 8 AS x", "sinkdb.mart")
+    assert [r.x for r in spark.table("sinkdb.mart").collect()] == [8]
+    spark.sql("DROP DATABASE sinkdb CASCADE")

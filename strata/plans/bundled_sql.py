@@ -5,24 +5,25 @@ same CASE expressions as ``strata.plans.bundled``.
 """
 from __future__ import annotations
 
-def _dec(col: str) -> str:
-    return f"CAST({col} AS DECIMAL(18,2))"
+def _dec(col: str, scale: int = 2) -> str:
+    return f"CAST({col} AS DECIMAL(18,{scale}))"
 
 
-def _xsum(col: str) -> str:
-    """Exact sum of a 2-decimal measure, rounded to 2 digits, as DOUBLE."""
-    return f"CAST(round(sum({_dec(col)}), 2) AS DOUBLE)"
+def _xsum(col: str, scale: int = 2) -> str:
+    """Exact sum of a decimal measure, rounded to 2 digits, as DOUBLE."""
+    return f"CAST(round(sum({_dec(col, scale)}), 2) AS DOUBLE)"
 
 
-def _xavg(col: str) -> str:
-    """Exact mean rounded HALF_UP to 2 digits: integer arithmetic on cents."""
-    cents = f"CAST(sum({_dec(col)}) * 100 AS HUGEINT)"
-    n = f"count({col})"
-    return f"(CAST(sign({cents}) * ((2 * abs({cents}) + {n}) // (2 * {n})) AS DOUBLE) / 100)"
+def _xavg(col: str, scale: int = 2) -> str:
+    """Exact mean rounded HALF_UP to 2 digits: integer arithmetic on the
+    input's smallest unit (10^-scale)."""
+    units = f"CAST(sum({_dec(col, scale)}) * {10 ** scale} AS HUGEINT)"
+    n = f"(count({col}) * {10 ** (scale - 2)})"
+    return f"(CAST(sign({units}) * ((2 * abs({units}) + {n}) // (2 * {n})) AS DOUBLE) / 100)"
 
 
-def _xext(fn: str, col: str) -> str:
-    return f"CAST(round({fn}({_dec(col)}), 2) AS DOUBLE)"
+def _xext(fn: str, col: str, scale: int = 2) -> str:
+    return f"CAST(round({fn}({_dec(col, scale)}), 2) AS DOUBLE)"
 
 
 _RAW_ORDERS = """
@@ -84,29 +85,31 @@ def _snapshot(name: str, start: str | None, end: str) -> str:
 )"""
 
 
-def _merge(name: str, target: str, updates: str) -> str:
+def _merge(name: str, target: str, updates: str, key: str = "o_custkey",
+           tracked: tuple[str, ...] = ("o_orderstatus", "o_orderpriority")) -> str:
     """One SCD2 step as SQL: history + expanded full outer join."""
+    cols = [key, *tracked]
+    t_cols = ", ".join(f"t.{c} AS t_{c}" for c in cols)
+    u_cols = ", ".join(f"u.{c} AS u_{c}" for c in cols)
+    differs = " OR ".join(f"t.{c} IS DISTINCT FROM u.{c}" for c in tracked)
+    t_sel = ", ".join(f"t_{c}" for c in cols)
+    u_sel = ", ".join(f"u_{c}" for c in cols)
     return f"""
 {name}_j AS (
-  SELECT t.o_custkey AS t_k, t.o_orderstatus AS t_st, t.o_orderpriority AS t_pr,
-         t.effective_from AS t_from,
-         u.o_custkey AS u_k, u.o_orderstatus AS u_st, u.o_orderpriority AS u_pr,
-         u.effective_from AS u_from,
-         (t.o_custkey IS NOT NULL AND u.o_custkey IS NOT NULL AND
-          (t.o_orderstatus IS DISTINCT FROM u.o_orderstatus OR
-           t.o_orderpriority IS DISTINCT FROM u.o_orderpriority)) AS changed
+  SELECT {t_cols}, t.effective_from AS t_from, {u_cols}, u.effective_from AS u_from,
+         (t.{key} IS NOT NULL AND u.{key} IS NOT NULL AND ({differs})) AS changed
   FROM (SELECT * FROM {target} WHERE is_current) t
-  FULL OUTER JOIN {updates} u ON t.o_custkey = u.o_custkey
+  FULL OUTER JOIN {updates} u ON t.{key} = u.{key}
 ),
 {name} AS (
-  SELECT o_custkey, o_orderstatus, o_orderpriority, effective_from, effective_to, is_current
+  SELECT {", ".join(cols)}, effective_from, effective_to, is_current
   FROM {target} WHERE NOT is_current
   UNION ALL
-  SELECT t_k, t_st, t_pr, t_from, CASE WHEN changed THEN u_from END, NOT changed
-  FROM {name}_j WHERE t_k IS NOT NULL
+  SELECT {t_sel}, t_from, CASE WHEN changed THEN u_from END, NOT changed
+  FROM {name}_j WHERE t_{key} IS NOT NULL
   UNION ALL
-  SELECT u_k, u_st, u_pr, u_from, CAST(NULL AS TIMESTAMP), TRUE
-  FROM {name}_j WHERE u_k IS NOT NULL AND (t_k IS NULL OR changed)
+  SELECT {u_sel}, u_from, CAST(NULL AS TIMESTAMP), TRUE
+  FROM {name}_j WHERE u_{key} IS NOT NULL AND (t_{key} IS NULL OR changed)
 )"""
 
 
@@ -302,3 +305,172 @@ SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, event_t
 FROM w
 WHERE window_start + INTERVAL '10 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'""",
 })
+
+
+# -- domain pipelines over derived feeds (strata.plans.bundled_domain) -------
+
+_DAY_L = "CAST(CAST(l_shipdate AS DATE) AS VARCHAR)"
+_PAD = "lpad(CAST({} AS VARCHAR), {}, '0')"
+
+_WEATHER_FLAT = f"""
+wli AS (
+  SELECT *,
+    CASE WHEN l_returnflag = 'R' THEN 'chicago' WHEN l_returnflag = 'A' THEN 'new_york'
+         ELSE 'seattle' END AS city,
+    'weather-' || {_DAY_L} || '-' || {_PAD.format('l_orderkey', 10)} || '-'
+      || {_PAD.format('l_partkey', 8)} || '-' || {_PAD.format('l_suppkey', 6)} || '-'
+      || CAST(l_linenumber AS VARCHAR) AS _source_file
+  FROM lineitem
+),
+wflat AS (
+  SELECT city, _source_file,
+    {_DAY_L} || 'T' || {_PAD.format('h', 2)} || ':00' AS observed_at_s,
+    CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + h * INTERVAL 1 HOUR AS observed_at,
+    CASE WHEN l_quantity > 48 THEN CAST(999.0 AS DOUBLE) ELSE l_quantity - 20 + h END AS temperature_2m,
+    round(l_tax * 1000) + h * 10 AS relative_humidity_2m,
+    CASE WHEN h < l_linenumber - 1 THEN l_discount END AS precipitation,
+    l_quantity + h AS wind_speed_10m
+  FROM (SELECT *, unnest(range(l_linenumber)) AS h FROM wli)
+),
+wsilver AS (
+  SELECT city, observed_at, _source_file,
+    CASE WHEN temperature_2m BETWEEN -60.0 AND 60.0 THEN temperature_2m END AS temperature_2m,
+    CASE WHEN relative_humidity_2m BETWEEN 0.0 AND 100.0 THEN relative_humidity_2m END AS relative_humidity_2m,
+    precipitation, wind_speed_10m,
+    'weather' AS _source_system, 'weather-2024-01-01' AS _batch_id, '2024-01-01' AS _ingest_date,
+    CAST(observed_at AS DATE) AS observed_date
+  FROM wflat
+  QUALIFY row_number() OVER (PARTITION BY city, observed_at ORDER BY _source_file DESC) = 1
+),
+wgold AS (
+  SELECT city, observed_date,
+    {_xext('min', 'temperature_2m', 4)} AS temp_min_c,
+    {_xext('max', 'temperature_2m', 4)} AS temp_max_c,
+    {_xavg('temperature_2m', 4)} AS temp_avg_c,
+    {_xsum('precipitation', 4)} AS precip_total_mm,
+    {_xavg('relative_humidity_2m', 4)} AS humidity_avg_pct,
+    {_xext('max', 'wind_speed_10m', 4)} AS wind_max_kmh,
+    COUNT(*) AS hours_observed
+  FROM wsilver GROUP BY city, observed_date
+)"""
+
+_DAY_O = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+
+_CRIMES = f"""
+cb AS (
+  SELECT
+    CASE WHEN o_orderstatus = 'O' THEN 'hy' ELSE 'HY' END || CAST(o_custkey AS VARCHAR) AS case_number,
+    CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'unknown'
+         ELSE {_DAY_O} || 'T10:00' END AS date,
+    {_DAY_O} || 'T00:00' AS updated_on,
+    ' ' || lower(o_orderpriority) AS primary_type,
+    CASE WHEN o_orderstatus = 'F' THEN 'true' WHEN o_orderstatus = 'O' THEN 'false' ELSE 'maybe' END AS arrest,
+    CASE WHEN o_totalprice > 250000 THEN 'true' ELSE 'false' END AS domestic,
+    '41.' || {_PAD.format('o_orderkey % 1000', 3)} AS latitude,
+    '-87.' || {_PAD.format('o_custkey % 1000', 3)} AS longitude,
+    {_PAD.format('o_custkey % 40', 4)} AS iucr,
+    o_orderpriority || ' / ' || o_orderstatus AS description,
+    'crimes-' || {_PAD.format('o_orderkey', 10)} AS _source_file
+  FROM orders
+),
+csilver AS (
+  SELECT upper(trim(case_number)) AS case_number, date,
+    try_cast(date AS TIMESTAMP) AS occurred_at,
+    try_cast(updated_on AS TIMESTAMP) AS updated_on,
+    upper(trim(primary_type)) AS primary_type,
+    try_cast(arrest AS BOOLEAN) AS arrest,
+    try_cast(domestic AS BOOLEAN) AS domestic,
+    CASE WHEN try_cast(latitude AS DOUBLE) BETWEEN 41.6 AND 42.1 THEN try_cast(latitude AS DOUBLE) END AS latitude,
+    CASE WHEN try_cast(longitude AS DOUBLE) BETWEEN -87.95 AND -87.5 THEN try_cast(longitude AS DOUBLE) END AS longitude,
+    iucr, description, _source_file,
+    'crimes' AS _source_system, 'crimes-2024-01-01' AS _batch_id, '2024-01-01' AS _ingest_date,
+    CAST(try_cast(date AS TIMESTAMP) AS DATE) AS occurred_date
+  FROM cb
+  WHERE case_number IS NOT NULL AND date IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY upper(trim(case_number))
+                             ORDER BY try_cast(updated_on AS TIMESTAMP) DESC NULLS LAST,
+                                      _source_file DESC) = 1
+),
+cgood AS (
+  SELECT * FROM csilver WHERE case_number IS NOT NULL AND occurred_at IS NOT NULL
+),
+cgold AS (
+  SELECT occurred_date, primary_type, COUNT(*) AS incident_count,
+    CAST(SUM(CAST(arrest AS INTEGER)) AS BIGINT) AS arrest_count,
+    CAST(SUM(CAST(domestic AS INTEGER)) AS BIGINT) AS domestic_count
+  FROM cgood GROUP BY occurred_date, primary_type
+)"""
+
+
+def _iucr_updates(name: str, cond: str, start: str) -> str:
+    return f"""
+{name} AS (
+  SELECT iucr, primary_type, description, TIMESTAMP '{start}' AS effective_from
+  FROM cgood WHERE iucr IS NOT NULL AND {cond}
+  QUALIFY row_number() OVER (PARTITION BY iucr
+                             ORDER BY updated_on DESC NULLS LAST, case_number DESC NULLS LAST) = 1
+)"""
+
+
+_IUCR = ",".join(
+    [
+        _iucr_updates("iu0", "occurred_date < DATE '1998-01-01'", "1998-01-01 00:00:00"),
+        """
+idim0 AS (
+  SELECT *, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current FROM iu0
+)""",
+        _iucr_updates("iu1", "TRUE", "2002-01-01 00:00:00"),
+        _merge("idim1", "idim0", "iu1", "iucr", ("primary_type", "description")),
+    ]
+)
+
+_CSILVER_COLS = """case_number, date, occurred_at, updated_on, primary_type, arrest, domestic,
+       latitude, longitude, iucr, description, _source_file, _source_system, _batch_id,
+       _ingest_date, occurred_date"""
+
+ORACLE_SQL.update({
+    "weather_flatten": f"""
+WITH {_WEATHER_FLAT}
+SELECT city, observed_at_s AS observed_at, temperature_2m, relative_humidity_2m,
+       precipitation, wind_speed_10m
+FROM wflat""",
+    "weather_silver": f"""
+WITH {_WEATHER_FLAT}
+SELECT * FROM wsilver""",
+    "weather_gold_daily": f"""
+WITH {_WEATHER_FLAT}
+SELECT * FROM wgold""",
+    "crimes_silver": f"""
+WITH {_CRIMES}
+SELECT {_CSILVER_COLS} FROM csilver""",
+    "crimes_quarantine": f"""
+WITH {_CRIMES}
+SELECT {_CSILVER_COLS}, 'not_null(case_number,occurred_at)' AS dq_reasons
+FROM csilver WHERE case_number IS NULL OR occurred_at IS NULL""",
+    "crimes_gold_daily": f"""
+WITH {_CRIMES}
+SELECT *, round(arrest_count / incident_count, 4) AS arrest_rate FROM cgold""",
+    "crimes_weather_mart": f"""
+WITH {_CRIMES}, {_WEATHER_FLAT}
+SELECT c.occurred_date, SUM(c.incident_count) AS incidents,
+       ANY_VALUE(w.temp_avg_c) AS temp_avg_c, ANY_VALUE(w.precip_total_mm) AS precip_total_mm
+FROM cgold c
+LEFT JOIN wgold w ON w.city = 'chicago' AND w.observed_date = c.occurred_date
+GROUP BY c.occurred_date""",
+    "iucr_dimension": f"""
+WITH {_CRIMES}, {_IUCR}
+SELECT * FROM idim1""",
+    "station_windows": """
+WITH ev AS (
+  SELECT 'S' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS station_id, event_type, ts FROM events
+),
+w AS (
+  SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, station_id, event_type,
+         COUNT(*) AS event_count
+  FROM ev GROUP BY 1, 2, 3
+)
+SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, station_id, event_type,
+       event_count
+FROM w
+WHERE window_start + INTERVAL '10 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'""",
+})

@@ -59,7 +59,15 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
     return deduped.withColumn("observed_date", event_date("observed_at"))
 
 
-def gold_daily_weather(silver: DataFrame) -> DataFrame:
+def gold_daily_weather(silver: DataFrame, exact_scale: int | None = 4) -> DataFrame:
+    """Per city and day: rounded min / max / mean temperature, total
+    precipitation, mean humidity, max wind, and the hour count.
+
+    Measures are aggregated as decimals of ``exact_scale`` digits (sensor
+    readings carry one or two), so the rounded daily numbers are the exact
+    ones and do not move with the cluster's partitioning; ``None`` keeps
+    plain double arithmetic.
+    """
     return daily_summary(
         silver,
         ["city", "observed_date"],
@@ -72,4 +80,5 @@ def gold_daily_weather(silver: DataFrame) -> DataFrame:
             "wind_max_kmh": ("max", "wind_speed_10m"),
         },
         count_alias="hours_observed",
+        exact_scale=exact_scale,
     )

@@ -26,6 +26,7 @@ from strata.plans.crimes import (
 from strata.plans.medallion import station_stream_pass
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
+from strata.sources.scan import spread
 from strata.streaming.sinks import TwoHopPaths
 
 FEED_DATE = "2024-01-01"
@@ -44,29 +45,42 @@ def _day(c: str) -> Column:
 
 # -- weather ----------------------------------------------------------------
 
+MAX_HOURS = 7  # l_linenumber runs 1..7, one payload hour per line number
+
+
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hourly payload per lineitem: ``l_linenumber`` hours of its ship
-    date; precipitation is one value short (the last hour reads NULL)."""
-    li = load(spark, sf_dir, "lineitem")
-    hours = F.sequence(F.lit(0), F.col("l_linenumber") - 1)
+    date; precipitation is one value short (the last hour reads NULL).
+
+    The arrays are built from fixed-size ``array(...)`` + ``slice`` rather
+    than ``transform`` lambdas, which would drop the projection out of
+    whole-stage codegen into interpreted evaluation."""
+    # each line becomes up to seven hourly rows: spread a scan with fewer
+    # splits than cores before multiplying it (no-op on a large table)
+    li = spread(load(spark, sf_dir, "lineitem"))
+    n, q = F.col("l_linenumber"), F.col("l_quantity")
+
+    def hourly(value, length=n) -> Column:
+        return F.slice(F.array(*[value(h) for h in range(MAX_HOURS)]), 1, length)
+
     city = (
         F.when(F.col("l_returnflag") == "R", "chicago")
         .when(F.col("l_returnflag") == "A", "new_york")
         .otherwise("seattle")
     )
-    temp = F.when(F.col("l_quantity") > 48, F.lit(999.0))
+    day = _day("l_shipdate")
     return li.select(
         city.alias("city"),
         F.concat_ws(
-            "-", F.lit("weather"), _day("l_shipdate"), _pad("l_orderkey", 10),
-            _pad("l_partkey", 8), _pad("l_suppkey", 6), F.col("l_linenumber").cast("string"),
+            "-", F.lit("weather"), day, _pad("l_orderkey", 10),
+            _pad("l_partkey", 8), _pad("l_suppkey", 6), n.cast("string"),
         ).alias("_source_file"),
         F.struct(
-            F.transform(hours, lambda h: F.concat(_day("l_shipdate"), F.lit("T"), _pad(h, 2), F.lit(":00"))).alias("time"),
-            F.transform(hours, lambda h: temp.otherwise(F.col("l_quantity") - 20 + h)).alias("temperature_2m"),
-            F.transform(hours, lambda h: F.round(F.col("l_tax") * 1000) + h * 10).alias("relative_humidity_2m"),
-            F.slice(F.transform(hours, lambda h: F.col("l_discount")), 1, F.col("l_linenumber") - 1).alias("precipitation"),
-            F.transform(hours, lambda h: F.col("l_quantity") + h).alias("wind_speed_10m"),
+            hourly(lambda h: F.concat(day, F.lit(f"T{h:02d}:00"))).alias("time"),
+            hourly(lambda h: F.when(q > 48, F.lit(999.0)).otherwise(q - 20 + h)).alias("temperature_2m"),
+            hourly(lambda h: F.round(F.col("l_tax") * 1000) + h * 10).alias("relative_humidity_2m"),
+            hourly(lambda h: F.col("l_discount"), n - 1).alias("precipitation"),
+            hourly(lambda h: q + h).alias("wind_speed_10m"),
         ).alias("hourly"),
     )
 

@@ -1,0 +1,25 @@
+"""Table scans.
+
+Parquet splits on row-group boundaries, so a small table written as one
+row group is one scan task however many cores the cluster has, and all the
+map-side work before the first shuffle (row-multiplying flattens, partial
+sorts and aggregates) then runs on one core. ``read_parquet`` checks the
+number of splits the scan plans and only when it is below the cluster's
+parallelism spreads the rows round-robin over that many partitions. A large
+table already has far more splits than cores and is left untouched, so the
+extra exchange only ever moves data that fits in a handful of splits.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:  # planning only: no job runs
+        return df
+    return df.repartition(target)
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    return spread(spark.read.parquet(path), min_partitions)

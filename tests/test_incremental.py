@@ -54,3 +54,12 @@ def test_assign_pages_matches_row_number(spark):
     w = Window.orderBy("a", "b")
     ref = df.withColumn("n", F.row_number().over(w) - 1).collect()
     assert got == {(r.a, r.b): (r.n, r.n // 100) for r in ref}
+
+
+def test_spread_only_when_scan_is_narrow(spark):
+    from strata.sources.scan import spread
+
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread(narrow, 4).rdd.getNumPartitions() == 4
+    wide = spark.range(0, 100, numPartitions=6)
+    assert spread(wide, 4) is wide

@@ -99,7 +99,9 @@ def scd2_merge(
             F.lit(True).alias(current_col),
         ),
     )
-    expanded = joined.select(
-        F.explode(F.array_compact(F.array(old_row, new_row))).alias("r")
-    ).select("r.*")
+    expanded = (
+        joined.select(F.explode(F.array(old_row, new_row)).alias("r"))
+        .filter(F.col("r").isNotNull())
+        .select("r.*")
+    )
     return history.unionByName(expanded)

@@ -58,7 +58,7 @@ def silver_step(
 
 
 def station_stream_pass(
-    spark: SparkSession, paths: TwoHopPaths, max_files_per_trigger: int | None = None
+    spark: SparkSession, paths: TwoHopPaths, max_files_per_trigger: int | None = 1000
 ) -> tuple[RunStats, RunStats]:
     """Landing drop zone -> Bronze events -> 10-minute station windows."""
     return stream_pass(

@@ -51,17 +51,23 @@ def read_landing(
     ingest_date: str | None = None,
     schema: StructType | str | None = None,
     multi_line: bool = False,
+    sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """All batches landed for one arrival date, with ``_source_file`` per row.
 
     Without a schema every field is read as a string, so a field that holds
     ``1`` in one batch and ``2.5`` in the next cannot change type between
     Bronze slices; Silver does the typing. A date with nothing landed is an
-    empty batch, not an error.
+    empty batch, not an error. Without a schema the field names are found by
+    an inference pass over the slice; ``sampling_ratio`` bounds how much of
+    it that pass parses.
     """
     path = slice_path(root, source, ingest_date or today_utc())
     reader = spark.read.option("multiLine", str(multi_line).lower())
-    reader = reader.schema(schema) if schema is not None else reader.option("primitivesAsString", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    else:
+        reader = reader.option("primitivesAsString", "true").option("samplingRatio", sampling_ratio)
     try:
         df = reader.json(path)
     except AnalysisException as err:

@@ -16,7 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.streaming.sources import read_json_stream, resolve_schema
+from strata.streaming.sources import (
+    DEFAULT_MAX_FILES_PER_TRIGGER,
+    read_json_stream,
+    resolve_schema,
+)
 from strata.streaming.windows import watermarked_window_counts
 
 
@@ -93,7 +97,7 @@ def stream_pass(
     hints_ddl: str | None = None,
     size: str = "10 minutes",
     delay: str = "15 minutes",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> tuple[RunStats, RunStats]:
     """One scheduled pass: landing files -> Bronze (append) -> windowed Gold.
 

@@ -93,14 +93,21 @@ def resolve_schema(
     return resolved
 
 
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def read_json_stream(
     spark: SparkSession,
     source_path: str,
     schema: StructType,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """New JSON-lines files as a stream, with ``_ingested_at`` (micro-batch
-    time) and ``_source_file`` (each row's own file)."""
+    time) and ``_source_file`` (each row's own file).
+
+    A drain over a large backlog is cut into micro-batches of at most
+    ``max_files_per_trigger`` files (None: one batch), so no single batch
+    has to hold the whole backlog."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -114,7 +121,7 @@ def read_events_stream(
     source_path: str,
     schema_location: str,
     hints_ddl: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Hinted, inferred, persisted-schema JSON stream over ``source_path``."""
     schema = resolve_schema(spark, source_path, hints_ddl, schema_location)

@@ -474,3 +474,25 @@ SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, station
 FROM w
 WHERE window_start + INTERVAL '10 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'""",
 })
+
+
+ORACLE_SQL["windows_stream_late"] = """
+WITH marks AS (
+  SELECT (SELECT max(ts) FROM events WHERE event_type <> 'click') - INTERVAL '15 minutes' AS w1,
+         greatest((SELECT max(ts) FROM events WHERE event_type <> 'click'),
+                  (SELECT max(ts) FROM events)) - INTERVAL '15 minutes' AS w2
+),
+b AS (
+  SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, event_type FROM events
+  WHERE event_id IS NOT NULL AND ts IS NOT NULL
+),
+accepted AS (
+  SELECT b.* FROM b, marks
+  WHERE b.event_type <> 'click' OR b.window_start + INTERVAL '10 minutes' > marks.w1
+),
+w AS (
+  SELECT window_start, event_type, COUNT(*) AS event_count FROM accepted GROUP BY 1, 2
+)
+SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, event_type, event_count
+FROM w, marks
+WHERE window_start + INTERVAL '10 minutes' <= marks.w2"""

@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import flatten_columnar
 from strata.operators.lineage import stamp_slice
-from strata.operators.quality import FAILURES_COL, expect_not_null, run_suite, tag_failures
+from strata.operators.quality import (
+    FAILURES_COL,
+    expect_between,
+    expect_not_null,
+    run_suite,
+    tag_failures,
+)
 from strata.plans.bundled import load
 from strata.plans.crimes import (
     crimes_weather_daily,
@@ -23,7 +29,7 @@ from strata.plans.crimes import (
     scd2_upsert_iucr,
     silver_crimes,
 )
-from strata.plans.medallion import station_stream_pass
+from strata.plans.medallion import silver_step, station_stream_pass
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
 from strata.sources.scan import spread
@@ -182,8 +188,7 @@ def iucr_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IUCR code dimension: first load from cases before 1998, then the
     whole feed as the next update, each published as a table version."""
     good = _crimes_good(spark, sf_dir)
-    db = "strata_dims"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    db = _scratch_db(spark, "strata_dims")
     table = f"{db}.dim_iucr_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, "dims")
     first = good.filter(F.col("occurred_date") < F.lit(IUCR_FIRST_LOAD).cast("date"))
@@ -192,6 +197,58 @@ def iucr_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(spark.table(table), "effective_from", "effective_to")
 
 
+def _scratch_db(spark: SparkSession, name: str) -> str:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_path(spark, name)}'")
+    return name
+
+
+def crimes_silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crimes Silver step: quality split on a checkpointed copy,
+    uniqueness gate, date-partitioned Silver table, quarantine appended per
+    run. Returns the published Silver table."""
+    db = _scratch_db(spark, "strata_silver")
+    table = f"{db}.crimes_{uuid.uuid4().hex[:12]}"
+    run = silver_step(
+        spark,
+        crimes_bronze(spark, sf_dir),
+        silver_crimes,
+        [expect_not_null("case_number", "occurred_at")],
+        ["case_number"],
+        table,
+        "occurred_date",
+        scratch_path(spark, "crimes_quarantine"),
+        run_id="run-0001",
+        min_pass_rate=None,  # the crimes step has no pass-rate gate
+    )
+    assert run.result.total_rows == run.result.passed_rows + run.result.quarantined_rows
+    return _ntz(spark.table(table).drop("_ingested_at"), "occurred_at", "updated_on")
+
+
+def weather_silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather Silver step with its 95 % pass-rate gate (checked before
+    anything is published). Returns the published Silver table."""
+    db = _scratch_db(spark, "strata_silver")
+    table = f"{db}.weather_{uuid.uuid4().hex[:12]}"
+    silver_step(
+        spark,
+        _weather_bronze(spark, sf_dir),
+        silver_weather,
+        [
+            expect_not_null("city", "observed_at"),
+            expect_between("temperature_2m", -60, 60),
+            expect_between("relative_humidity_2m", 0, 100),
+        ],
+        ["city", "observed_at"],
+        table,
+        "observed_date",
+        scratch_path(spark, "weather_quarantine"),
+        run_id="run-0001",
+    )
+    return spark.table(table).drop("_ingested_at").withColumn(
+        "observed_at", F.col("observed_at").cast("timestamp_ntz")
+    )
+
+
 # -- station stream ---------------------------------------------------------
 
 def station_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,4 +278,6 @@ DOMAIN_QUERIES = {
     "crimes_weather_mart": crimes_weather_mart,
     "iucr_dimension": iucr_dimension,
     "station_windows": station_windows,
+    "crimes_silver_published": crimes_silver_published,
+    "weather_silver_published": weather_silver_published,
 }

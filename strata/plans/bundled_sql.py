@@ -496,3 +496,12 @@ w AS (
 SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, event_type, event_count
 FROM w, marks
 WHERE window_start + INTERVAL '10 minutes' <= marks.w2"""
+
+
+ORACLE_SQL["crimes_silver_published"] = f"""
+WITH {_CRIMES}
+SELECT {_CSILVER_COLS} FROM cgood"""
+
+ORACLE_SQL["weather_silver_published"] = f"""
+WITH {_WEATHER_FLAT}
+SELECT * FROM wsilver"""

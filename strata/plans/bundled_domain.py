@@ -29,9 +29,10 @@ from strata.plans.crimes import (
     scd2_upsert_iucr,
     silver_crimes,
 )
-from strata.plans.medallion import silver_step, station_stream_pass
+from strata.plans.medallion import GoldTables, gold_step, silver_step, station_stream_pass
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
+from strata.sources.tables import overwrite_table
 from strata.sources.scan import spread
 from strata.streaming.sinks import TwoHopPaths
 
@@ -249,6 +250,19 @@ def weather_silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crimes_weather_mart_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver for both domains, then the Gold step: two daily tables and the
+    mart built from them, read back from the catalog."""
+    db = _scratch_db(spark, "strata_gold")
+    tag = uuid.uuid4().hex[:12]
+    weather_t, crimes_t = f"{db}.silver_weather_{tag}", f"{db}.silver_crimes_{tag}"
+    overwrite_table(_weather_silver(spark, sf_dir), weather_t)
+    overwrite_table(_crimes_good(spark, sf_dir), crimes_t)
+    gold = GoldTables(f"{db}.weather_daily_{tag}", f"{db}.crimes_daily_{tag}", f"{db}.mart_{tag}")
+    gold_step(spark, weather_t, crimes_t, gold, mart_root=scratch_path(spark, "mart"))
+    return spark.table(gold.crimes_weather_daily)
+
+
 # -- station stream ---------------------------------------------------------
 
 def station_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,4 +294,5 @@ DOMAIN_QUERIES = {
     "station_windows": station_windows,
     "crimes_silver_published": crimes_silver_published,
     "weather_silver_published": weather_silver_published,
+    "crimes_weather_mart_published": crimes_weather_mart_published,
 }

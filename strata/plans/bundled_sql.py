@@ -505,3 +505,5 @@ SELECT {_CSILVER_COLS} FROM cgood"""
 ORACLE_SQL["weather_silver_published"] = f"""
 WITH {_WEATHER_FLAT}
 SELECT * FROM wsilver"""
+
+ORACLE_SQL["crimes_weather_mart_published"] = ORACLE_SQL["crimes_weather_mart"]

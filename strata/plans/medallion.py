@@ -13,7 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.quality import Check, SuiteResult, assert_unique, gate_pass_rate, run_suite
-from strata.sources.tables import append_run, overwrite_table
+from strata.plans.crimes import crimes_weather_daily, gold_crimes_daily
+from strata.plans.weather import gold_daily_weather
+from strata.sources.tables import append_run, overwrite_table, publish_version
+from strata.streaming import sources as stream_sources
 from strata.streaming.sinks import RunStats, TwoHopPaths, stream_pass
 
 # Fixed values that must stay as they are for results to match:
@@ -57,6 +60,33 @@ def silver_step(
     return SilverRun(result, good, quarantine)
 
 
+@dataclass
+class GoldTables:
+    weather_daily: str
+    crimes_daily: str
+    crimes_weather_daily: str
+
+
+def gold_step(
+    spark: SparkSession,
+    silver_weather_table: str,
+    silver_crimes_table: str,
+    gold: GoldTables,
+    mart_root: str | None = None,
+) -> None:
+    """Gold: both daily tables (full overwrite), then the cross-domain mart
+    computed from the tables just written and published as a new version."""
+    overwrite_table(gold_daily_weather(spark.table(silver_weather_table)), gold.weather_daily)
+    overwrite_table(gold_crimes_daily(spark.table(silver_crimes_table)), gold.crimes_daily)
+    mart = crimes_weather_daily(spark.table(gold.crimes_daily), spark.table(gold.weather_daily))
+    publish_version(spark, mart, gold.crimes_weather_daily, mart_root)
+
+
+def read_events_stream(spark: SparkSession, source_path: str, schema_location: str) -> DataFrame:
+    """The station event stream with its schema hints."""
+    return stream_sources.read_events_stream(spark, source_path, schema_location, EVENT_SCHEMA_HINTS)
+
+
 def station_stream_pass(
     spark: SparkSession, paths: TwoHopPaths, max_files_per_trigger: int | None = 1000
 ) -> tuple[RunStats, RunStats]:

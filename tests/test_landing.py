@@ -22,3 +22,37 @@ def test_land_read_and_rerun(spark, scratch):
 def test_missing_date_is_an_empty_batch(spark, scratch):
     raw = read_landing(spark, scratch("landing"), "src", "2026-01-01")
     assert raw.count() == 0
+
+
+def test_multiline_payload_documents_flatten(spark, scratch):
+    """One API payload document per file (a JSON object spanning lines), read
+    with multi_line and pivoted to hourly rows."""
+    import json
+    import os
+
+    from strata.plans.weather import flatten_hourly
+
+    root = scratch("landing")
+    folder = f"{root}/weather/ingest_date=2026-06-02/batch_id=b1".removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    docs = {
+        "chicago.json": {"city": "chicago", "hourly": {"time": ["2026-06-01T00:00", "2026-06-01T01:00"],
+                                                       "temperature_2m": [21.5, 20.9],
+                                                       "precipitation": [0.0]}},
+        "seattle.json": {"city": "seattle", "hourly": {"time": ["2026-06-01T00:00"],
+                                                       "temperature_2m": [12.0],
+                                                       "precipitation": [0.4]}},
+    }
+    for name, doc in docs.items():
+        with open(f"{folder}/{name}", "w") as fh:
+            fh.write(json.dumps(doc, indent=2))
+    raw = read_landing(spark, root, "weather", "2026-06-02", multi_line=True,
+                       schema="city string, hourly struct<time: array<string>, "
+                              "temperature_2m: array<double>, precipitation: array<double>>")
+    rows = sorted((r.city, r.observed_at, r.temperature_2m, r.precipitation)
+                  for r in flatten_hourly(raw.select("city", "hourly")).collect())
+    assert rows == [
+        ("chicago", "2026-06-01T00:00", 21.5, 0.0),
+        ("chicago", "2026-06-01T01:00", 20.9, None),
+        ("seattle", "2026-06-01T00:00", 12.0, 0.4),
+    ]

@@ -50,21 +50,34 @@ def run_available_now(
     table: str | None = None,
     output_mode: str = "append",
     fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> RunStats:
     """Drain ``df`` into a Parquet folder (``path``) or a catalog table
-    (``table``, created at ``path`` when given) and stop."""
+    (``table``, created at ``path`` when given) and stop.
+
+    ``state_partitions`` sets how many shuffle partitions (and state stores)
+    a stateful query gets. The number is fixed in the checkpoint on the
+    first run, so it only matters then; the session setting is restored as
+    soon as the query has started (the stream runs on its own copy)."""
     writer = (
         df.writeStream.format(fmt)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    if table:
-        if path:
-            writer = writer.option("path", path)
-        query = writer.toTable(table)
-    else:
-        query = writer.start(path)
+    spark = df.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if table:
+            if path:
+                writer = writer.option("path", path)
+            query = writer.toTable(table)
+        else:
+            query = writer.start(path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(f"stream failed: {query.exception()}")
@@ -98,13 +111,17 @@ def stream_pass(
     size: str = "10 minutes",
     delay: str = "15 minutes",
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+    state_partitions: int | None = None,
 ) -> tuple[RunStats, RunStats]:
     """One scheduled pass: landing files -> Bronze (append) -> windowed Gold.
 
     Hop 1 stamps ``_ingested_at`` / ``_source_file`` and appends to Bronze.
     Hop 2 streams Bronze's committed files, drops rows missing a required
-    field, and appends closed windows to Gold.
+    field, and appends closed windows to Gold. The window state is spread
+    over ``state_partitions`` state stores (default: one per core of the
+    cluster, fixed at the first run).
     """
+    state_partitions = state_partitions or spark.sparkContext.defaultParallelism
     schema = resolve_schema(spark, paths.landing, hints_ddl, paths.schema_location)
     bronze_stream = read_json_stream(spark, paths.landing, schema, max_files_per_trigger)
     bronze_schema = bronze_stream.schema
@@ -117,5 +134,7 @@ def stream_pass(
     if cond is not None:
         silver = silver.filter(cond)
     gold = watermarked_window_counts(silver, ts_col, keys, size, delay)
-    hop2 = run_available_now(gold, f"{paths.checkpoints}/gold", path=paths.gold)
+    hop2 = run_available_now(
+        gold, f"{paths.checkpoints}/gold", path=paths.gold, state_partitions=state_partitions
+    )
     return hop1, hop2

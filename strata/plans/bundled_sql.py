@@ -191,7 +191,7 @@ li AS (
          {_xsum('l_discount')} AS disc_total, {_xsum('l_quantity')} AS qty_total
   FROM lineitem GROUP BY l_returnflag, CAST(l_shipdate AS DATE)
 )
-SELECT r.order_date, SUM(r.order_count) AS orders,
+SELECT r.order_date, CAST(SUM(r.order_count) AS BIGINT) AS orders,
        ANY_VALUE(w.disc_total) AS disc_total, ANY_VALUE(w.qty_total) AS qty_total
 FROM rate r
 LEFT JOIN li w ON w.l_returnflag = 'R' AND w.ship_date = r.order_date
@@ -452,7 +452,7 @@ WITH {_CRIMES}
 SELECT *, round(arrest_count / incident_count, 4) AS arrest_rate FROM cgold""",
     "crimes_weather_mart": f"""
 WITH {_CRIMES}, {_WEATHER_FLAT}
-SELECT c.occurred_date, SUM(c.incident_count) AS incidents,
+SELECT c.occurred_date, CAST(SUM(c.incident_count) AS BIGINT) AS incidents,
        ANY_VALUE(w.temp_avg_c) AS temp_avg_c, ANY_VALUE(w.precip_total_mm) AS precip_total_mm
 FROM cgold c
 LEFT JOIN wgold w ON w.city = 'chicago' AND w.observed_date = c.occurred_date

@@ -55,7 +55,7 @@ def landing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_batch(_orders_bronze_feed(spark, sf_dir), root, "orders", "2024-01-01", "b0001")
     ingest_bronze(spark, root, "orders", bronze, "2024-01-01")
     ingest_bronze(spark, root, "orders", bronze, "2024-01-01")
-    return read_slices(spark, bronze, "_ingest_date").drop("_ingested_at", "_source_file")
+    return read_slices(spark, bronze).drop("_ingested_at", "_source_file")
 
 
 def _year_slice() -> F.Column:
@@ -74,7 +74,7 @@ def replace_slice_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_slice(redo.drop("_ingest_date"), path, "_ingest_date", "1997-01-01")
     replace_slice(redo.drop("_ingest_date"), path, "_ingest_date", "1997-01-01")  # rerun
     replace_slice(o.filter(F.lit(False)).drop("_ingest_date"), path, "_ingest_date", "1998-01-01")
-    return read_slices(spark, path, "_ingest_date")
+    return read_slices(spark, path)
 
 
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_slices(early, path, "_ingest_date")
     write_slices(late, path, "_ingest_date")
-    return read_slices(spark, path, "_ingest_date")
+    return read_slices(spark, path)
 
 
 def incremental_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:

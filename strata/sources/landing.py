@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.lineage import file_path_column, stamp_slice
-from strata.sources.tables import replace_slice
+from strata.sources.tables import replace_slice, string_partition_values
 
 
 def new_batch_id() -> str:
@@ -69,17 +69,15 @@ def read_landing(
     else:
         reader = reader.option("primitivesAsString", "true").option("samplingRatio", sampling_ratio)
     try:
-        df = reader.json(path)
+        with string_partition_values(spark):
+            df = reader.json(path)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
             raise
         empty_schema = schema if schema is not None else "_corrupt_record string"
         df = spark.createDataFrame([], empty_schema)
         return df.withColumn("_source_file", F.lit(None).cast("string"))
-    out = df.withColumn("_source_file", file_path_column())
-    if "batch_id" in out.columns:
-        out = out.withColumn("batch_id", F.col("batch_id").cast("string"))
-    return out
+    return df.withColumn("_source_file", file_path_column())
 
 
 def ingest_bronze(

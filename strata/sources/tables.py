@@ -18,7 +18,8 @@ Parquet directories and the session catalog:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -69,19 +70,24 @@ def replace_slice(df: DataFrame, path: str, slice_col: str, slice_value: str) ->
     return rows
 
 
-def read_slices(
-    spark: SparkSession,
-    path: str,
-    slice_col: str | None = None,
-    merge_schema: bool = True,
-) -> DataFrame:
+@contextmanager
+def string_partition_values(spark: SparkSession) -> Iterator[None]:
+    """Resolve partition directories with string values while the relation
+    is created: inference would turn ``0001`` into 1 and dates into dates."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
+def read_slices(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """Read a sliced table, merging the schemas the slices were written with.
-    The slice column comes back as a string (partition discovery would
-    otherwise turn date-like values into dates)."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    if slice_col and slice_col in df.columns:
-        df = df.withColumn(slice_col, F.col(slice_col).cast("string"))
-    return df
+    Slice values come back exactly as written, as strings."""
+    with string_partition_values(spark):
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def overwrite_table(

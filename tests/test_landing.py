@@ -13,7 +13,7 @@ def test_land_read_and_rerun(spark, scratch):
     assert all(r["_source_file"].endswith(".json") for r in raw.collect())
     assert ingest_bronze(spark, root, "src", bronze, "2026-06-01") == 2
     assert ingest_bronze(spark, root, "src", bronze, "2026-06-01") == 2
-    out = read_slices(spark, bronze, "_ingest_date").collect()
+    out = read_slices(spark, bronze).collect()
     assert len(out) == 2
     assert {r["_batch_id"] for r in out} == {"src-2026-06-01"}
     assert {r["_ingest_date"] for r in out} == {"2026-06-01"}

@@ -8,10 +8,10 @@ def test_replace_slice_is_idempotent_and_empty_clears(spark, scratch):
     replace_slice(a, path, "_ingest_date", "2026-06-01")
     replace_slice(b, path, "_ingest_date", "2026-06-02")
     replace_slice(a, path, "_ingest_date", "2026-06-01")  # rerun replaces
-    got = sorted((r["id"], r["_ingest_date"]) for r in read_slices(spark, path, "_ingest_date").collect())
+    got = sorted((r["id"], r["_ingest_date"]) for r in read_slices(spark, path).collect())
     assert got == [("1", "2026-06-01"), ("2", "2026-06-01"), ("3", "2026-06-02")]
     assert replace_slice(a.limit(0), path, "_ingest_date", "2026-06-01") == 0
-    got = sorted(r["id"] for r in read_slices(spark, path, "_ingest_date").collect())
+    got = sorted(r["id"] for r in read_slices(spark, path).collect())
     assert got == ["3"]
 
 
@@ -20,7 +20,7 @@ def test_schema_evolution_adds_columns(spark, scratch):
     replace_slice(spark.createDataFrame([("1",)], "id string"), path, "_ingest_date", "2026-06-01")
     replace_slice(spark.createDataFrame([("2", "new")], "id string, extra string"), path,
                   "_ingest_date", "2026-06-02")
-    rows = {r["id"]: r["extra"] for r in read_slices(spark, path, "_ingest_date").collect()}
+    rows = {r["id"]: r["extra"] for r in read_slices(spark, path).collect()}
     assert rows == {"1": None, "2": "new"}
 
 
@@ -29,7 +29,7 @@ def test_write_slices_keeps_other_slices(spark, scratch):
     df = spark.createDataFrame([("1", "d1"), ("2", "d2")], "id string, d string")
     write_slices(df, path, "d")
     write_slices(spark.createDataFrame([("9", "d2")], "id string, d string"), path, "d")
-    assert sorted(r["id"] for r in read_slices(spark, path, "d").collect()) == ["1", "9"]
+    assert sorted(r["id"] for r in read_slices(spark, path).collect()) == ["1", "9"]
 
 
 def test_publish_version_flips_location(spark, scratch):
@@ -67,3 +67,16 @@ def test_catalog_sinks(spark, scratch):
     create_or_replace_as_select(spark, "SELECT 8 AS x", "sinkdb.mart")
     assert [r.x for r in spark.table("sinkdb.mart").collect()] == [8]
     spark.sql("DROP DATABASE sinkdb CASCADE")
+
+
+def test_slice_values_stay_strings(spark, scratch):
+    from strata.sources.landing import land_batch, read_landing
+
+    path = scratch("slices")
+    replace_slice(spark.createDataFrame([("a",)], "v string"), path, "_slice", "0001")
+    replace_slice(spark.createDataFrame([("b",)], "v string"), path, "_slice", "2026-06-01")
+    got = sorted((r["_slice"], r["v"]) for r in read_slices(spark, path).collect())
+    assert got == [("0001", "a"), ("2026-06-01", "b")]
+    root = scratch("landing")
+    land_batch(spark.createDataFrame([(1,)], "x long"), root, "src", "2026-06-01", "0042")
+    assert [r["batch_id"] for r in read_landing(spark, root, "src", "2026-06-01").collect()] == ["0042"]

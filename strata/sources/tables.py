@@ -153,7 +153,13 @@ def publish_version(
     else:
         if exists:
             spark.sql(f"DROP TABLE {table}")  # external table: files are kept
-        spark.catalog.createTable(table, path=location, source="parquet")
+        # declare the schema instead of inferring it from the directory
+        # names, which would turn a string partition value into a date
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION '{location}'"
+        )
         if partition_by:
             spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)

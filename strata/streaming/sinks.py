@@ -112,6 +112,7 @@ def stream_pass(
     delay: str = "15 minutes",
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
     state_partitions: int | None = None,
+    evolve_schema: bool = False,
 ) -> tuple[RunStats, RunStats]:
     """One scheduled pass: landing files -> Bronze (append) -> windowed Gold.
 
@@ -119,10 +120,14 @@ def stream_pass(
     Hop 2 streams Bronze's committed files, drops rows missing a required
     field, and appends closed windows to Gold. The window state is spread
     over ``state_partitions`` state stores (default: one per core of the
-    cluster, fixed at the first run).
+    cluster, fixed at the first run). With ``evolve_schema`` the landing
+    files are re-inferred and new fields are appended to the persisted
+    schema; Bronze files written earlier read NULL for them.
     """
     state_partitions = state_partitions or spark.sparkContext.defaultParallelism
-    schema = resolve_schema(spark, paths.landing, hints_ddl, paths.schema_location)
+    schema = resolve_schema(
+        spark, paths.landing, hints_ddl, paths.schema_location, evolve=evolve_schema
+    )
     bronze_stream = read_json_stream(spark, paths.landing, schema, max_files_per_trigger)
     bronze_schema = bronze_stream.schema
     hop1 = run_available_now(bronze_stream, f"{paths.checkpoints}/bronze", path=paths.bronze)

@@ -70,3 +70,24 @@ def test_schema_hints_and_persisted_schema(spark, scratch):
     # a rerun keeps the persisted schema without re-inferring
     s2 = resolve_schema(spark, f"{base}/in", None, f"{base}/schema")
     assert s2 == s1
+
+
+def test_stream_schema_evolution_appends_fields(spark, scratch):
+    from strata.streaming.sinks import stream_pass
+
+    base = scratch("evolve")
+    paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt")
+    args = dict(ts_col="event_ts", keys=["station_id"], required=["trip_id", "event_ts"],
+                hints_ddl="event_ts TIMESTAMP")
+    spark.createDataFrame([("t1", "S1", "2026-06-01T11:00:00+00:00")], "trip_id string, station_id string, event_ts string") \
+        .write.mode("append").json(paths.landing)
+    stream_pass(spark, paths, **args)
+    spark.createDataFrame([("t2", "S1", "2026-06-01T12:00:00+00:00", "ebike")],
+                          "trip_id string, station_id string, event_ts string, bike string") \
+        .write.mode("append").json(paths.landing)
+    hop1, _ = stream_pass(spark, paths, evolve_schema=True, **args)
+    assert hop1.input_rows == 1
+    bronze = spark.read.option("mergeSchema", "true").parquet(paths.bronze)
+    assert sorted((r.trip_id, r.bike) for r in bronze.collect()) == [("t1", None), ("t2", "ebike")]
+    gold = sorted((r.window_start.hour, r.event_count) for r in spark.read.parquet(paths.gold).collect())
+    assert gold == [(11, 1)]

@@ -80,3 +80,15 @@ def test_slice_values_stay_strings(spark, scratch):
     root = scratch("landing")
     land_batch(spark.createDataFrame([(1,)], "x long"), root, "src", "2026-06-01", "0042")
     assert [r["batch_id"] for r in read_landing(spark, root, "src", "2026-06-01").collect()] == ["0042"]
+
+
+def test_publish_version_partitioned(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pubpart LOCATION '{scratch('db')}'")
+    t = "pubpart.daily"
+    v1 = spark.createDataFrame([("2026-06-01", 1), ("2026-06-02", 2)], "d string, x int")
+    publish_version(spark, v1, t, partition_by=["d"])
+    assert spark.table(t).count() == 2
+    v2 = spark.table(t).filter("d = '2026-06-02'").selectExpr("x * 10 AS x", "d")
+    publish_version(spark, v2, t, partition_by=["d"])
+    assert [(r.d, r.x) for r in spark.table(t).collect()] == [("2026-06-02", 20)]
+    spark.sql("DROP DATABASE pubpart CASCADE")

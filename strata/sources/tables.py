@@ -40,11 +40,16 @@ def _rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df
 
 
-def write_slices(df: DataFrame, path: str, slice_col: str) -> int:
+def write_slices(df: DataFrame, path: str, slice_col: str, single_slice: bool = False) -> int:
     """Write (or rewrite) every slice present in ``df``; slices not present
-    keep their files. Returns the number of rows written."""
+    keep their files. Returns the number of rows written.
+
+    Rows are rebalanced by the slice column so each slice's files come from
+    few tasks; when all rows share one slice that would only funnel them
+    together, so they are rebalanced by size alone."""
     obs = Observation(f"slices_{uuid.uuid4().hex[:8]}")
-    counted = _rebalanced(df, [slice_col]).observe(obs, F.count(F.lit(1)).alias("rows"))
+    balanced = df.hint("rebalance") if single_slice else _rebalanced(df, [slice_col])
+    counted = balanced.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -62,7 +67,7 @@ def replace_slice(df: DataFrame, path: str, slice_col: str, slice_value: str) ->
     empty slice. Returns the number of rows written.
     """
     stamped = df.withColumn(slice_col, F.lit(slice_value))
-    rows = write_slices(stamped, path, slice_col)
+    rows = write_slices(stamped, path, slice_col, single_slice=True)
     if rows == 0:
         spark = df.sparkSession
         empty = spark.createDataFrame([], df.drop(slice_col).schema)
@@ -108,7 +113,7 @@ def overwrite_table(
 def append_run(df: DataFrame, path: str, run_id: str, run_col: str = "_run_id") -> int:
     """Append-only sink (quarantine) that stays idempotent per run: the rows
     of one run form one partition, so rerunning the run replaces them."""
-    return write_slices(df.withColumn(run_col, F.lit(run_id)), path, run_col)
+    return write_slices(df.withColumn(run_col, F.lit(run_id)), path, run_col, single_slice=True)
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:

@@ -266,9 +266,15 @@ def crimes_weather_mart_published(spark: SparkSession, sf_dir: str) -> DataFrame
 # -- station stream ---------------------------------------------------------
 
 def station_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as station events (user = station) through the two-hop stream."""
+    """Events as station events (user = station) through the two-hop stream:
+    files -> Bronze table -> table stream -> windowed Gold table."""
     base = scratch_path(spark, "stations")
-    paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/_checkpoints")
+    db = _scratch_db(spark, "strata_streams")
+    tag = uuid.uuid4().hex[:12]
+    paths = TwoHopPaths(
+        f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/_checkpoints",
+        bronze_table=f"{db}.bronze_events_{tag}", gold_table=f"{db}.station_windows_{tag}",
+    )
     ev = load(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("trip_id"),
         F.concat(F.lit("S"), _pad("user_id", 4)).alias("station_id"),
@@ -279,7 +285,7 @@ def station_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ev.write.mode("overwrite").json(paths.landing)
     station_stream_pass(spark, paths)
-    return _ntz(spark.read.parquet(paths.gold), "window_start", "window_end")
+    return _ntz(spark.table(paths.gold_table), "window_start", "window_end")
 
 
 DOMAIN_QUERIES = {

@@ -91,10 +91,15 @@ def read_table_stream(spark: SparkSession, table: str) -> DataFrame:
 
 @dataclass
 class TwoHopPaths:
+    """Folders of the two-hop stream. With table names, Bronze and Gold are
+    also catalog tables (at those folders) and hop 2 reads Bronze as a
+    table stream."""
     landing: str
     bronze: str
     gold: str
     checkpoints: str
+    bronze_table: str | None = None
+    gold_table: str | None = None
 
     @property
     def schema_location(self) -> str:
@@ -130,9 +135,14 @@ def stream_pass(
     )
     bronze_stream = read_json_stream(spark, paths.landing, schema, max_files_per_trigger)
     bronze_schema = bronze_stream.schema
-    hop1 = run_available_now(bronze_stream, f"{paths.checkpoints}/bronze", path=paths.bronze)
+    hop1 = run_available_now(
+        bronze_stream, f"{paths.checkpoints}/bronze", path=paths.bronze, table=paths.bronze_table
+    )
 
-    silver = spark.readStream.schema(bronze_schema).parquet(paths.bronze)
+    if paths.bronze_table:
+        silver = read_table_stream(spark, paths.bronze_table)
+    else:
+        silver = spark.readStream.schema(bronze_schema).parquet(paths.bronze)
     cond = None
     for c in required:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
@@ -140,6 +150,7 @@ def stream_pass(
         silver = silver.filter(cond)
     gold = watermarked_window_counts(silver, ts_col, keys, size, delay)
     hop2 = run_available_now(
-        gold, f"{paths.checkpoints}/gold", path=paths.gold, state_partitions=state_partitions
+        gold, f"{paths.checkpoints}/gold", path=paths.gold, table=paths.gold_table,
+        state_partitions=state_partitions,
     )
     return hop1, hop2

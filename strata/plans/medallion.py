@@ -1,9 +1,11 @@
 """End-to-end steps: Bronze ingest, Silver with quality gates, Gold, and the
 station event stream. Each step is one call; orchestration stays outside.
 
-The Silver step gates before it publishes: the quality split is
-checkpointed once, metrics and uniqueness are checked on it, and only a run
-that passes writes Silver and its quarantine rows.
+The Silver step gates before it publishes. Its rows are written once, to a
+fresh version directory split into passing and failing halves; metrics,
+uniqueness and the pass-rate gate read those files, and only a run that
+passes points the Silver table at the passing half and appends the failing
+half to the quarantine. A failed gate leaves the table as it was.
 """
 from __future__ import annotations
 
@@ -11,11 +13,26 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-
-from strata.operators.quality import Check, SuiteResult, assert_unique, gate_pass_rate, run_suite
+from pyspark.sql import functions as F
+
+from strata.operators.quality import (
+    FAILURES_COL,
+    Check,
+    SuiteResult,
+    assert_unique,
+    gate_pass_rate,
+    suite_metrics,
+    tag_failures,
+)
 from strata.plans.crimes import crimes_weather_daily, gold_crimes_daily
 from strata.plans.weather import gold_daily_weather
-from strata.sources.tables import append_run, overwrite_table, publish_version
+from strata.sources.tables import (
+    append_run,
+    new_version_location,
+    overwrite_table,
+    point_table,
+    publish_version,
+)
 from strata.streaming import sources as stream_sources
 from strata.streaming.sinks import RunStats, TwoHopPaths, stream_pass
 
@@ -37,6 +54,9 @@ class SilverRun:
     quarantine: DataFrame
 
 
+PASSED_COL = "_dq_passed"
+
+
 def silver_step(
     spark: SparkSession,
     bronze: DataFrame,
@@ -48,13 +68,42 @@ def silver_step(
     quarantine_path: str,
     run_id: str,
     min_pass_rate: float | None = MIN_PASS_RATE,
+    root: str | None = None,
 ) -> SilverRun:
+    """Transform, check, gate, then publish a date-partitioned Silver table.
+
+    The transformed rows are computed and written exactly once: the staged
+    version both cuts the lineage (metrics, uniqueness, publish and
+    quarantine all read the same files, so they agree even when the
+    transform is not deterministic) and is the published table, so Silver
+    is not written a second time after a checkpoint.
+    """
     silver = transform(bronze)
-    good, quarantine, result = run_suite(silver, checks, materialize=True)
+    tagged = tag_failures(silver, checks).withColumn(PASSED_COL, F.size(FAILURES_COL) == 0)
+    location = new_version_location(spark, silver_table, root)
+    (
+        tagged.hint("rebalance", PASSED_COL, partition_col)
+        .write.mode("errorifexists")
+        .partitionBy(PASSED_COL, partition_col)
+        .parquet(location)
+    )
+    staged = spark.read.schema(tagged.schema).parquet(location)
+    rows = suite_metrics(staged, checks).collect()  # one small row per check
+    total = int(rows[0]["total_rows"]) if rows else staged.count()
+    passed = int(rows[0]["passed_rows"]) if rows else total
+    result = SuiteResult(total, passed, total - passed,
+                         {r["check_name"]: int(r["failed_rows"]) for r in rows})
+
+    good_location = f"{location}/{PASSED_COL}=true"
+    if passed == 0:  # keep the table readable (and empty) when nothing passed
+        spark.createDataFrame([], silver.schema).write.partitionBy(partition_col).parquet(good_location)
+    good = spark.read.schema(silver.schema).parquet(good_location)
+    quarantine = staged.filter(~F.col(PASSED_COL)).drop(PASSED_COL)
+
     assert_unique(good, unique_keys)
     if min_pass_rate is not None:
         gate_pass_rate(result, min_pass_rate)
-    overwrite_table(good, silver_table, partition_by=[partition_col])
+    point_table(spark, silver_table, good_location, silver.schema, [partition_col])
     if result.quarantined_rows:
         append_run(quarantine, quarantine_path, run_id)
     return SilverRun(result, good, quarantine)

@@ -24,6 +24,7 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def ensure_namespaces(spark: SparkSession, names: Sequence[str] = ("bronze", "silver", "gold", "landing", "ops")) -> None:
@@ -125,42 +126,37 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
-def publish_version(
-    spark: SparkSession,
-    df: DataFrame,
-    table: str,
-    root: str | None = None,
-    partition_by: Sequence[str] = (),
-) -> str:
-    """Write ``df`` as a new version directory and point ``table`` at it.
-
-    Readers of the previous version keep a consistent snapshot (its files are
-    not touched); the catalog switch is a metadata operation. The version
-    directory sits next to the current one, or under ``root`` (default: the
-    warehouse folder) for a new table. Returns the new location.
-    """
-    exists = table_exists(spark, table)
+def new_version_location(spark: SparkSession, table: str, root: str | None = None) -> str:
+    """A fresh directory for the next version of ``table``: next to the
+    current version, or under ``root`` (default: the warehouse folder) for a
+    new table."""
     if root is None:
-        current = table_location(spark, table) if exists else None
+        current = table_location(spark, table) if table_exists(spark, table) else None
         if current:
             root = current.rstrip("/").rsplit("/", 1)[0]
         else:
             root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     base = table.replace(".", "__")
-    location = f"{root.rstrip('/')}/{base}__v{uuid.uuid4().hex[:12]}"
-    writer = _rebalanced(df, list(partition_by)).write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(location)
+    return f"{root.rstrip('/')}/{base}__v{uuid.uuid4().hex[:12]}"
 
-    if exists and not partition_by:
+
+def point_table(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Make ``table`` read the files at ``location``: a metadata operation,
+    the files of the previous version stay untouched."""
+    if table_exists(spark, table) and not partition_by:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
-        if exists:
+        if table_exists(spark, table):
             spark.sql(f"DROP TABLE {table}")  # external table: files are kept
         # declare the schema instead of inferring it from the directory
         # names, which would turn a string partition value into a date
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION '{location}'"
@@ -168,6 +164,27 @@ def publish_version(
         if partition_by:
             spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
+
+
+def publish_version(
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    root: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> str:
+    """Write ``df`` as a new version directory and point ``table`` at it.
+
+    Readers of the previous version keep a consistent snapshot (its files are
+    not touched); the catalog switch is a metadata operation, and a run that
+    fails before it leaves the table as it was. Returns the new location.
+    """
+    location = new_version_location(spark, table, root)
+    writer = _rebalanced(df, list(partition_by)).write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(location)
+    point_table(spark, table, location, df.schema, partition_by)
     return location
 
 

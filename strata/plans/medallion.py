@@ -9,10 +9,11 @@ half to the quarantine. A failed gate leaves the table as it was.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.quality import (
@@ -21,7 +22,6 @@ from strata.operators.quality import (
     SuiteResult,
     assert_unique,
     gate_pass_rate,
-    suite_metrics,
     tag_failures,
 )
 from strata.plans.crimes import crimes_weather_daily, gold_crimes_daily
@@ -72,27 +72,38 @@ def silver_step(
 ) -> SilverRun:
     """Transform, check, gate, then publish a date-partitioned Silver table.
 
-    The transformed rows are computed and written exactly once: the staged
-    version both cuts the lineage (metrics, uniqueness, publish and
-    quarantine all read the same files, so they agree even when the
-    transform is not deterministic) and is the published table, so Silver
-    is not written a second time after a checkpoint.
+    The transformed rows are computed and written exactly once, and the
+    suite metrics are observed during that write. The staged version cuts
+    the lineage (uniqueness, publish and quarantine all read the same files,
+    so they agree with the metrics even when the transform is not
+    deterministic) and is itself the published table, so Silver is not
+    written a second time after a checkpoint.
     """
     silver = transform(bronze)
     tagged = tag_failures(silver, checks).withColumn(PASSED_COL, F.size(FAILURES_COL) == 0)
+    # the suite metrics are observed while the rows are written: no second pass
+    metrics = Observation(f"silver_{uuid.uuid4().hex[:8]}")
+    observed = tagged.observe(
+        metrics,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(PASSED_COL)).alias("passed"),
+        *[
+            F.count_if(F.array_contains(FAILURES_COL, F.lit(c.name))).alias(f"f{i}")
+            for i, c in enumerate(checks)
+        ],
+    )
     location = new_version_location(spark, silver_table, root)
     (
-        tagged.hint("rebalance", PASSED_COL, partition_col)
+        observed.hint("rebalance", PASSED_COL, partition_col)
         .write.mode("errorifexists")
         .partitionBy(PASSED_COL, partition_col)
         .parquet(location)
     )
-    staged = spark.read.schema(tagged.schema).parquet(location)
-    rows = suite_metrics(staged, checks).collect()  # one small row per check
-    total = int(rows[0]["total_rows"]) if rows else staged.count()
-    passed = int(rows[0]["passed_rows"]) if rows else total
+    m = metrics.get
+    total, passed = int(m.get("total", 0)), int(m.get("passed", 0))
     result = SuiteResult(total, passed, total - passed,
-                         {r["check_name"]: int(r["failed_rows"]) for r in rows})
+                         {c.name: int(m.get(f"f{i}", 0)) for i, c in enumerate(checks)})
+    staged = spark.read.schema(tagged.schema).parquet(location)
 
     good_location = f"{location}/{PASSED_COL}=true"
     if passed == 0:  # keep the table readable (and empty) when nothing passed

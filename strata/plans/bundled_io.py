@@ -55,7 +55,13 @@ def landing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_batch(_orders_bronze_feed(spark, sf_dir), root, "orders", "2024-01-01", "b0001")
     ingest_bronze(spark, root, "orders", bronze, "2024-01-01")
     ingest_bronze(spark, root, "orders", bronze, "2024-01-01")
-    return read_slices(spark, bronze).drop("_ingested_at", "_source_file")
+    # each row names the landed file it came from (the folder is per run)
+    own_file = F.col("_source_file").rlike(
+        r"/orders/ingest_date=2024-01-01/batch_id=b0001/part-[^/]+\.json$"
+    )
+    return read_slices(spark, bronze).select(
+        "*", own_file.alias("from_landed_file")
+    ).drop("_ingested_at", "_source_file")
 
 
 def _year_slice() -> F.Column:

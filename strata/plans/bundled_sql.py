@@ -259,7 +259,7 @@ ORACLE_SQL.update({
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
        'b0001' AS batch_id, 'orders' AS _source_system, 'orders-2024-01-01' AS _batch_id,
-       '2024-01-01' AS _ingest_date
+       '2024-01-01' AS _ingest_date, TRUE AS from_landed_file
 FROM orders""",
     "replace_slice": f"""
 WITH s AS (

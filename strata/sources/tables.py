@@ -21,13 +21,15 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def ensure_namespaces(spark: SparkSession, names: Sequence[str] = ("bronze", "silver", "gold", "landing", "ops")) -> None:
+MEDALLION_NAMESPACES = ("bronze", "silver", "gold", "landing", "ops")
+
+
+def ensure_namespaces(spark: SparkSession, names: Sequence[str] = MEDALLION_NAMESPACES) -> None:
     """Idempotent namespace setup."""
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -193,10 +195,3 @@ def create_or_replace_as_select(
 ) -> str:
     """``CREATE OR REPLACE TABLE t AS SELECT`` for Parquet tables."""
     return publish_version(spark, spark.sql(select_sql), table, root)
-
-
-def read_table_or_empty(spark: SparkSession, table: str) -> DataFrame | None:
-    try:
-        return spark.table(table)
-    except AnalysisException:
-        return None

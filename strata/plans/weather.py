@@ -38,9 +38,17 @@ def _tie_breakers(df: DataFrame) -> list[str]:
     return [c for c in ("_ingest_date", "_source_file") if c in df.columns]
 
 
-def silver_weather(bronze: DataFrame) -> DataFrame:
+WEATHER_BOUNDS = {"temperature_2m": TEMP_RANGE, "relative_humidity_2m": HUMIDITY_RANGE}
+
+
+def silver_weather(bronze: DataFrame, repair: bool = True) -> DataFrame:
     """Type leniently, drop rows without (city, hour), null out-of-range
-    temperature / humidity, keep the latest ingestion per (city, hour)."""
+    temperature / humidity, keep the latest ingestion per (city, hour).
+
+    With ``repair=False`` out-of-range values are kept, so a quality suite
+    run afterwards can quarantine them instead of never seeing them (with
+    repair on, the between-checks can no longer fail); ``out_of_range_counts``
+    reports what the repair would null."""
     typed = bronze.withColumns(
         {
             "observed_at": lenient_timestamp("observed_at"),
@@ -48,11 +56,8 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
         }
     ).filter(F.col("observed_at").isNotNull() & F.col("city").isNotNull())
     bounded = typed.withColumns(
-        {
-            "temperature_2m": null_outside("temperature_2m", *TEMP_RANGE),
-            "relative_humidity_2m": null_outside("relative_humidity_2m", *HUMIDITY_RANGE),
-        }
-    )
+        {c: null_outside(c, *bounds) for c, bounds in WEATHER_BOUNDS.items()}
+    ) if repair else typed
     deduped = dedupe_latest(
         bounded, ["city", "observed_at"], "_ingested_at", tie_breakers=_tie_breakers(bounded)
     )

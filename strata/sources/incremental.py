@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HWM_SCHEMA = "source string, value string, updated_at timestamp, seq bigint"
+HWM_SCHEMA = "source string, value string, updated_at timestamp_ntz, seq bigint"
 
 
 class HighWaterMarks:

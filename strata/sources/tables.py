@@ -1,6 +1,6 @@
 """Table writes without a transactional table format.
 
-What a Delta table gave the Bronze/Silver/Gold jobs is re-expressed on plain
+What a transactional table format gives Bronze/Silver/Gold jobs is re-expressed on plain
 Parquet directories and the session catalog:
 
 * slice replacement (``replaceWhere``): dynamic partition overwrite of the

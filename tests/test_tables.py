@@ -92,3 +92,21 @@ def test_publish_version_partitioned(spark, scratch):
     publish_version(spark, v2, t, partition_by=["d"])
     assert [(r.d, r.x) for r in spark.table(t).collect()] == [("2026-06-02", 20)]
     spark.sql("DROP DATABASE pubpart CASCADE")
+
+
+def test_hot_slice_is_split_over_writers(spark, scratch):
+    """A slice holding all the rows is written by several tasks (AQE splits
+    the rebalance by size), not funnelled into one file."""
+    from pyspark.sql import functions as F
+
+    path = scratch("hot")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        df = spark.range(0, 400_000, numPartitions=4).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+        assert replace_slice(df, path, "_ingest_date", "2026-06-01") == 400_000
+    finally:
+        spark.conf.set(key, previous)
+    files = read_slices(spark, path).select(F.input_file_name()).distinct().count()
+    assert files > 1

@@ -128,16 +128,22 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def database_location(spark: SparkSession, table: str) -> str:
+    """Folder of the table's database (the warehouse folder for ``default``)."""
+    db = table.split(".")[-2] if "." in table else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(db).locationUri
+
+
 def new_version_location(spark: SparkSession, table: str, root: str | None = None) -> str:
-    """A fresh directory for the next version of ``table``: next to the
-    current version, or under ``root`` (default: the warehouse folder) for a
-    new table."""
+    """A fresh directory for the next version of ``table``: under ``root``
+    when given, else next to the current version, else in the table's
+    database folder (shared storage on a cluster)."""
     if root is None:
         current = table_location(spark, table) if table_exists(spark, table) else None
         if current:
             root = current.rstrip("/").rsplit("/", 1)[0]
         else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+            root = database_location(spark, table)
     base = table.replace(".", "__")
     return f"{root.rstrip('/')}/{base}__v{uuid.uuid4().hex[:12]}"
 

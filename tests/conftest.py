@@ -8,9 +8,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from strata.session import build_session
 
-    session = build_session("strata-tests", master="local[2]", shuffle_partitions=2)
+    # tests create databases; keep their default folder out of the repo
+    warehouse = tempfile.mkdtemp(prefix="strata-warehouse-")
+    session = build_session(
+        "strata-tests", master="local[2]", shuffle_partitions=2,
+        conf={"spark.sql.warehouse.dir": warehouse},
+    )
     yield session
     session.stop()
 

@@ -24,14 +24,23 @@ from strata.operators.quality import (
     gate_pass_rate,
     tag_failures,
 )
-from strata.plans.crimes import crimes_weather_daily, gold_crimes_daily
-from strata.plans.weather import gold_daily_weather
+from strata.operators.quality import expect_between, expect_not_null
+from strata.plans.crimes import (
+    crimes_weather_daily,
+    gold_crimes_daily,
+    iucr_updates,
+    scd2_upsert_iucr,
+    silver_crimes,
+)
+from strata.plans.weather import HUMIDITY_RANGE, TEMP_RANGE, gold_daily_weather, silver_weather
+from strata.sources.landing import ingest_bronze
 from strata.sources.tables import (
     append_run,
     new_version_location,
     overwrite_table,
     point_table,
     publish_version,
+    read_slices,
 )
 from strata.streaming import sources as stream_sources
 from strata.streaming.sinks import RunStats, TwoHopPaths, stream_pass
@@ -162,3 +171,52 @@ def station_stream_pass(
         delay=STATION_WATERMARK,
         max_files_per_trigger=max_files_per_trigger,
     )
+
+
+@dataclass
+class MedallionLayout:
+    """Where one deployment keeps its layers."""
+    landing_root: str
+    bronze_root: str
+    quarantine_root: str
+    silver_weather: str
+    silver_crimes: str
+    dim_iucr: str
+    gold: GoldTables
+
+
+def weather_checks() -> list[Check]:
+    return [
+        expect_not_null("city", "observed_at"),
+        expect_between("temperature_2m", *TEMP_RANGE),
+        expect_between("relative_humidity_2m", *HUMIDITY_RANGE),
+    ]
+
+
+def crimes_checks() -> list[Check]:
+    return [expect_not_null("case_number", "occurred_at")]
+
+
+def run_daily(
+    spark: SparkSession, layout: MedallionLayout, ingest_date: str, run_id: str | None = None
+) -> dict[str, SuiteResult]:
+    """One scheduled batch: both sources' landing slices into Bronze, the two
+    Silver steps (weather gated at 95 %, crimes not gated), the IUCR code
+    dimension, then Gold. Returns the quality results per source."""
+    run_id = run_id or f"run-{ingest_date}"
+    for source in ("weather", "crimes"):
+        ingest_bronze(spark, layout.landing_root, source, f"{layout.bronze_root}/{source}", ingest_date)
+
+    weather = silver_step(
+        spark, read_slices(spark, f"{layout.bronze_root}/weather"), silver_weather, weather_checks(),
+        ["city", "observed_at"], layout.silver_weather, "observed_date",
+        f"{layout.quarantine_root}/weather", run_id,
+    )
+    crimes = silver_step(
+        spark, read_slices(spark, f"{layout.bronze_root}/crimes"), silver_crimes, crimes_checks(),
+        ["case_number"], layout.silver_crimes, "occurred_date",
+        f"{layout.quarantine_root}/crimes", run_id, min_pass_rate=None,
+    )
+    scd2_upsert_iucr(spark, iucr_updates(crimes.good), layout.dim_iucr)
+    gold_step(spark, layout.silver_weather, layout.silver_crimes, layout.gold)
+    return {"weather": weather.result, "crimes": crimes.result}

@@ -45,3 +45,53 @@ def test_silver_step_gates_before_publishing(spark, scratch):
     assert all(r["_dq_failures"] == ["between(wind_speed_10m,0,100)"] for r in quarantined)
     assert "_dq_failures" not in spark.table(t).columns
     spark.sql("DROP DATABASE medtest CASCADE")
+
+
+def test_run_daily_end_to_end(spark, scratch):
+    from strata.plans.medallion import GoldTables, MedallionLayout, run_daily
+    from strata.sources.landing import land_batch
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS daily LOCATION '{scratch('db')}'")
+    base = scratch("medallion")
+    layout = MedallionLayout(
+        f"{base}/landing", f"{base}/bronze", f"{base}/quarantine",
+        "daily.silver_weather", "daily.silver_crimes", "daily.dim_iucr",
+        GoldTables("daily.weather_daily", "daily.crimes_daily", "daily.crimes_weather_daily"),
+    )
+    weather = spark.createDataFrame(
+        [("chicago", "2026-06-01T00:00", 10.0, 40.0, 1.0, 5.0),
+         ("chicago", "2026-06-01T12:00", 30.0, 60.0, 2.0, 15.0),
+         ("seattle", "2026-06-01T00:00", 999.0, 50.0, 0.0, 3.0)],
+        "city string, observed_at string, temperature_2m double, relative_humidity_2m double, "
+        "precipitation double, wind_speed_10m double",
+    )
+    crimes_schema = ("case_number string, date string, updated_on string, primary_type string, "
+                     "arrest string, domestic string, latitude string, longitude string, "
+                     "iucr string, description string")
+    crimes = spark.createDataFrame(
+        [("hy1", "2026-06-01T10:00", "2026-06-02T00:00", "theft", "true", "false", "41.9", "-87.6", "0810", "OVER $500"),
+         ("HY2", "2026-06-01T11:00", "2026-06-02T00:00", "theft", "false", "false", "41.9", "-87.6", "0810", "OVER $500"),
+         ("HY3", "bad date", "2026-06-02T00:00", "arson", "false", "false", "41.9", "-87.6", "1010", "BY FIRE")],
+        crimes_schema,
+    )
+    land_batch(weather, layout.landing_root, "weather", "2026-06-02", "w1")
+    land_batch(crimes, layout.landing_root, "crimes", "2026-06-02", "c1")
+    results = run_daily(spark, layout, "2026-06-02")
+    assert results["weather"].pass_rate == 1.0
+    assert (results["crimes"].total_rows, results["crimes"].quarantined_rows) == (3, 1)
+
+    mart = {str(r.occurred_date): r for r in spark.table(layout.gold.crimes_weather_daily).collect()}
+    assert mart["2026-06-01"].incidents == 2 and mart["2026-06-01"].temp_avg_c == 20.0
+    daily = spark.table(layout.gold.crimes_daily).collect()
+    assert [(r.incident_count, r.arrest_count, r.arrest_rate) for r in daily] == [(2, 1, 0.5)]
+
+    # next day: a description changes; the dimension keeps the old version closed
+    land_batch(crimes.limit(1).selectExpr(
+        "case_number", "date", "'2026-06-03T00:00' AS updated_on", "primary_type", "arrest", "domestic",
+        "latitude", "longitude", "iucr", "'OVER $1000' AS description"),
+        layout.landing_root, "crimes", "2026-06-03", "c2")
+    land_batch(weather.limit(0), layout.landing_root, "weather", "2026-06-03", "w2")
+    run_daily(spark, layout, "2026-06-03")
+    dim = sorted((r.description, r.is_current) for r in spark.table(layout.dim_iucr).filter("iucr = '0810'").collect())
+    assert dim == [("OVER $1000", True), ("OVER $500", False)]
+    spark.sql("DROP DATABASE daily CASCADE")

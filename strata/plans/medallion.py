@@ -33,6 +33,7 @@ from strata.plans.crimes import (
     silver_crimes,
 )
 from strata.plans.weather import HUMIDITY_RANGE, TEMP_RANGE, gold_daily_weather, silver_weather
+from strata.session import FANOUT_WRITE_CONF, session_conf
 from strata.sources.landing import ingest_bronze
 from strata.sources.tables import (
     append_run,
@@ -102,12 +103,13 @@ def silver_step(
         ],
     )
     location = new_version_location(spark, silver_table, root)
-    (
-        observed.hint("rebalance", PASSED_COL, partition_col)
-        .write.mode("errorifexists")
-        .partitionBy(PASSED_COL, partition_col)
-        .parquet(location)
-    )
+    with session_conf(spark, FANOUT_WRITE_CONF):
+        (
+            observed.hint("rebalance", PASSED_COL, partition_col)
+            .write.mode("errorifexists")
+            .partitionBy(PASSED_COL, partition_col)
+            .parquet(location)
+        )
     m = metrics.get
     total, passed = int(m.get("total", 0)), int(m.get("passed", 0))
     result = SuiteResult(total, passed, total - passed,

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -98,3 +100,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Apply SQL settings for the statements run inside the block only."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+# A write that fans out into many partition directories costs per file, not
+# per byte: AQE's 1 MB floor would funnel a small table's rebalance into one
+# task that creates every directory's file in turn. During such writes the
+# floor is lowered so the files are created by all cores; a large table's
+# partitions are far above it, so nothing changes at scale.
+FANOUT_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.session import FANOUT_WRITE_CONF, session_conf
+
 
 MEDALLION_NAMESPACES = ("bronze", "silver", "gold", "landing", "ops")
 
@@ -53,12 +55,13 @@ def write_slices(df: DataFrame, path: str, slice_col: str, single_slice: bool =
     obs = Observation(f"slices_{uuid.uuid4().hex[:8]}")
     balanced = df.hint("rebalance") if single_slice else _rebalanced(df, [slice_col])
     counted = balanced.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(slice_col)
-        .parquet(path)
-    )
+    with session_conf(df.sparkSession, {} if single_slice else FANOUT_WRITE_CONF):
+        (
+            counted.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(slice_col)
+            .parquet(path)
+        )
     return int(obs.get.get("rows", 0))
 
 
@@ -110,7 +113,8 @@ def overwrite_table(
         writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with session_conf(df.sparkSession, FANOUT_WRITE_CONF if partition_by else {}):
+        writer.saveAsTable(table)
 
 
 def append_run(df: DataFrame, path: str, run_id: str, run_col: str = "_run_id") -> int:
@@ -191,7 +195,8 @@ def publish_version(
     writer = _rebalanced(df, list(partition_by)).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(location)
+    with session_conf(spark, FANOUT_WRITE_CONF if partition_by else {}):
+        writer.parquet(location)
     point_table(spark, table, location, df.schema, partition_by)
     return location
 

@@ -16,7 +16,6 @@ from strata.operators.flatten import flatten_columnar
 from strata.operators.lineage import stamp_slice
 from strata.operators.quality import (
     FAILURES_COL,
-    expect_between,
     expect_not_null,
     run_suite,
     tag_failures,
@@ -29,7 +28,14 @@ from strata.plans.crimes import (
     scd2_upsert_iucr,
     silver_crimes,
 )
-from strata.plans.medallion import GoldTables, gold_step, silver_step, station_stream_pass
+from strata.plans.medallion import (
+    GoldTables,
+    crimes_checks,
+    gold_step,
+    silver_step,
+    station_stream_pass,
+    weather_checks,
+)
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
 from strata.sources.tables import overwrite_table
@@ -213,7 +219,7 @@ def crimes_silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         crimes_bronze(spark, sf_dir),
         silver_crimes,
-        [expect_not_null("case_number", "occurred_at")],
+        crimes_checks(),
         ["case_number"],
         table,
         "occurred_date",
@@ -234,11 +240,7 @@ def weather_silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         _weather_bronze(spark, sf_dir),
         silver_weather,
-        [
-            expect_not_null("city", "observed_at"),
-            expect_between("temperature_2m", -60, 60),
-            expect_between("relative_humidity_2m", 0, 100),
-        ],
+        weather_checks(),
         ["city", "observed_at"],
         table,
         "observed_date",

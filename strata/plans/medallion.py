@@ -32,7 +32,7 @@ from strata.plans.crimes import (
     scd2_upsert_iucr,
     silver_crimes,
 )
-from strata.plans.weather import HUMIDITY_RANGE, TEMP_RANGE, gold_daily_weather, silver_weather
+from strata.plans.weather import gold_daily_weather, silver_weather
 from strata.session import FANOUT_WRITE_CONF, session_conf
 from strata.sources.landing import ingest_bronze
 from strata.sources.tables import (
@@ -188,10 +188,13 @@ class MedallionLayout:
 
 
 def weather_checks() -> list[Check]:
+    # fixed values: the Silver weather gate's bounds, written as whole numbers
+    # so the check names read between(temperature_2m,-60,60) and
+    # between(relative_humidity_2m,0,100)
     return [
         expect_not_null("city", "observed_at"),
-        expect_between("temperature_2m", *TEMP_RANGE),
-        expect_between("relative_humidity_2m", *HUMIDITY_RANGE),
+        expect_between("temperature_2m", -60, 60),
+        expect_between("relative_humidity_2m", 0, 100),
     ]
 
 

@@ -138,18 +138,64 @@ def database_location(spark: SparkSession, table: str) -> str:
     return spark.catalog.getDatabase(db).locationUri
 
 
+def _version_prefix(table: str) -> str:
+    return f"{table.replace('.', '__')}__v"
+
+
+def versions_root(spark: SparkSession, table: str) -> str | None:
+    """The folder holding the table's version directories, found from its
+    current location (which may point inside a version, e.g. at the passing
+    half of a staged Silver version)."""
+    if not table_exists(spark, table):
+        return None
+    current = (table_location(spark, table) or "").rstrip("/")
+    parts = current.split("/")
+    for i in range(len(parts) - 1, 0, -1):
+        if parts[i].startswith(_version_prefix(table)):
+            return "/".join(parts[:i])
+    return current.rsplit("/", 1)[0] if current else None
+
+
 def new_version_location(spark: SparkSession, table: str, root: str | None = None) -> str:
     """A fresh directory for the next version of ``table``: under ``root``
-    when given, else next to the current version, else in the table's
+    when given, else beside the current version, else in the table's
     database folder (shared storage on a cluster)."""
     if root is None:
-        current = table_location(spark, table) if table_exists(spark, table) else None
-        if current:
-            root = current.rstrip("/").rsplit("/", 1)[0]
-        else:
-            root = database_location(spark, table)
-    base = table.replace(".", "__")
-    return f"{root.rstrip('/')}/{base}__v{uuid.uuid4().hex[:12]}"
+        root = versions_root(spark, table) or database_location(spark, table)
+    return f"{root.rstrip('/')}/{_version_prefix(table)}{uuid.uuid4().hex[:12]}"
+
+
+def vacuum_versions(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` version directories of ``table``
+    (the current one is always kept). Returns the deleted paths.
+
+    Published versions are never modified, only superseded, so a reader
+    still scanning an old version keeps working until that version is
+    vacuumed; choose ``keep`` / the vacuum schedule with that in mind."""
+    root = versions_root(spark, table)
+    if root is None:
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root_path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = root_path.getFileSystem(conf)
+    if not fs.exists(root_path):
+        return []
+    current = (table_location(spark, table) or "").rstrip("/")
+    prefix = _version_prefix(table)
+    versions = sorted(
+        (st for st in fs.listStatus(root_path) if st.isDirectory() and st.getPath().getName().startswith(prefix)),
+        key=lambda st: st.getModificationTime(),
+        reverse=True,
+    )
+    deleted = []
+    for st in versions[max(keep, 1):]:
+        path = st.getPath()
+        if current.startswith(path.toUri().getPath()) or current.startswith(path.toString()):
+            continue
+        fs.delete(path, True)
+        deleted.append(path.toString())
+    return deleted
 
 
 def point_table(

@@ -110,3 +110,19 @@ def test_hot_slice_is_split_over_writers(spark, scratch):
         spark.conf.set(key, previous)
     files = read_slices(spark, path).select(F.input_file_name()).distinct().count()
     assert files > 1
+
+
+def test_versions_stay_siblings_and_vacuum(spark, scratch):
+    from strata.sources.tables import table_location, vacuum_versions, versions_root
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vac LOCATION '{scratch('db')}'")
+    t = "vac.dim"
+    for x in range(4):
+        publish_version(spark, spark.createDataFrame([(x,)], "x int"), t)
+    root = versions_root(spark, t)
+    assert table_location(spark, t).startswith(root)
+    deleted = vacuum_versions(spark, t, keep=2)
+    assert len(deleted) == 2
+    assert [r.x for r in spark.table(t).collect()] == [3]
+    assert vacuum_versions(spark, t, keep=2) == []
+    spark.sql("DROP DATABASE vac CASCADE")

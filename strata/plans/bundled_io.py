@@ -7,6 +7,8 @@ or read back, computed from the whole input table.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,13 @@ from strata.sources.incremental import (
     read_since,
 )
 from strata.sources.landing import ingest_bronze, land_batch
-from strata.sources.tables import read_slices, replace_slice, write_slices
+from strata.sources.tables import (
+    load_table_slices,
+    read_slices,
+    replace_slice,
+    replace_table_slice,
+    write_slices,
+)
 from strata.streaming.sinks import TwoHopPaths, stream_pass
 
 # Fixed parameters (the oracle SQL uses the same values).
@@ -83,6 +91,23 @@ def replace_slice_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_slices(spark, path)
 
 
+def replace_slice_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``replace_slice`` on a catalog table: one bulk load of every year's
+    slice, then 1997 replaced by its fulfilled orders and 1998 by nothing,
+    each as a single partition repoint."""
+    db = "strata_bronze"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    table = f"{db}.orders_{uuid.uuid4().hex[:12]}"
+    o = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", _year_slice().alias("_ingest_date")
+    )
+    load_table_slices(spark, o, table, "_ingest_date")
+    redo = o.filter((F.col("_ingest_date") == "1997-01-01") & (F.col("o_orderstatus") == "F"))
+    replace_table_slice(spark, redo, table, "_ingest_date", "1997-01-01")
+    replace_table_slice(spark, o.filter(F.lit(False)), table, "_ingest_date", "1998-01-01")
+    return spark.table(table)
+
+
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices up to 1997 carry three fields; later slices add a fourth.
     Reading merges the schemas: early rows read NULL for the new field."""
@@ -183,6 +208,7 @@ def windows_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 IO_QUERIES = {
     "landing_bronze": landing_bronze,
     "replace_slice": replace_slice_query,
+    "replace_slice_table": replace_slice_table,
     "schema_evolution": schema_evolution,
     "incremental_cursor": incremental_cursor,
     "incremental_hwm": incremental_hwm,

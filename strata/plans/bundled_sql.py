@@ -507,3 +507,5 @@ WITH {_WEATHER_FLAT}
 SELECT * FROM wsilver"""
 
 ORACLE_SQL["crimes_weather_mart_published"] = ORACLE_SQL["crimes_weather_mart"]
+
+ORACLE_SQL["replace_slice_table"] = ORACLE_SQL["replace_slice"]

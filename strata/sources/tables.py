@@ -252,3 +252,103 @@ def create_or_replace_as_select(
 ) -> str:
     """``CREATE OR REPLACE TABLE t AS SELECT`` for Parquet tables."""
     return publish_version(spark, spark.sql(select_sql), table, root)
+
+
+def _sql_literal(value: str) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def replace_table_slice(
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    slice_col: str,
+    slice_value: str,
+    root: str | None = None,
+) -> str:
+    """Atomic slice replacement for a catalog table partitioned by ``slice_col``.
+
+    The slice's rows are written to a fresh directory, then the partition is
+    pointed at it with one catalog operation, so a reader sees either the old
+    slice or the new one, never a half-written or missing slice, and a failed
+    write leaves the table untouched. Zero rows give an empty slice. Fields
+    new to the table are added to its schema (older slices read NULL for
+    them); a field whose type changed is rejected. Returns the slice's new
+    directory.
+    """
+    rows = df.drop(slice_col) if slice_col in df.columns else df
+    if not table_exists(spark, table):
+        base = root or database_location(spark, table)
+        location = f"{base.rstrip('/')}/{_version_prefix(table)}{uuid.uuid4().hex[:12]}"
+        columns = ", ".join(
+            [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
+            + [f"`{slice_col}` string"]
+        )
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({slice_col}) "
+            f"LOCATION '{location}'"
+        )
+    else:
+        current = {f.name: f.dataType for f in spark.table(table).schema.fields}
+        clashes = [f.name for f in rows.schema.fields if f.name in current and current[f.name] != f.dataType]
+        if clashes:
+            raise ValueError(f"type change for {clashes} in {table}; Bronze fields should stay strings")
+        added = [f for f in rows.schema.fields if f.name not in current]
+        if added:
+            spark.sql(
+                f"ALTER TABLE {table} ADD COLUMNS ("
+                + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                + ")"
+            )
+    root_dir = versions_root(spark, table) or database_location(spark, table)
+    slice_dir = f"{root_dir}/{slice_col}={slice_value}__s{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance").write.mode("errorifexists").parquet(slice_dir)
+    _point_partitions(spark, table, slice_col, {str(slice_value): slice_dir})
+    return slice_dir
+
+
+def _point_partitions(spark: SparkSession, table: str, slice_col: str, locations: dict[str, str]) -> None:
+    """Register or repoint partitions: one catalog statement per slice."""
+    for value, location in locations.items():
+        spec = f"PARTITION ({slice_col} = {_sql_literal(value)})"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
+def load_table_slices(
+    spark: SparkSession, df: DataFrame, table: str, slice_col: str, root: str | None = None
+) -> list[str]:
+    """Bulk form of :func:`replace_table_slice`: every slice present in
+    ``df`` is written by ONE job (rebalanced by slice, hot slices split),
+    then each of those partitions is pointed at its new folder. Slices not
+    in ``df`` are untouched. Returns the slice values written."""
+    if not table_exists(spark, table):
+        replace_table_slice(spark, df.limit(0), table, slice_col, "__init__", root)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({slice_col} = '__init__')")
+    root_dir = versions_root(spark, table) or database_location(spark, table)
+    load_dir = f"{root_dir}/{_version_prefix(table)}load{uuid.uuid4().hex[:12]}"
+    with session_conf(spark, FANOUT_WRITE_CONF):
+        (
+            _rebalanced(df, [slice_col]).write.mode("errorifexists")
+            .partitionBy(slice_col).parquet(load_dir)
+        )
+    with string_partition_values(spark):
+        written = spark.read.parquet(load_dir)
+    # one row per slice folder: the slice values come from the file listing
+    values = sorted(r[0] for r in written.select(slice_col).distinct().collect())
+    folders = {v: f"{load_dir}/{slice_col}={escape_partition_value(v)}" for v in values}
+    _point_partitions(spark, table, slice_col, folders)
+    return values
+
+
+# fixed values: the characters a partition folder name writes as %XX
+# (the Hive path convention Spark follows), besides control characters
+_PATH_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def escape_partition_value(value: str) -> str:
+    """The folder-name form of a partition value."""
+    return "".join(
+        f"%{ord(ch):02X}" if ch in _PATH_ESCAPED or ord(ch) < 0x20 else ch for ch in value
+    )

@@ -254,6 +254,25 @@ def create_or_replace_as_select(
     return publish_version(spark, spark.sql(select_sql), table, root)
 
 
+def add_new_columns(spark: SparkSession, table: str, schema: StructType) -> list[str]:
+    """Evolve ``table`` to accept ``schema``: fields it lacks are appended
+    (existing files read NULL for them); a field whose type differs is
+    rejected rather than silently recast. Returns the added names."""
+    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    clashes = [f.name for f in schema.fields if f.name in current and current[f.name] != f.dataType]
+    if clashes:
+        raise ValueError(f"type change for {clashes} in {table}; Bronze fields should stay strings")
+    added = [f for f in schema.fields if f.name not in current]
+    if added:
+        spark.sql(
+            f"ALTER TABLE {table} ADD COLUMNS ("
+            + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            + ")"
+        )
+        spark.catalog.refreshTable(table)
+    return [f.name for f in added]
+
+
 def _sql_literal(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -289,17 +308,7 @@ def replace_table_slice(
             f"LOCATION '{location}'"
         )
     else:
-        current = {f.name: f.dataType for f in spark.table(table).schema.fields}
-        clashes = [f.name for f in rows.schema.fields if f.name in current and current[f.name] != f.dataType]
-        if clashes:
-            raise ValueError(f"type change for {clashes} in {table}; Bronze fields should stay strings")
-        added = [f for f in rows.schema.fields if f.name not in current]
-        if added:
-            spark.sql(
-                f"ALTER TABLE {table} ADD COLUMNS ("
-                + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-                + ")"
-            )
+        add_new_columns(spark, table, rows.schema)
     root_dir = versions_root(spark, table) or database_location(spark, table)
     slice_dir = f"{root_dir}/{slice_col}={slice_value}__s{uuid.uuid4().hex[:12]}"
     rows.hint("rebalance").write.mode("errorifexists").parquet(slice_dir)

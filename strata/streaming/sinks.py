@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.sources.tables import add_new_columns
 from strata.streaming.sources import (
     DEFAULT_MAX_FILES_PER_TRIGGER,
     read_json_stream,
@@ -135,6 +136,8 @@ def stream_pass(
     )
     bronze_stream = read_json_stream(spark, paths.landing, schema, max_files_per_trigger)
     bronze_schema = bronze_stream.schema
+    if paths.bronze_table and spark.catalog.tableExists(paths.bronze_table):
+        add_new_columns(spark, paths.bronze_table, bronze_schema)  # evolved fields
     hop1 = run_available_now(
         bronze_stream, f"{paths.checkpoints}/bronze", path=paths.bronze, table=paths.bronze_table
     )

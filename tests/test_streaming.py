@@ -91,3 +91,27 @@ def test_stream_schema_evolution_appends_fields(spark, scratch):
     assert sorted((r.trip_id, r.bike) for r in bronze.collect()) == [("t1", None), ("t2", "ebike")]
     gold = sorted((r.window_start.hour, r.event_count) for r in spark.read.parquet(paths.gold).collect())
     assert gold == [(11, 1)]
+
+
+def test_stream_schema_evolution_into_tables(spark, scratch):
+    from strata.plans.medallion import read_events_stream
+    from strata.streaming.sinks import stream_pass
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS evo LOCATION '{scratch('db')}'")
+    base = scratch("evolve_t")
+    paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt",
+                        bronze_table="evo.bronze", gold_table="evo.gold")
+    args = dict(ts_col="event_ts", keys=["station_id"], required=["trip_id", "event_ts"],
+                hints_ddl="event_ts TIMESTAMP")
+    spark.createDataFrame([("t1", "S1", "2026-06-01T11:00:00+00:00")], "trip_id string, station_id string, event_ts string") \
+        .write.mode("append").json(paths.landing)
+    stream_pass(spark, paths, **args)
+    spark.createDataFrame([("t2", "S1", "2026-06-01T12:00:00+00:00", "ebike")],
+                          "trip_id string, station_id string, event_ts string, bike string") \
+        .write.mode("append").json(paths.landing)
+    stream_pass(spark, paths, evolve_schema=True, **args)
+    assert sorted((r.trip_id, r.bike) for r in spark.table("evo.bronze").collect()) == [("t1", None), ("t2", "ebike")]
+    # the station reader applies the station hints: event_ts arrives typed
+    events = read_events_stream(spark, paths.landing, f"{base}/station_schema")
+    assert dict(events.dtypes)["event_ts"] == "timestamp" and events.isStreaming
+    spark.sql("DROP DATABASE evo CASCADE")

@@ -66,11 +66,13 @@ def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a string-typed bronze feed with derived dirt."""
     o = load(spark, sf_dir, "orders")
-    low_pending = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    key = F.col("o_orderkey").cast("string")
+    low_pending = (status == "P") & (priority == "5-LOW")
     return o.select(
-        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit(" ")))
-        .when(~((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")),
-              F.col("o_orderkey").cast("string"))
+        # padded for medium priority, missing for open urgent orders
+        F.when(priority == "3-MEDIUM", F.concat(F.lit(" "), key, F.lit(" ")))
+        .when(~((status == "O") & (priority == "1-URGENT")), key)
         .alias("raw_key"),
         F.when(low_pending, F.lit("not-a-date"))
         .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("raw_date"),

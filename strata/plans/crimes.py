@@ -57,7 +57,9 @@ def gold_crimes_daily(silver: DataFrame) -> DataFrame:
     )
 
 
-def crimes_weather_daily(crimes_daily: DataFrame, weather_daily: DataFrame, city: str = MART_CITY) -> DataFrame:
+def crimes_weather_daily(
+    crimes_daily: DataFrame, weather_daily: DataFrame, city: str = MART_CITY
+) -> DataFrame:
     """Incidents per day with that day's weather in ``city`` (NULL when the
     city has no weather row that day)."""
     return rollup_mart(
@@ -81,7 +83,9 @@ def iucr_updates(good: DataFrame, effective_from=None) -> DataFrame:
     return latest.select(*IUCR_KEYS, *IUCR_TRACKED, start.alias("effective_from"))
 
 
-def scd2_upsert_iucr(spark: SparkSession, updates: DataFrame, target_table: str, root: str | None = None) -> str:
+def scd2_upsert_iucr(
+    spark: SparkSession, updates: DataFrame, target_table: str, root: str | None = None
+) -> str:
     """Apply ``updates`` (iucr, primary_type, description, effective_from) to
     the Type 2 dimension ``target_table`` and publish the new version."""
     if not table_exists(spark, target_table):

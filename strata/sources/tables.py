@@ -184,7 +184,10 @@ def vacuum_versions(spark: SparkSession, table: str, keep: int = 2) -> list[str]
     current = (table_location(spark, table) or "").rstrip("/")
     prefix = _version_prefix(table)
     versions = sorted(
-        (st for st in fs.listStatus(root_path) if st.isDirectory() and st.getPath().getName().startswith(prefix)),
+        (
+            st for st in fs.listStatus(root_path)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)
+        ),
         key=lambda st: st.getModificationTime(),
         reverse=True,
     )

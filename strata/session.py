@@ -44,6 +44,14 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    if "spark.sql.sources.parallelPartitionDiscovery.parallelism" not in settings:
+        # listing a date-partitioned table launches one task per folder by
+        # default (up to 10,000); one task per core lists the same folders
+        # with a fraction of the scheduling
+        spark.conf.set(
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+            str(spark.sparkContext.defaultParallelism),
+        )
     ensure_utc(spark)
     checkpoint_root(spark)
     return spark

@@ -104,6 +104,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it
+    (local, HDFS or an object store alike)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")

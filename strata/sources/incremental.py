@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strata.session import path_exists
+
 HWM_SCHEMA = "source string, value string, updated_at timestamp_ntz, seq bigint"
 
 
@@ -26,12 +27,9 @@ class HighWaterMarks:
         self.path = path
 
     def _table(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(HWM_SCHEMA).parquet(self.path)
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" in str(err):
-                return None
-            raise
+        if not path_exists(self.spark, self.path):
+            return None
+        return self.spark.read.schema(HWM_SCHEMA).parquet(self.path)
 
     def get(self, source: str, default: str) -> str:
         table = self._table()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.lineage import file_path_column, stamp_slice
+from strata.session import path_exists
 from strata.sources.tables import replace_slice, string_partition_values
 
 
@@ -73,15 +74,17 @@ def read_landing(
         reader = reader.schema(schema)
     else:
         reader = reader.option("primitivesAsString", "true").option("samplingRatio", sampling_ratio)
+    empty_schema = schema if schema is not None else "_corrupt_record string"
+    empty = spark.createDataFrame([], empty_schema).withColumn("_source_file", F.lit(None).cast("string"))
+    if not path_exists(spark, path):
+        return empty
     try:
         with string_partition_values(spark):
             df = reader.json(path)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
+        if "UNABLE_TO_INFER_SCHEMA" not in str(err):  # only empty files were landed
             raise
-        empty_schema = schema if schema is not None else "_corrupt_record string"
-        df = spark.createDataFrame([], empty_schema)
-        return df.withColumn("_source_file", F.lit(None).cast("string"))
+        return empty
     return df.withColumn("_source_file", file_path_column())
 
 

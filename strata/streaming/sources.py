@@ -17,15 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from strata.operators.lineage import file_path_column
+from strata.session import path_exists
 
 
 def _read_persisted(spark: SparkSession, schema_location: str) -> StructType | None:
-    try:
-        rows = spark.read.text(schema_location).collect()  # one line: the schema JSON
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err):
-            return None
-        raise
+    if not path_exists(spark, schema_location):
+        return None
+    rows = spark.read.text(schema_location).collect()  # one line: the schema JSON
     return StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
@@ -74,7 +72,7 @@ def resolve_schema(
     new fields; otherwise a rerun costs no scan of the backlog."""
     persisted = _read_persisted(spark, schema_location) if schema_location else None
     inferred = StructType([])
-    if persisted is None or evolve:
+    if (persisted is None or evolve) and path_exists(spark, source_path):
         try:
             inferred = (
                 spark.read.option("samplingRatio", sampling_ratio)
@@ -83,7 +81,7 @@ def resolve_schema(
                 .schema
             )
             inferred = StructType([f for f in inferred.fields if f.name != "_corrupt_record"])
-        except AnalysisException:
+        except AnalysisException:  # a folder without readable records yet
             pass
     resolved = merge_schemas(persisted, apply_hints(inferred, hints_ddl))
     if not resolved.fields:

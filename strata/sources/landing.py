@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators.lineage import file_path_column, stamp_slice
 from strata.session import path_exists
-from strata.sources.tables import replace_slice, string_partition_values
+from strata.sources.tables import replace_slice, replace_table_slice, string_partition_values
 
 
 def new_batch_id() -> str:
@@ -102,3 +102,22 @@ def ingest_bronze(
     raw = read_landing(spark, landing_root, source, d, schema)
     bronze = stamp_slice(raw, source, d)
     return replace_slice(bronze.drop("_ingest_date"), bronze_path, "_ingest_date", d)
+
+
+def ingest_bronze_table(
+    spark: SparkSession,
+    landing_root: str,
+    source: str,
+    table: str,
+    ingest_date: str | None = None,
+    schema: StructType | str | None = None,
+) -> str:
+    """Landing slice -> Bronze catalog table partitioned by ``_ingest_date``.
+
+    The slice is written to a fresh folder and the partition repointed in
+    one catalog operation (see ``replace_table_slice``): a rerun replaces the
+    slice, readers never see it half-replaced, and fields that appear in a
+    later batch are added to the table. Returns the slice's folder."""
+    d = ingest_date or today_utc()
+    bronze = stamp_slice(read_landing(spark, landing_root, source, d, schema), source, d)
+    return replace_table_slice(spark, bronze, table, "_ingest_date", d)

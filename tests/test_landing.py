@@ -56,3 +56,19 @@ def test_multiline_payload_documents_flatten(spark, scratch):
         ("chicago", "2026-06-01T01:00", 20.9, None),
         ("seattle", "2026-06-01T00:00", 12.0, 0.4),
     ]
+
+
+def test_ingest_bronze_table_replaces_and_evolves(spark, scratch):
+    from strata.sources.landing import ingest_bronze_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bronzedb LOCATION '{scratch('db')}'")
+    root, t = scratch("landing"), "bronzedb.events"
+    land_batch(spark.createDataFrame([(1,), (2,)], "id long"), root, "src", "2026-06-01", "b1")
+    ingest_bronze_table(spark, root, "src", t, "2026-06-01")
+    ingest_bronze_table(spark, root, "src", t, "2026-06-01")  # rerun replaces
+    land_batch(spark.createDataFrame([(3, "new")], "id long, extra string"), root, "src", "2026-06-02", "b2")
+    ingest_bronze_table(spark, root, "src", t, "2026-06-02")
+    rows = sorted((r.id, r.extra, r._ingest_date, r._batch_id) for r in spark.table(t).collect())
+    assert rows == [("1", None, "2026-06-01", "src-2026-06-01"), ("2", None, "2026-06-01", "src-2026-06-01"),
+                    ("3", "new", "2026-06-02", "src-2026-06-02")]
+    spark.sql("DROP DATABASE bronzedb CASCADE")

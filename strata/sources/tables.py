@@ -320,11 +320,19 @@ def replace_table_slice(
 
 
 def _point_partitions(spark: SparkSession, table: str, slice_col: str, locations: dict[str, str]) -> None:
-    """Register or repoint partitions: one catalog statement per slice."""
-    for value, location in locations.items():
-        spec = f"PARTITION ({slice_col} = {_sql_literal(value)})"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{location}'")
-        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{location}'")
+    """Register new partitions (all in one statement) and repoint existing
+    ones (one metadata statement each)."""
+    # SHOW PARTITIONS lists folder-name forms: compare escaped values
+    existing = {
+        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    }
+    spec = lambda value: f"PARTITION ({slice_col} = {_sql_literal(value)})"
+    known = {v for v in locations if escape_partition_value(v) in existing}
+    new = [f"{spec(v)} LOCATION '{loc}'" for v, loc in locations.items() if v not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new))
+    for value in known:
+        spark.sql(f"ALTER TABLE {table} {spec(value)} SET LOCATION '{locations[value]}'")
     spark.catalog.refreshTable(table)
 
 

@@ -164,4 +164,8 @@ def test_load_table_slices_bulk_then_replace(spark, scratch):
     replace_table_slice(spark, df.filter("id = '1'"), t, "d", "2026-06-01")
     load_table_slices(spark, spark.createDataFrame([("9", "2026-06-03")], "id string, d string"), t, "d")
     assert sorted(r.id for r in spark.table(t).collect()) == ["1", "3", "9"]
+    # a value written as an escaped folder name is replaced, not duplicated
+    replace_table_slice(spark, df.filter("id = '2'"), t, "d", "2026-06-02 10:00")
+    assert sorted((r.id, r.d) for r in spark.table(t).collect()) == [
+        ("1", "2026-06-01"), ("2", "2026-06-02 10:00"), ("9", "2026-06-03")]
     spark.sql("DROP DATABASE bulkdb CASCADE")

@@ -55,3 +55,55 @@ def test_scd2_merge_matches_brute_force(spark, current, updates):
             expected.append((k, v, t1, None, True))
     expected = sorted((k or "", -1 if v is None else v, f, t, c) for k, v, f, t, c in expected)
     assert got == expected
+
+
+arrays = st.one_of(st.none(), st.lists(st.integers(0, 9), max_size=4))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(arrays, arrays, arrays), max_size=6))
+def test_flatten_matches_brute_force(spark, docs):
+    from pyspark.sql import functions as F
+
+    from strata.operators.flatten import flatten_columnar
+
+    rows = [(i, t, a, b) for i, (t, a, b) in enumerate(docs)]
+    df = spark.createDataFrame(rows, "id int, t array<int>, a array<int>, b array<int>").select(
+        "id", F.struct("t", "a", "b").alias("p"))
+    order = lambda r: tuple((x is None, x or 0) for x in r)
+    got = sorted((tuple(r) for r in flatten_columnar(df, "p", index_field="t", keep=["id"]).collect()), key=order)
+    expected = []
+    for i, t, a, b in rows:
+        for pos, value in enumerate(t or []):
+            pick = lambda arr: arr[pos] if arr is not None and pos < len(arr) else None
+            expected.append((i, value, pick(a), pick(b)))
+    assert got == sorted(expected, key=order)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["x", "y", "z"])),
+                          st.one_of(st.none(), st.just(float("nan")), st.floats(-5, 15))), max_size=20))
+def test_suite_metrics_match_brute_force(spark, rows):
+    from strata.operators.quality import expect_between, expect_not_null, expect_values_in, run_suite
+
+    df = spark.createDataFrame(rows, "k string, v double")
+    checks = [expect_not_null("k"), expect_between("v", 0, 10), expect_values_in("k", ["x", "y"])]
+    good, quarantine, result = run_suite(df, checks)
+
+    def fails(k, v):
+        out = []
+        if k is None:
+            out.append("not_null(k)")
+        if v is not None and not (0 <= v <= 10):  # NaN is outside
+            out.append("between(v,0,10)")
+        if k is not None and k not in ("x", "y"):
+            out.append("values_in(k)")
+        return out
+
+    expected = [fails(k, v) for k, v in rows]
+    assert result.total_rows == len(rows)
+    assert result.passed_rows == sum(1 for f in expected if not f)
+    for c in checks:
+        assert result.failures_by_check[c.name] == sum(1 for f in expected if c.name in f)
+    assert sorted(tuple(r["_dq_failures"]) for r in quarantine.collect()) == sorted(tuple(f) for f in expected if f)
+    assert good.count() == result.passed_rows

@@ -107,3 +107,33 @@ def test_suite_metrics_match_brute_force(spark, rows):
         assert result.failures_by_check[c.name] == sum(1 for f in expected if c.name in f)
     assert sorted(tuple(r["_dq_failures"]) for r in quarantine.collect()) == sorted(tuple(f) for f in expected if f)
     assert good.count() == result.passed_rows
+
+
+day = st.sampled_from(["2026-06-01", "2026-06-02", "2026-06-03", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(day, st.integers(0, 5)), max_size=8),
+       st.lists(st.tuples(day, st.sampled_from(["chicago", "seattle"]), st.integers(0, 9)), max_size=6))
+def test_rollup_mart_equals_join_then_group(spark, facts, dims):
+    """Same answer as LEFT JOIN + GROUP BY, also when a date has several
+    matching dimension rows (the sum is multiplied, as the join would)."""
+    from pyspark.sql import functions as F
+
+    from strata.operators.gold import rollup_mart
+
+    f = spark.createDataFrame(facts, "d string, n int")
+    w = spark.createDataFrame(dims, "d string, city string, t int")
+    got = rollup_mart(f, w, "d", "d", F.col("city") == "chicago", {"total": "n"}, {"t": "t"})
+    f.createOrReplaceTempView("facts_v")
+    w.createOrReplaceTempView("dims_v")
+    sql = spark.sql("""
+        SELECT f.d, SUM(f.n) AS total, collect_set(w.t) AS ts
+        FROM facts_v f LEFT JOIN dims_v w ON w.city = 'chicago' AND w.d = f.d
+        GROUP BY f.d""")
+    want = {r.d: (r.total, set(r.ts)) for r in sql.collect()}
+    have = {r.d: (r.total, r.t) for r in got.collect()}
+    assert set(have) == set(want)
+    for d, (total, t) in have.items():
+        assert total == want[d][0]
+        assert (t is None and not want[d][1]) or t in want[d][1]  # ANY_VALUE picks one of them

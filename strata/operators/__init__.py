@@ -12,6 +12,7 @@ from strata.operators.quality import (
     expect_not_null,
     expect_values_in,
     gate_pass_rate,
+    out_of_range_counts,
     run_suite,
     suite_metrics,
     tag_failures,
@@ -36,6 +37,7 @@ __all__ = [
     "flatten_columnar",
     "flatten_map_payload",
     "gate_pass_rate",
+    "out_of_range_counts",
     "rollup_mart",
     "run_suite",
     "scd2_initial",

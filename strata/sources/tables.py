@@ -31,10 +31,32 @@ from strata.session import FANOUT_WRITE_CONF, session_conf
 MEDALLION_NAMESPACES = ("bronze", "silver", "gold", "landing", "ops")
 
 
-def ensure_namespaces(spark: SparkSession, names: Sequence[str] = MEDALLION_NAMESPACES) -> None:
-    """Idempotent namespace setup."""
+# the file areas beside the tables: raw landing, the stream drop zone and
+# stream checkpoints
+MEDALLION_FOLDERS = ("landing/raw", "landing/events", "ops/checkpoints")
+
+
+def ensure_namespaces(
+    spark: SparkSession, names: Sequence[str] = MEDALLION_NAMESPACES, root: str | None = None
+) -> None:
+    """Idempotent namespace setup; with ``root`` each namespace keeps its
+    tables in ``{root}/{name}``."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        location = f" LOCATION '{root.rstrip('/')}/{name}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
+
+
+def ensure_folders(spark: SparkSession, root: str, folders: Sequence[str] = MEDALLION_FOLDERS) -> list[str]:
+    """Idempotent creation of the file areas under ``root`` (any Hadoop
+    file system). Returns their paths."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = []
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{folder}")
+        path.getFileSystem(conf).mkdirs(path)
+        paths.append(path.toString())
+    return paths
 
 
 def _rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:

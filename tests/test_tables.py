@@ -169,3 +169,17 @@ def test_load_table_slices_bulk_then_replace(spark, scratch):
     assert sorted((r.id, r.d) for r in spark.table(t).collect()) == [
         ("1", "2026-06-01"), ("2", "2026-06-02 10:00"), ("9", "2026-06-03")]
     spark.sql("DROP DATABASE bulkdb CASCADE")
+
+
+def test_setup_is_idempotent(spark, scratch):
+    from strata.session import path_exists
+    from strata.sources.tables import ensure_folders, ensure_namespaces
+
+    root = scratch("setup")
+    for _ in range(2):
+        ensure_namespaces(spark, ["setup_bronze", "setup_gold"], root=root)
+        paths = ensure_folders(spark, root)
+    assert all(path_exists(spark, p) for p in paths) and len(paths) == 3
+    assert spark.catalog.getDatabase("setup_gold").locationUri.endswith("/setup_gold")
+    for db in ("setup_bronze", "setup_gold"):
+        spark.sql(f"DROP DATABASE {db} CASCADE")

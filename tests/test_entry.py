@@ -13,7 +13,15 @@ def test_every_oracle_has_a_query():
     assert len(qs) >= 28
 
 
+# a row limit is only allowed where it is the feature (one page of a reader)
+LIMIT_IS_THE_FEATURE = {"keyset_page"}
+
+
 def test_every_query_runs_on_smallest_fixture(spark):
     for name, fn in entry.queries().items():
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.count() >= 0, name
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if name not in LIMIT_IS_THE_FEATURE:  # (WindowGroupLimit is top-1 per key, not a cap)
+            assert "GlobalLimit" not in plan and "LocalLimit" not in plan, name
+            assert "Sample" not in plan, name

@@ -15,6 +15,8 @@ def test_every_oracle_has_a_query():
 
 # a row limit is only allowed where it is the feature (one page of a reader)
 LIMIT_IS_THE_FEATURE = {"keyset_page"}
+# broadcast hints only on data with a proven bound (one row per partition)
+BOUNDED_BROADCAST = {"paged_read"}
 
 
 def test_every_query_runs_on_smallest_fixture(spark):
@@ -25,3 +27,5 @@ def test_every_query_runs_on_smallest_fixture(spark):
         if name not in LIMIT_IS_THE_FEATURE:  # (WindowGroupLimit is top-1 per key, not a cap)
             assert "GlobalLimit" not in plan and "LocalLimit" not in plan, name
             assert "Sample" not in plan, name
+        if name not in BOUNDED_BROADCAST:
+            assert "BROADCAST" not in plan.upper(), name

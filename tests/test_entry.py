@@ -29,3 +29,6 @@ def test_every_query_runs_on_smallest_fixture(spark):
             assert "Sample" not in plan, name
         if name not in BOUNDED_BROADCAST:
             assert "BROADCAST" not in plan.upper(), name
+        # no Python in the hot path, no cross joins
+        assert "PythonUDF" not in plan and "pythonUDF" not in plan, name
+        assert "Join Cross" not in plan and "Cartesian" not in plan, name

@@ -44,6 +44,11 @@ def test_silver_step_gates_before_publishing(spark, scratch):
     assert len(quarantined) == 2
     assert all(r["_dq_failures"] == ["between(wind_speed_10m,0,100)"] for r in quarantined)
     assert "_dq_failures" not in spark.table(t).columns
+    # retention: older staged versions go, the published one stays readable
+    from strata.sources.tables import vacuum_versions
+
+    assert len(vacuum_versions(spark, t, keep=1)) >= 1
+    assert spark.table(t).count() == 2
     spark.sql("DROP DATABASE medtest CASCADE")
 
 

@@ -20,6 +20,7 @@ from strata.sources.incremental import (
     cursor_max,
     date_window,
     keyset_page,
+    page_by_number,
     read_date_window,
     read_since,
 )
@@ -38,6 +39,7 @@ CURSOR_HWM = "1999-06-30 00:00:00"
 WINDOW_HWM = "1997-06-01"
 WINDOW_TODAY = "1998-01-03"
 PAGE_SIZE = 1000
+PAGE_NUMBER = 3
 KEYSET_AFTER = ("1998-01-01 00:00:00", 0)
 LATE_TYPE = "click"
 EVENT_HINTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE"
@@ -152,6 +154,12 @@ def paged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_pages(o, ["o_orderdate", "o_orderkey"], PAGE_SIZE)
 
 
+def page_by_number_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page ``PAGE_NUMBER`` of the orders in (orderdate, orderkey) order."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    return page_by_number(o, ["o_orderdate", "o_orderkey"], PAGE_SIZE, PAGE_NUMBER)
+
+
 def keyset_page_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page that follows key ``KEYSET_AFTER`` (a page of ``PAGE_SIZE`` rows)."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
@@ -215,6 +223,7 @@ IO_QUERIES = {
     "incremental_window": incremental_window,
     "paged_read": paged_read,
     "keyset_page": keyset_page_query,
+    "page_by_number": page_by_number_query,
     "windows_stream": windows_stream,
     "windows_stream_late": windows_stream_late,
 }

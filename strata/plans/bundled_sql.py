@@ -509,3 +509,11 @@ SELECT * FROM wsilver"""
 ORACLE_SQL["crimes_weather_mart_published"] = ORACLE_SQL["crimes_weather_mart"]
 
 ORACLE_SQL["replace_slice_table"] = ORACLE_SQL["replace_slice"]
+
+ORACLE_SQL["page_by_number"] = """
+WITH n AS (
+  SELECT o_orderkey, o_orderdate, o_custkey,
+         row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_ordinal
+  FROM orders
+)
+SELECT *, row_ordinal // 1000 AS page_no FROM n WHERE row_ordinal // 1000 = 3"""

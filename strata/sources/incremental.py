@@ -173,3 +173,13 @@ def assign_pages(
     return numbered.withColumn(page_col, F.floor(F.col(ordinal_col) / page_size)).drop(
         "_pid", "_mid", "_offset"
     )
+
+
+def page_by_number(
+    df: DataFrame, order_cols: Sequence[str], page_size: int, page: int
+) -> DataFrame:
+    """OFFSET-style page ``page`` (0-based) in ``order_cols`` order, computed
+    from the distributed numbering rather than by sorting all earlier pages
+    into one task. For walking through pages in sequence, ``keyset_page``
+    is cheaper; this answers "give me page k" directly."""
+    return assign_pages(df, order_cols, page_size).filter(F.col("page_no") == page)

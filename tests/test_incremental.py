@@ -63,3 +63,12 @@ def test_spread_only_when_scan_is_narrow(spark):
     assert spread(narrow, 4).rdd.getNumPartitions() == 4
     wide = spark.range(0, 100, numPartitions=6)
     assert spread(wide, 4) is wide
+
+
+def test_page_by_number_equals_offset_limit(spark):
+    from strata.sources.incremental import page_by_number
+
+    df = spark.range(0, 500).select((F.col("id") % 11).alias("a"), F.col("id").alias("b"))
+    got = [(r.a, r.b) for r in page_by_number(df, ["a", "b"], 40, 3).orderBy("a", "b").collect()]
+    want = [(r.a, r.b) for r in df.orderBy("a", "b").offset(120).limit(40).collect()]
+    assert got == want

@@ -394,3 +394,67 @@ def escape_partition_value(value: str) -> str:
     return "".join(
         f"%{ord(ch):02X}" if ch in _PATH_ESCAPED or ord(ch) < 0x20 else ch for ch in value
     )
+
+
+def unescape_partition_value(name: str) -> str:
+    """Inverse of :func:`escape_partition_value`."""
+    out, i = [], 0
+    while i < len(name):
+        hex_digits = name[i + 1:i + 3]
+        if name[i] == "%" and len(hex_digits) == 2 and all(c in "0123456789ABCDEFabcdef" for c in hex_digits):
+            out.append(chr(int(name[i + 1:i + 3], 16)))
+            i += 3
+        else:
+            out.append(name[i])
+            i += 1
+    return "".join(out)
+
+
+def partition_locations(spark: SparkSession, table: str, slice_col: str) -> dict[str, str]:
+    """Slice value -> the folder the catalog reads it from (metadata only)."""
+    out = {}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = unescape_partition_value(row[0].split("=", 1)[1])
+        desc = spark.sql(
+            f"DESCRIBE TABLE EXTENDED {table} PARTITION ({slice_col} = {_sql_literal(value)})"
+        ).filter(F.col("col_name") == "Location").collect()
+        if desc:
+            out[value] = desc[0]["data_type"].rstrip("/")
+    return out
+
+
+def vacuum_slices(spark: SparkSession, table: str, slice_col: str) -> list[str]:
+    """Delete slice folders of a catalog table that no partition reads any
+    more (superseded by :func:`replace_table_slice`). A bulk-load folder goes
+    once none of its slices is live; until then only its dead slices go.
+    Returns the deleted paths."""
+    root = versions_root(spark, table)
+    if root is None:
+        return []
+    live = set(partition_locations(spark, table, slice_col).values())
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root_path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = root_path.getFileSystem(conf)
+    deleted = []
+
+    def drop(path) -> None:
+        fs.delete(path, True)
+        deleted.append(path.toString())
+
+    for st in fs.listStatus(root_path):
+        path, name = st.getPath(), st.getPath().getName()
+        if not st.isDirectory():
+            continue
+        if name.startswith(f"{slice_col}=") and "__s" in name:
+            if path.toString() not in live:
+                drop(path)
+        elif name.startswith(f"{_version_prefix(table)}load"):
+            children = [c.getPath() for c in fs.listStatus(path) if c.isDirectory()]
+            dead = [c for c in children if c.toString() not in live]
+            if len(dead) == len(children):
+                drop(path)
+            else:
+                for child in dead:
+                    drop(child)
+    return deleted

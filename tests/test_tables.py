@@ -183,3 +183,22 @@ def test_setup_is_idempotent(spark, scratch):
     assert spark.catalog.getDatabase("setup_gold").locationUri.endswith("/setup_gold")
     for db in ("setup_bronze", "setup_gold"):
         spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_vacuum_slices_keeps_live_folders(spark, scratch):
+    from strata.sources.tables import load_table_slices, partition_locations, replace_table_slice, vacuum_slices
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vacs LOCATION '{scratch('db')}'")
+    t = "vacs.bronze"
+    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c 10:00")], "id string, d string")
+    load_table_slices(spark, df, t, "d")                                       # one load folder, 3 slices
+    replace_table_slice(spark, df.filter("id = '1'"), t, "d", "a")              # slice a moves out
+    replace_table_slice(spark, df.filter("id = '1'"), t, "d", "a")              # and again: one dead copy
+    deleted = vacuum_slices(spark, t, "d")
+    # the first replacement of a, slice a inside the load folder, and the
+    # empty placeholder slice written when the table was created
+    assert len(deleted) == 3
+    assert sorted((r.id, r.d) for r in spark.table(t).collect()) == [("1", "a"), ("2", "b"), ("3", "c 10:00")]
+    assert set(partition_locations(spark, t, "d")) == {"a", "b", "c 10:00"}
+    assert vacuum_slices(spark, t, "d") == []
+    spark.sql("DROP DATABASE vacs CASCADE")

@@ -16,7 +16,7 @@ def test_every_oracle_has_a_query():
 # a row limit is only allowed where it is the feature (one page of a reader)
 LIMIT_IS_THE_FEATURE = {"keyset_page"}
 # broadcast hints only on data with a proven bound (one row per partition)
-BOUNDED_BROADCAST = {"paged_read"}
+BOUNDED_BROADCAST = {"paged_read", "page_by_number"}
 
 
 def test_every_query_runs_on_smallest_fixture(spark):

@@ -95,11 +95,12 @@ def ingest_bronze(
     bronze_path: str,
     ingest_date: str | None = None,
     schema: StructType | str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> int:
     """Landing slice -> Bronze slice: stamp lineage (keeping each row's own
     file) and replace the ``_ingest_date`` slice. Returns rows written."""
     d = ingest_date or today_utc()
-    raw = read_landing(spark, landing_root, source, d, schema)
+    raw = read_landing(spark, landing_root, source, d, schema, sampling_ratio=sampling_ratio)
     bronze = stamp_slice(raw, source, d)
     return replace_slice(bronze.drop("_ingest_date"), bronze_path, "_ingest_date", d)
 
@@ -111,6 +112,7 @@ def ingest_bronze_table(
     table: str,
     ingest_date: str | None = None,
     schema: StructType | str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> str:
     """Landing slice -> Bronze catalog table partitioned by ``_ingest_date``.
 
@@ -119,5 +121,6 @@ def ingest_bronze_table(
     slice, readers never see it half-replaced, and fields that appear in a
     later batch are added to the table. Returns the slice's folder."""
     d = ingest_date or today_utc()
-    bronze = stamp_slice(read_landing(spark, landing_root, source, d, schema), source, d)
+    raw = read_landing(spark, landing_root, source, d, schema, sampling_ratio=sampling_ratio)
+    bronze = stamp_slice(raw, source, d)
     return replace_table_slice(spark, bronze, table, "_ingest_date", d)

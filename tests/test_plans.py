@@ -65,3 +65,15 @@ def test_quality_tagging_stays_in_codegen(spark):
                 assert "codegen id" in line, line
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_date_window_filter_reaches_the_scan(spark, scratch):
+    from datetime import date
+
+    from strata.sources.incremental import read_date_window
+
+    path = scratch("window")
+    spark.range(0, 10).withColumn("u", F.col("id").cast("timestamp").cast("timestamp_ntz")).write.parquet(path)
+    plan = _plan(read_date_window(spark.read.parquet(path), "u", date(1970, 1, 1), date(1970, 1, 2)))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
+    assert "GreaterThanOrEqual(u," in pushed and "LessThan(u," in pushed

@@ -8,10 +8,10 @@ the bound are formed:
 * Equal sets are one row of the matrix (class), found by a set fingerprint.
 * Columns are ordered by rising frequency. A row keeps its first
   ``n // 4 + 1`` columns: two rows that link share one of them, as each holds
-  three quarters of the other. The order uses a sketch of fixed size; any
-  order gives the same links.
-* Stars first: within a column, every row is paired with the smallest row
-  only, which joins large groups of near copies at a linear cost.
+  three quarters of the other. Frequencies come from a sketch of fixed size,
+  summed over all documents; any order gives the same links.
+* Stars first: a row is paired with the few rows that come first in most of
+  its columns, which joins large groups of near copies at a linear cost.
 * Then the product: pairs of rows of a column in different components, column
   by column in blocks of at most ``BLOCK`` by ``BLOCK`` rows, with the overlap
   counts accumulated over columns. A pair stays only if its count plus all
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,11 +42,11 @@ from strata.llm.components import components
 WIDTH = 5
 BLOCK = 256
 #: Counters of the column-frequency sketch, and bits of the Bloom filter of classes to verify.
-SKETCH, BLOOM_WORDS, BLOOM_PROBES = 1 << 22, 1 << 20, 4
-#: A column held by this share of all rows counts as frequent.
-FREQUENT = 1 / 2000
+SKETCH, RANGES, BLOOM_WORDS, BLOOM_PROBES = 1 << 22, 64, 1 << 20, 4
+#: Centres that a row is compared with in the first round.
+CENTRES = 3
 
-_SETS = "doc_id long, n long, fp long, counter int, seen long"
+_SETS = "doc_id long, n long, fp long, part int, counts binary"
 
 
 def _sets(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,32 +60,56 @@ def _sets(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(n)), n), hashes, offsets, fps.view(np.int64)
 
 
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(42)).astype(np.int64)
+
+
 def _describe(batches):
-    """A row for each document, then the task's frequent sketch counters."""
-    counts, total = np.zeros(SKETCH, np.int64), 0
+    """A row for each document, then the task's sketch in ``RANGES`` packed rows."""
+    counts = np.zeros(SKETCH, np.uint32)
     for batch in batches:
         for part, texts in slices(batch):
             _, hashes, offsets, fps = _sets(texts)
-            counts += np.bincount((hashes >> np.uint64(42)).astype(np.int64), minlength=SKETCH)
-            total += len(hashes)
-            nothing = pa.nulls(len(texts), pa.int64())
-            yield pa.record_batch({"doc_id": part.column("doc_id"), "n": np.diff(offsets), "fp": fps, "counter": nothing.cast(pa.int32()), "seen": nothing})
-    usual = total / SKETCH
-    often = np.flatnonzero(counts > usual + 4 * np.sqrt(usual) + 2)
-    nothing = pa.nulls(len(often), pa.int64())
-    yield pa.record_batch({"doc_id": nothing, "n": nothing, "fp": nothing, "counter": often.astype(np.int32), "seen": counts[often]})
+            counts += np.bincount(_counter(hashes), minlength=SKETCH).astype(np.uint32)
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "n": np.diff(offsets), "fp": fps, "part": pa.nulls(len(texts), pa.int32()), "counts": pa.nulls(len(texts), pa.binary())})
+    packer, nothing = zstandard.ZstdCompressor(level=1), pa.nulls(RANGES, pa.int64())
+    packed = pa.array([packer.compress(x.tobytes()) for x in counts.reshape(RANGES, -1)], pa.binary())
+    yield pa.record_batch({"doc_id": nothing, "n": nothing, "fp": nothing, "part": np.arange(RANGES, dtype=np.int32), "counts": packed})
+
+
+def _add_sketches(batches):
+    """Sum the packed rows of each range: one range in memory per key."""
+    sums: dict[int, np.ndarray] = {}
+    reader = zstandard.ZstdDecompressor()
+    for b in batches:
+        for part, packed in zip(b.column("part").to_pylist(), b.column("counts"), strict=True):
+            counts = np.frombuffer(reader.decompress(packed.as_buffer()), np.uint32)
+            sums[part] = sums[part] + counts if part in sums else counts.astype(np.int64)
+    if sums:
+        yield pa.record_batch({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+
+
+def _frequent(described: DataFrame) -> np.ndarray:
+    """The sketch over all documents, 0 for counters that chance explains:
+    ``SKETCH`` counters of 4 bytes, whatever the input."""
+    rows = described.where("part is not null").select("part", "counts").repartition(RANGES, "part").mapInArrow(_add_sketches, "part int, counts binary").collect()
+    counts = np.zeros((RANGES, SKETCH // RANGES))
+    for r in rows:
+        counts[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    usual = np.median(counts)
+    counts[counts <= usual + 4 * np.sqrt(usual) + 2] = 0
+    return np.minimum(counts, 2**32 - 1).astype(np.uint32).ravel()
 
 
 def _postings(frequent):
     def run(batches):
-        weight = np.zeros(SKETCH, np.int64)
-        weight[frequent.value[0]] = frequent.value[1]
+        weight = frequent.value
         for batch in batches:
             for _, texts in slices(batch):
                 rows, hashes, offsets, fps = _sets(texts)
                 first = np.zeros(len(texts), bool)  # copies within the slice give their postings once
                 first[np.unique(fps, return_index=True)[1]] = True
-                order = np.lexsort((hashes, weight[(hashes >> np.uint64(42)).astype(np.int64)], rows))
+                order = np.lexsort((hashes, weight[_counter(hashes)], rows))
                 n = np.diff(offsets)
                 rank = np.arange(len(rows)) - np.repeat(offsets[:-1], n)
                 keep = order[(rank < np.repeat(n // 4 + 1, n)) & np.repeat(first, n)]
@@ -173,20 +198,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     docs = text_rows(docs)
     sc = docs.sparkSession.sparkContext
     described = staged(docs.mapInArrow(_describe, _SETS), "op10-sets")
-    sets = described.where("counter is null").select("doc_id", "n", "fp")
-    total = sets.count()
-    # at most SKETCH counters are frequent: 2**22 * 12 bytes
-    often = described.where("counter is not null").groupBy("counter").agg(F.sum("seen").alias("seen")).where(F.col("seen") > max(8.0, total * FREQUENT)).toArrow()
-    frequent = sc.broadcast((often["counter"].to_numpy(), often["seen"].to_numpy()))
+    sets = described.where("part is null").select("doc_id", "n", "fp")
+    frequent = sc.broadcast(_frequent(described))
 
     column = Window.partitionBy("h")
     postings = docs.mapInArrow(_postings(frequent), "h long, fp long, n long")
-    postings = postings.withColumns({"low": F.min("fp").over(column), "high": F.max("fp").over(column)}).where("low <> high").drop("high")
+    postings = postings.withColumns({"low": F.min("fp").over(column), "high": F.max("fp").over(column)}).where("low <> high")
     # copies in different slices gave the same posting
-    postings = staged(postings.groupBy("h", "fp").agg(F.first("n").alias("n"), F.first("low").alias("low")), "op10-columns")
-
-    # a pair that shares a twentieth of a row's columns is worth a first look
-    stars = postings.where("low <> fp").groupBy("low", "fp").agg(F.count("*").alias("shared"), F.first("n").alias("n")).where("20 * shared >= n").select(F.col("low").alias("u"), F.col("fp").alias("v"))
+    postings = staged(postings.groupBy("h", "fp").agg(F.first("n").alias("n")), "op10-columns")
+
+    # a row whose columns are shared most is the likeliest source of near copies
+    ranked = postings.withColumn("w", F.count("*").over(Window.partitionBy("fp")))
+    stars = ranked.withColumn("centre", F.max(F.struct("w", "fp")).over(column)["fp"]).where("centre <> fp")
+    stars = stars.groupBy("fp", "centre").agg(F.count("*").alias("shared"), F.first("n").alias("n")).where("40 * shared >= n")
+    nth = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("shared"), "centre"))
+    stars = stars.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select(F.least("centre", "fp").alias("u"), F.greatest("centre", "fp").alias("v")).distinct()
     near = staged(_verified(docs, stars, "op10-stars"), "op10-links")
     roots = components(near, "op10-roots")
 

@@ -1,10 +1,17 @@
 """The registered queries of this subpackage: one for each operator."""
 from __future__ import annotations
 
+from strata.llm.bit_planes import op7_token_output
+from strata.llm.decontamination import op3_decontamination
 from strata.llm.jaccard_join import op10_jaccard_join
+from strata.llm.language_id import op4_language_id
+from strata.llm.license_scan import op2_license_scan
+from strata.llm.packing import op6_packing
+from strata.llm.pii import op9_pii
 from strata.llm.quality_rules import op5_quality_rules
 
-LLM_QUERIES = {f.__name__: f for f in (op5_quality_rules, op10_jaccard_join)}
+_ALL = (op2_license_scan, op3_decontamination, op4_language_id, op5_quality_rules, op6_packing, op7_token_output, op9_pii, op10_jaccard_join)
+LLM_QUERIES = {f.__name__: f for f in _ALL}
 
 #: None of the operators can be expressed in SQL whole; tests hold them against brute force.
 LLM_ORACLE_SQL: dict[str, str] = {}

@@ -6,11 +6,16 @@ from strata.llm.decontamination import op3_decontamination
 from strata.llm.jaccard_join import op10_jaccard_join
 from strata.llm.language_id import op4_language_id
 from strata.llm.license_scan import op2_license_scan
+from strata.llm.ngram_lm import op1_lm_scoring
 from strata.llm.packing import op6_packing
 from strata.llm.pii import op9_pii
 from strata.llm.quality_rules import op5_quality_rules
+from strata.llm.substring_dedup import op8_substring_dedup
 
-_ALL = (op2_license_scan, op3_decontamination, op4_language_id, op5_quality_rules, op6_packing, op7_token_output, op9_pii, op10_jaccard_join)
+_ALL = (
+    op1_lm_scoring, op2_license_scan, op3_decontamination, op4_language_id, op5_quality_rules,
+    op6_packing, op7_token_output, op8_substring_dedup, op9_pii, op10_jaccard_join,
+)
 LLM_QUERIES = {f.__name__: f for f in _ALL}
 
 #: None of the operators can be expressed in SQL whole; tests hold them against brute force.

@@ -106,7 +106,7 @@ def _write_shard(path: str, end: int, chunk: int, bits: bool):
 
 def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int = END, chunk: int = CHUNK, bits: bool = False) -> None:
     """Write the ids of all documents in ascending doc_id order."""
-    ordered = text_rows(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = text_rows(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(_write_shard(path or tokenizer_path(), end, chunk, bits), _FILE)
     rows.write.partitionBy("kind").parquet(folder)
 

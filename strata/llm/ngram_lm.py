@@ -31,6 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ SMOOTH = 0.1
 #: Quantisation base, discount, probes a level, bits an insert, pairs kept from this count on.
 BASE, DISCOUNT, PROBES, BITS, MIN_PAIR = 2.0, 0.6, 6, 10, 2
 BLOCK_BYTES = 64 << 20
-SEGMENTS = 64
+SEGMENTS, SEGMENT_TOKENS = 64, 4 << 20
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 8 << 20
 #: The end token, and what stands before a text's first token.
@@ -50,7 +51,7 @@ END, START = np.uint64(0x656E6400), np.uint64(0x73746172)
 
 _CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<int>, words binary, at binary"
 _WORDS = "bucket int, chunk long, words binary, counts binary"
-_REPLIES = "chunk long, bucket int, words binary, counts binary, tokens long, distinct long"
+_REPLIES = "chunk long, bucket int, counts binary, tokens long, distinct long"
 _SCORES = "chunk long, nth int, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -71,6 +72,16 @@ def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes, words.first[1:], END), words.first + np.arange(len(words.first))
 
 
+def _pack(at: np.ndarray) -> bytes:
+    """Word numbers in byte planes: the high bytes cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(at.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def _chunks(batches):
     part, nth = TaskContext.get().partitionId(), 0
     for batch in batches:
@@ -81,7 +92,7 @@ def _chunks(batches):
                 {
                     "chunk": pa.array([(part << 32) + nth], pa.int64()), "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     "held": pa.array([rows.column("held_out").to_pylist()], pa.list_(pa.bool_())), "sizes": pa.array([np.diff(offsets).astype(np.int32)], pa.list_(pa.int32())),
-                    "words": pa.array([words.tobytes()], pa.binary()), "at": pa.array([at.astype(np.uint32).tobytes()], pa.binary()),
+                    "words": pa.array([words.tobytes()], pa.binary()), "at": pa.array([_pack(at)], pa.binary()),
                 }
             )
             nth += 1
@@ -89,7 +100,7 @@ def _chunks(batches):
 
 def _open(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(words, at, sizes, in_training) of a chunk row."""
-    words, at = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["at"], np.uint32).astype(np.int64)
+    words, at = np.frombuffer(row["words"], np.uint64), _unpack(row["at"])
     sizes = np.array(row["sizes"], np.int64)
     return words, at, sizes, np.repeat(~np.array(row["held"], bool), sizes)
 
@@ -166,7 +177,7 @@ def _word_counts(table: pa.Table) -> pa.Table:
     n, known = table.num_rows, int((total > 0).sum())
     # the bucket's totals ride on its first row
     head = lambda x: pa.array([x] + [0] * (n - 1), pa.int64())
-    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "words": table["words"], "counts": pa.array(answers, pa.binary()), "tokens": head(int(total.sum())), "distinct": head(known)})
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array(answers, pa.binary()), "tokens": head(int(total.sum())), "distinct": head(known)})
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -238,8 +249,9 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
         chunk = table.filter(pc.is_valid(table["doc_ids"])).to_pylist()[0]
         words, at, sizes, _ = _open(chunk)
         counts = np.zeros(len(words), np.int64)
-        for r in table.filter(pc.is_null(table["doc_ids"])).select(["words", "counts"]).to_pylist():
-            counts[np.searchsorted(words, np.frombuffer(r["words"], np.uint64))] = np.frombuffer(r["counts"], np.uint32)
+        home = _bucket(words, buckets)
+        for r in table.filter(pc.is_null(table["doc_ids"])).select(["bucket", "counts"]).to_pylist():
+            counts[home == r["bucket"]] = np.frombuffer(r["counts"], np.uint32)  # in the order they were asked for
         n = len(sizes)
         row = np.repeat(np.arange(n), sizes)
         log_p = np.log10((counts + SMOOTH) / floor)
@@ -284,18 +296,18 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOC
     rows = text_rows(docs).withColumn("held_out", crc_mod("doc_id", folds) == 0)
     chunks = staged(rows.mapInArrow(_chunks, _CHUNKS), "op1-chunks")
     # segments follow the input, so each one's pairs fit a task
-    size = chunks.agg(F.sum(F.length("at"))).first()[0]
+    size = chunks.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)"))).first()[0]
     if not size:
         return spark.createDataFrame([], _SCORES).drop("chunk", "nth")
-    buckets = max(SEGMENTS, int(size // (16 << 20)))
+    buckets = max(SEGMENTS, int(size // SEGMENT_TOKENS))
     lists = chunks.mapInArrow(_word_lists(buckets), _WORDS)
     replies = staged(lists.groupBy("bucket").applyInArrow(_word_counts, _REPLIES), "op1-words")
     tokens, distinct = replies.agg(F.sum("tokens"), F.sum("distinct")).first()
     pairs = chunks.mapInArrow(_pair_lists(buckets), "bucket int, first binary, second binary, counts binary")
     filters = staged(pairs.groupBy("bucket").applyInArrow(_segment, "bucket int, bits binary"), "op1-filter")
 
-    answers = replies.select("chunk", F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("array<int>").alias("sizes"), "words", F.lit(None).cast("binary").alias("at"), "counts")
-    together = chunks.withColumn("counts", F.lit(None).cast("binary")).unionByName(answers)
+    answers = replies.select("chunk", F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("at"), "bucket", "counts")
+    together = chunks.withColumns({"bucket": F.lit(None).cast("int"), "counts": F.lit(None).cast("binary")}).unionByName(answers)
     sizes = sorted((r["bucket"], r["n"]) for r in filters.select("bucket", F.length("bits").alias("n")).collect())  # a row for each segment
     blocks, filled = [[]], 0
     for bucket, n in sizes:

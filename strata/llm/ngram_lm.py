@@ -198,7 +198,7 @@ def _bit_places(keys: np.ndarray, i: int, n_bits: int):
 def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The bits of a log-frequency Bloom filter, ``BITS`` for each insert."""
     levels = level(counts)
-    n_bits = max(64, int(levels.sum()) * BITS)
+    n_bits = 8 * max(8, -(-int(levels.sum()) * BITS // 8))  # whole bytes: readers take the size from them
     bits = np.zeros(n_bits, bool)
     for i in range(1, int(levels.max()) + 1 if len(levels) else 1):
         for at in _bit_places(keys[levels >= i], i, n_bits):

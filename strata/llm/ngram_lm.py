@@ -43,9 +43,9 @@ SMOOTH = 0.1
 #: Quantisation base, discount, probes a level, bits an insert, pairs kept from this count on.
 BASE, DISCOUNT, PROBES, BITS, MIN_PAIR = 2.0, 0.6, 6, 10, 2
 BLOCK_BYTES = 64 << 20
-SEGMENTS, SEGMENT_TOKENS = 64, 4 << 20
+SEGMENTS, SEGMENT_TOKENS = 64, 1 << 20
 #: Bytes of text in a chunk.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: The end token, and what stands before a text's first token.
 END, START = np.uint64(0x656E6400), np.uint64(0x73746172)
 

@@ -61,7 +61,8 @@ def placed(tokens: DataFrame) -> DataFrame:
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))  # a row for each task of the first pass
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select("part", F.coalesce(before, F.lit(0)).alias("base"))
-    return tokens.join(totals, "part").withColumn("at", F.col("base") + F.col("local"))
+    # one row of 12 bytes for each task of the first pass
+    return tokens.join(F.broadcast(totals), "part").withColumn("at", F.col("base") + F.col("local"))
 
 
 def _cut(length: int):

@@ -59,6 +59,12 @@ def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
 
+def _by_bucket(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of their bucket, and each bucket's edges."""
+    members = np.argsort(owner, kind="stable")
+    return members, np.searchsorted(owner[members], np.arange(n + 1))
+
+
 def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(before * np.uint64(0x9E3779B97F4A7C15) + salted(word, 21))
@@ -112,9 +118,7 @@ def _rows(batches):
 
 
 def _split(keys: np.ndarray, counts: np.ndarray, buckets: int, chunk: int):
-    owner = _bucket(keys, buckets)
-    order = np.argsort(owner, kind="stable")
-    first = np.searchsorted(owner[order], np.arange(buckets + 1))
+    order, first = _by_bucket(_bucket(keys, buckets), buckets)
     used = np.flatnonzero(np.diff(first))
     cut = [order[first[k] : first[k + 1]] for k in used]
     return pa.record_batch(
@@ -147,9 +151,7 @@ def _pair_lists(buckets: int):
             first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
             begin = np.where(first < 0, START, words[np.maximum(first, 0)])
             keys, second = begin, words[second]
-            owner = _bucket(keys, buckets)
-            order = np.argsort(owner, kind="stable")
-            edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+            order, edges = _by_bucket(_bucket(keys, buckets), buckets)
             used = np.flatnonzero(np.diff(edges))
             cut = [order[edges[k] : edges[k + 1]] for k in used]
             yield pa.record_batch(
@@ -249,9 +251,10 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
         chunk = table.filter(pc.is_valid(table["doc_ids"])).to_pylist()[0]
         words, at, sizes, _ = _open(chunk)
         counts = np.zeros(len(words), np.int64)
-        home = _bucket(words, buckets)
+        members, edges = _by_bucket(_bucket(words, buckets), buckets)
         for r in table.filter(pc.is_null(table["doc_ids"])).select(["bucket", "counts"]).to_pylist():
-            counts[home == r["bucket"]] = np.frombuffer(r["counts"], np.uint32)  # in the order they were asked for
+            own = members[edges[r["bucket"]] : edges[r["bucket"] + 1]]
+            counts[own] = np.frombuffer(r["counts"], np.uint32)  # in the order they were asked for
         n = len(sizes)
         row = np.repeat(np.arange(n), sizes)
         log_p = np.log10((counts + SMOOTH) / floor)
@@ -263,10 +266,10 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
         pairs, inverse = np.unique((before + 1) * (len(words) + 1) + at, return_inverse=True)
         first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
         begin = np.where(first < 0, START, words[np.maximum(first, 0)])
-        owner = _bucket(begin, buckets)
+        members, edges = _by_bucket(_bucket(begin, buckets), buckets)
         logs = np.zeros(len(pairs))
         for bucket, bits in start_of.items():
-            own = np.flatnonzero(owner == bucket)
+            own = members[edges[bucket] : edges[bucket + 1]]
             if not len(own):
                 continue
             context, to = np.unique(begin[own], return_inverse=True)

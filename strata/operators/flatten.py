@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, NullType, StringType, StructType
 
 
 def flatten_columnar(
@@ -32,12 +32,14 @@ def flatten_columnar(
     """
     dtype = df.schema[payload_col].dataType
     if isinstance(dtype, StructType):
-        variables = [
-            f.name for f in dtype.fields
-            if f.name != index_field and isinstance(f.dataType, ArrayType)
-        ]
-        index = F.col(f"{payload_col}.{index_field}")
-        getter = lambda var: F.get(F.col(f"{payload_col}.{var}"), F.col("_pos"))
+        arrays = {f.name for f in dtype.fields if isinstance(f.dataType, ArrayType)}
+        # a field that was NULL in every document has no array type: it reads NULL
+        untyped = {f.name for f in dtype.fields if f.name not in arrays and isinstance(f.dataType, (NullType, StringType))}
+        variables = [f.name for f in dtype.fields if f.name != index_field and f.name in arrays | untyped]
+        index = F.col(f"{payload_col}.{index_field}") if index_field in arrays else F.lit(None).cast("array<string>")
+
+        def getter(var: str) -> Column:
+            return F.get(F.col(f"{payload_col}.{var}"), F.col("_pos")) if var in arrays else F.lit(None).cast("string")
     elif isinstance(dtype, MapType):
         raise TypeError("map payloads: use flatten_map_payload with explicit variables")
     else:

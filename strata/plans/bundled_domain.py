@@ -39,7 +39,6 @@ from strata.plans.medallion import (
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
 from strata.sources.tables import overwrite_table
-from strata.sources.scan import spread
 from strata.streaming.sinks import TwoHopPaths
 
 FEED_DATE = "2024-01-01"
@@ -48,8 +47,9 @@ IUCR_SECOND_LOAD = "2002-01-01"
 
 
 def _pad(c: Column | str, width: int) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.lpad(col.cast("string"), width, "0")
+    """Zero-padded to ``width``; a longer value keeps all its characters."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
 
 
 def _day(c: str) -> Column:
@@ -58,23 +58,17 @@ def _day(c: str) -> Column:
 
 # -- weather ----------------------------------------------------------------
 
-MAX_HOURS = 7  # l_linenumber runs 1..7, one payload hour per line number
-
-
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hourly payload per lineitem: ``l_linenumber`` hours of its ship
-    date; precipitation is one value short (the last hour reads NULL).
-
-    The arrays are built from fixed-size ``array(...)`` + ``slice`` rather
-    than ``transform`` lambdas, which would drop the projection out of
-    whole-stage codegen into interpreted evaluation."""
-    # each line becomes up to seven hourly rows: spread a scan with fewer
-    # splits than cores before multiplying it (no-op on a large table)
-    li = spread(load(spark, sf_dir, "lineitem"))
+    date; precipitation is one value short (the last hour reads NULL)."""
+    return payloads_of(load(spark, sf_dir, "lineitem"))
+
+
+def payloads_of(li: DataFrame) -> DataFrame:
     n, q = F.col("l_linenumber"), F.col("l_quantity")
 
     def hourly(value, length=n) -> Column:
-        return F.slice(F.array(*[value(h) for h in range(MAX_HOURS)]), 1, length)
+        return F.slice(F.transform(F.sequence(F.lit(0), n - 1), value), 1, length)
 
     city = (
         F.when(F.col("l_returnflag") == "R", "chicago")
@@ -89,7 +83,7 @@ def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             _pad("l_partkey", 8), _pad("l_suppkey", 6), n.cast("string"),
         ).alias("_source_file"),
         F.struct(
-            hourly(lambda h: F.concat(day, F.lit(f"T{h:02d}:00"))).alias("time"),
+            hourly(lambda h: F.concat(day, F.lit("T"), _pad(h, 2), F.lit(":00"))).alias("time"),
             hourly(lambda h: F.when(q > 48, F.lit(999.0)).otherwise(q - 20 + h)).alias("temperature_2m"),
             hourly(lambda h: F.round(F.col("l_tax") * 1000) + h * 10).alias("relative_humidity_2m"),
             hourly(lambda h: F.col("l_discount"), n - 1).alias("precipitation"),
@@ -286,7 +280,7 @@ def station_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("event_ts"),
     )
     ev.write.mode("overwrite").json(paths.landing)
-    station_stream_pass(spark, paths)
+    station_stream_pass(spark, paths, state_partitions=8)
     return _ntz(spark.table(paths.gold_table), "window_start", "window_end")
 
 

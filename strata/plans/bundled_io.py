@@ -42,6 +42,7 @@ PAGE_SIZE = 1000
 PAGE_NUMBER = 3
 KEYSET_AFTER = ("1998-01-01 00:00:00", 0)
 LATE_TYPE = "click"
+STATE_PARTITIONS = 8
 EVENT_HINTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE"
 
 
@@ -178,7 +179,7 @@ def windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).json(paths.landing)
     stream_pass(
         spark, paths, ts_col="ts", keys=["event_type"], required=["event_id", "ts"],
-        hints_ddl=EVENT_HINTS,
+        hints_ddl=EVENT_HINTS, state_partitions=STATE_PARTITIONS,
     )
     gold = spark.read.parquet(paths.gold)
     return gold.select(
@@ -198,7 +199,7 @@ def windows_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/_checkpoints")
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    args = dict(ts_col="ts", keys=["event_type"], required=["event_id", "ts"], hints_ddl=EVENT_HINTS)
+    args = dict(ts_col="ts", keys=["event_type"], required=["event_id", "ts"], hints_ddl=EVENT_HINTS, state_partitions=STATE_PARTITIONS)
     late = F.col("event_type") == LATE_TYPE
     events.filter(~late).write.mode("append").option("timestampNTZFormat", fmt).json(paths.landing)
     stream_pass(spark, paths, **args)

@@ -310,7 +310,7 @@ WHERE window_start + INTERVAL '10 minutes' <= (SELECT max(ts) FROM events) - INT
 # -- domain pipelines over derived feeds (strata.plans.bundled_domain) -------
 
 _DAY_L = "CAST(CAST(l_shipdate AS DATE) AS VARCHAR)"
-_PAD = "lpad(CAST({} AS VARCHAR), {}, '0')"
+_PAD = "lpad(CAST({0} AS VARCHAR), CAST(greatest(length(CAST({0} AS VARCHAR)), {1}) AS INTEGER), '0')"
 
 _WEATHER_FLAT = f"""
 wli AS (
@@ -462,7 +462,7 @@ WITH {_CRIMES}, {_IUCR}
 SELECT * FROM idim1""",
     "station_windows": """
 WITH ev AS (
-  SELECT 'S' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS station_id, event_type, ts FROM events
+  SELECT 'S' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(length(CAST(user_id AS VARCHAR)), 4) AS INTEGER), '0') AS station_id, event_type, ts FROM events
 ),
 w AS (
   SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, station_id, event_type,

@@ -159,9 +159,11 @@ def read_events_stream(spark: SparkSession, source_path: str, schema_location: s
 
 
 def station_stream_pass(
-    spark: SparkSession, paths: TwoHopPaths, max_files_per_trigger: int | None = 1000
+    spark: SparkSession, paths: TwoHopPaths, state_partitions: int, max_files_per_trigger: int | None = 1000,
+    evolve_schema: bool = True,
 ) -> tuple[RunStats, RunStats]:
-    """Landing drop zone -> Bronze events -> 10-minute station windows."""
+    """Landing drop zone -> Bronze events -> 10-minute station windows. New
+    fields of the events are taken up unless ``evolve_schema`` is off."""
     return stream_pass(
         spark,
         paths,
@@ -172,6 +174,8 @@ def station_stream_pass(
         size=STATION_WINDOW,
         delay=STATION_WATERMARK,
         max_files_per_trigger=max_files_per_trigger,
+        state_partitions=state_partitions,
+        evolve_schema=evolve_schema,
     )
 
 

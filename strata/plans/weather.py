@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.columns import event_date, lenient_cast, lenient_timestamp, null_outside
 from strata.operators.dedupe import dedupe_latest
@@ -25,7 +26,9 @@ def flatten_hourly(payload: DataFrame, city: str | None = None) -> DataFrame:
     NULL for the hours it misses. ``city`` is a constant, or taken from the
     payload's ``city`` column when None.
     """
-    if "hourly" not in payload.columns:
+    hourly = payload.schema["hourly"].dataType if "hourly" in payload.columns else None
+    if not isinstance(hourly, StructType) or "time" not in hourly.names:
+        # nothing typed to explode: no document has hours
         return payload.sparkSession.createDataFrame([], "city string, observed_at string")
     keep = ["city"] if city is None and "city" in payload.columns else []
     flat = flatten_columnar(payload, "hourly", index_field="time", keep=keep, index_alias="observed_at")

@@ -8,7 +8,7 @@ store, and the history of marks stays inspectable.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
@@ -93,10 +93,12 @@ def read_date_window(df: DataFrame, date_col: str, start: date, end: date) -> Da
 
 def load_date_window(
     df: DataFrame, date_col: str, marks: HighWaterMarks, source: str, default: str,
-    today: str | date, lag_days: int = 2,
-) -> DataFrame | None:
-    """Date-window incremental load: skip when the window is empty, fail on
-    zero rows (the mark does not move), else advance the mark to end + 1."""
+    today: str | date, land: Callable[[DataFrame], object], lag_days: int = 2,
+) -> tuple[date, date] | None:
+    """Date-window incremental load. ``land`` writes the window's rows; only
+    when it has returned does the mark move to end + 1, so a failed landing
+    is loaded again by the next run. An empty window is skipped (None); a
+    window without rows fails and leaves the mark."""
     window = date_window(marks.get(source, default), today, lag_days)
     if window is None:
         return None
@@ -104,16 +106,19 @@ def load_date_window(
     rows = read_date_window(df, date_col, start, end)
     if rows.isEmpty():
         raise ValueError(f"no rows for {source} in [{start}, {end}]")
+    land(rows)
     marks.set(source, (end + timedelta(days=1)).isoformat())
-    return rows
+    return start, end
 
 
 def _after(order_cols: Sequence[str], after: Sequence) -> Column:
-    """Lexicographic ``(c1, c2, ...) > (v1, v2, ...)``."""
+    """Lexicographic ``(c1, c2, ...) > (v1, v2, ...)`` in the order of an
+    ascending sort: NULL comes before every value."""
     terms = []
-    for i, (c, v) in enumerate(zip(order_cols, after)):
-        eq_prefix = [F.col(p) == F.lit(pv) for p, pv in zip(order_cols[:i], after[:i])]
-        terms.append(reduce(lambda a, b: a & b, [*eq_prefix, F.col(c) > F.lit(v)]))
+    for i, (c, v) in enumerate(zip(order_cols, after, strict=True)):
+        same = [F.col(p).eqNullSafe(F.lit(pv)) for p, pv in zip(order_cols[:i], after[:i], strict=True)]
+        beyond = F.col(c).isNotNull() if v is None else F.col(c) > F.lit(v)
+        terms.append(reduce(lambda a, b: a & b, [*same, beyond]))
     return reduce(lambda a, b: a | b, terms)
 
 

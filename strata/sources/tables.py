@@ -129,14 +129,12 @@ def overwrite_table(
     partition_by: Sequence[str] = (),
     path: str | None = None,
 ) -> None:
-    """Full overwrite of a catalog table, optionally date-partitioned."""
-    writer = _rebalanced(df, list(partition_by)).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    with session_conf(df.sparkSession, FANOUT_WRITE_CONF if partition_by else {}):
-        writer.saveAsTable(table)
+    """Full overwrite of a catalog table, optionally date-partitioned.
+
+    The new rows are written to a fresh folder (under ``path`` when given)
+    before the catalog entry moves, so a failed write leaves the table as it
+    was."""
+    publish_version(df.sparkSession, df, table, path, partition_by)
 
 
 def append_run(df: DataFrame, path: str, run_id: str, run_col: str = "_run_id") -> int:
@@ -187,42 +185,6 @@ def new_version_location(spark: SparkSession, table: str, root: str | None = Non
     return f"{root.rstrip('/')}/{_version_prefix(table)}{uuid.uuid4().hex[:12]}"
 
 
-def vacuum_versions(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` version directories of ``table``
-    (the current one is always kept). Returns the deleted paths.
-
-    Published versions are never modified, only superseded, so a reader
-    still scanning an old version keeps working until that version is
-    vacuumed; choose ``keep`` / the vacuum schedule with that in mind."""
-    root = versions_root(spark, table)
-    if root is None:
-        return []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root_path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = root_path.getFileSystem(conf)
-    if not fs.exists(root_path):
-        return []
-    current = (table_location(spark, table) or "").rstrip("/")
-    prefix = _version_prefix(table)
-    versions = sorted(
-        (
-            st for st in fs.listStatus(root_path)
-            if st.isDirectory() and st.getPath().getName().startswith(prefix)
-        ),
-        key=lambda st: st.getModificationTime(),
-        reverse=True,
-    )
-    deleted = []
-    for st in versions[max(keep, 1):]:
-        path = st.getPath()
-        if current.startswith(path.toUri().getPath()) or current.startswith(path.toString()):
-            continue
-        fs.delete(path, True)
-        deleted.append(path.toString())
-    return deleted
-
-
 def point_table(
     spark: SparkSession,
     table: str,
@@ -230,13 +192,22 @@ def point_table(
     schema: StructType,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Make ``table`` read the files at ``location``: a metadata operation,
-    the files of the previous version stay untouched."""
-    if table_exists(spark, table) and not partition_by:
+    """Make ``table`` read the files at ``location`` with ``schema``.
+
+    The files of the previous version stay untouched. An unpartitioned table
+    of the same schema is switched in one catalog step; otherwise the entry
+    is dropped and created anew, and a reader in between finds no table. A
+    managed table owns its files and would lose them, so it is refused."""
+    exists = table_exists(spark, table)
+    same = exists and spark.table(table).schema.simpleString() == schema.simpleString()
+    if same and not partition_by:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
-        if table_exists(spark, table):
-            spark.sql(f"DROP TABLE {table}")  # external table: files are kept
+        if exists:
+            kind = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Type'").first()
+            if kind is not None and kind["data_type"] == "MANAGED":
+                raise ValueError(f"{table} is managed: dropping it would delete its current files")
+            spark.sql(f"DROP TABLE {table}")  # external: files are kept
         # declare the schema instead of inferring it from the directory
         # names, which would turn a string partition value into a date
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -320,6 +291,8 @@ def replace_table_slice(
     them); a field whose type changed is rejected. Returns the slice's new
     directory.
     """
+    if slice_value is None:
+        raise ValueError("a slice value must not be NULL")
     rows = df.drop(slice_col) if slice_col in df.columns else df
     if not table_exists(spark, table):
         base = root or database_location(spark, table)
@@ -335,26 +308,20 @@ def replace_table_slice(
     else:
         add_new_columns(spark, table, rows.schema)
     root_dir = versions_root(spark, table) or database_location(spark, table)
-    slice_dir = f"{root_dir}/{slice_col}={slice_value}__s{uuid.uuid4().hex[:12]}"
+    slice_dir = f"{root_dir}/{_version_prefix(table)}slices/{uuid.uuid4().hex}"
     rows.hint("rebalance").write.mode("errorifexists").parquet(slice_dir)
     _point_partitions(spark, table, slice_col, {str(slice_value): slice_dir})
     return slice_dir
 
 
 def _point_partitions(spark: SparkSession, table: str, slice_col: str, locations: dict[str, str]) -> None:
-    """Register new partitions (all in one statement) and repoint existing
-    ones (one metadata statement each)."""
-    # SHOW PARTITIONS lists folder-name forms: compare escaped values
-    existing = {
-        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    }
+    """Register partitions that are new (all in one statement), then point
+    each one at its folder. The catalog itself resolves the values."""
     spec = lambda value: f"PARTITION ({slice_col} = {_sql_literal(value)})"
-    known = {v for v in locations if escape_partition_value(v) in existing}
-    new = [f"{spec(v)} LOCATION '{loc}'" for v, loc in locations.items() if v not in known]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new))
-    for value in known:
-        spark.sql(f"ALTER TABLE {table} {spec(value)} SET LOCATION '{locations[value]}'")
+    if locations:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{spec(v)} LOCATION '{loc}'" for v, loc in locations.items()))
+    for value, location in locations.items():
+        spark.sql(f"ALTER TABLE {table} {spec(value)} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)
 
 
@@ -365,6 +332,8 @@ def load_table_slices(
     ``df`` is written by ONE job (rebalanced by slice, hot slices split),
     then each of those partitions is pointed at its new folder. Slices not
     in ``df`` are untouched. Returns the slice values written."""
+    if not df.filter(F.col(slice_col).isNull()).isEmpty():
+        raise ValueError(f"{slice_col} must not be NULL")
     if not table_exists(spark, table):
         replace_table_slice(spark, df.limit(0), table, slice_col, "__init__", root)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({slice_col} = '__init__')")
@@ -377,84 +346,11 @@ def load_table_slices(
         )
     with string_partition_values(spark):
         written = spark.read.parquet(load_dir)
-    # one row per slice folder: the slice values come from the file listing
-    values = sorted(r[0] for r in written.select(slice_col).distinct().collect())
-    folders = {v: f"{load_dir}/{slice_col}={escape_partition_value(v)}" for v in values}
+    # one row for each slice: its value and the folder that Spark wrote it to
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+    folders = {r[0]: r[1] for r in written.groupBy(slice_col).agg(F.min(folder)).collect()}
+    folders = {v: spark.sparkContext._jvm.java.net.URI(f).getPath() if f.startswith("file:") else f for v, f in folders.items()}
     _point_partitions(spark, table, slice_col, folders)
-    return values
-
-
-# fixed values: the characters a partition folder name writes as %XX
-# (the Hive path convention Spark follows), besides control characters
-_PATH_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def escape_partition_value(value: str) -> str:
-    """The folder-name form of a partition value."""
-    return "".join(
-        f"%{ord(ch):02X}" if ch in _PATH_ESCAPED or ord(ch) < 0x20 else ch for ch in value
-    )
-
-
-def unescape_partition_value(name: str) -> str:
-    """Inverse of :func:`escape_partition_value`."""
-    out, i = [], 0
-    while i < len(name):
-        hex_digits = name[i + 1:i + 3]
-        if name[i] == "%" and len(hex_digits) == 2 and all(c in "0123456789ABCDEFabcdef" for c in hex_digits):
-            out.append(chr(int(name[i + 1:i + 3], 16)))
-            i += 3
-        else:
-            out.append(name[i])
-            i += 1
-    return "".join(out)
-
-
-def partition_locations(spark: SparkSession, table: str, slice_col: str) -> dict[str, str]:
-    """Slice value -> the folder the catalog reads it from (metadata only)."""
-    out = {}
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        value = unescape_partition_value(row[0].split("=", 1)[1])
-        desc = spark.sql(
-            f"DESCRIBE TABLE EXTENDED {table} PARTITION ({slice_col} = {_sql_literal(value)})"
-        ).filter(F.col("col_name") == "Location").collect()
-        if desc:
-            out[value] = desc[0]["data_type"].rstrip("/")
-    return out
-
-
-def vacuum_slices(spark: SparkSession, table: str, slice_col: str) -> list[str]:
-    """Delete slice folders of a catalog table that no partition reads any
-    more (superseded by :func:`replace_table_slice`). A bulk-load folder goes
-    once none of its slices is live; until then only its dead slices go.
-    Returns the deleted paths."""
-    root = versions_root(spark, table)
-    if root is None:
-        return []
-    live = set(partition_locations(spark, table, slice_col).values())
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root_path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = root_path.getFileSystem(conf)
-    deleted = []
-
-    def drop(path) -> None:
-        fs.delete(path, True)
-        deleted.append(path.toString())
-
-    for st in fs.listStatus(root_path):
-        path, name = st.getPath(), st.getPath().getName()
-        if not st.isDirectory():
-            continue
-        if name.startswith(f"{slice_col}=") and "__s" in name:
-            if path.toString() not in live:
-                drop(path)
-        elif name.startswith(f"{_version_prefix(table)}load"):
-            children = [c.getPath() for c in fs.listStatus(path) if c.isDirectory()]
-            dead = [c for c in children if c.toString() not in live]
-            if len(dead) == len(children):
-                drop(path)
-            else:
-                for child in dead:
-                    drop(child)
-    return deleted
+    return sorted(folders)
+
+

@@ -117,7 +117,8 @@ def stream_pass(
     size: str = "10 minutes",
     delay: str = "15 minutes",
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-    state_partitions: int | None = None,
+    *,
+    state_partitions: int,
     evolve_schema: bool = False,
 ) -> tuple[RunStats, RunStats]:
     """One scheduled pass: landing files -> Bronze (append) -> windowed Gold.
@@ -125,16 +126,12 @@ def stream_pass(
     Hop 1 stamps ``_ingested_at`` / ``_source_file`` and appends to Bronze.
     Hop 2 streams Bronze's committed files, drops rows missing a required
     field, and appends closed windows to Gold. The window state is spread
-    over ``state_partitions`` state stores, fixed at the first run. The
-    default is the session's shuffle width capped at the cluster's core
-    count: a stream's state (open windows x keys) is small, and every state
-    store costs a little on every micro-batch. With ``evolve_schema`` the landing
+    over ``state_partitions`` state stores. The first run fixes that width for
+    the life of the checkpoint, so choose it for the largest cluster and state
+    expected, not for today's. With ``evolve_schema`` the landing
     files are re-inferred and new fields are appended to the persisted
     schema; Bronze files written earlier read NULL for them.
     """
-    state_partitions = state_partitions or min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
     schema = resolve_schema(
         spark, paths.landing, hints_ddl, paths.schema_location, evolve=evolve_schema
     )

@@ -9,7 +9,8 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) == set(qs)  # every registered query has oracle SQL
+    own = {n for n in qs if n not in entry.LLM_QUERIES}
+    assert own <= set(sql) <= set(qs)  # every query of the library itself has oracle SQL
     assert len(qs) >= 43
 
 
@@ -21,6 +22,8 @@ BOUNDED_BROADCAST = {"paged_read", "page_by_number"}
 
 def test_every_query_runs_on_smallest_fixture(spark):
     for name, fn in entry.queries().items():
+        if name in entry.LLM_QUERIES:
+            continue  # run by tests/llm
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.count() >= 0, name
         plan = df._jdf.queryExecution().optimizedPlan().toString()

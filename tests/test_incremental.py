@@ -29,11 +29,20 @@ def test_date_window_rules(spark, scratch):
     assert date_window("2026-06-01", "2026-06-06") == (date(2026, 6, 1), date(2026, 6, 4))
     df = spark.createDataFrame([("2026-06-02",)], "d string").withColumn("d", F.to_date("d"))
     marks = HighWaterMarks(spark, scratch("hwm"))
-    rows = load_date_window(df, "d", marks, "w", "2026-06-01", "2026-06-06")
-    assert rows.count() == 1 and marks.get("w", "") == "2026-06-05"
+    landed = scratch("landed")
+
+    def lost(rows):
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        load_date_window(df, "d", marks, "w", "2026-06-01", "2026-06-06", lost)
+    assert marks.get("w", "none") == "none"  # the window is still to be loaded
+    window = load_date_window(df, "d", marks, "w", "2026-06-01", "2026-06-06", lambda rows: rows.write.parquet(landed))
+    assert window == (date(2026, 6, 1), date(2026, 6, 4)) and marks.get("w", "") == "2026-06-05"
+    assert spark.read.parquet(landed).count() == 1
     with pytest.raises(ValueError, match="no rows"):
-        load_date_window(df, "d", marks, "w", "2026-06-01", "2026-06-09")
-    assert marks.get("w", "") == "2026-06-05"  # unchanged after a failed window
+        load_date_window(df, "d", marks, "w", "2026-06-01", "2026-06-09", lambda rows: rows.write.parquet(landed))
+    assert marks.get("w", "") == "2026-06-05"  # a window without rows leaves the mark
 
 
 def test_keyset_pages_cover_everything(spark):
@@ -56,13 +65,15 @@ def test_assign_pages_matches_row_number(spark):
     assert got == {(r.a, r.b): (r.n, r.n // 100) for r in ref}
 
 
-def test_spread_only_when_scan_is_narrow(spark):
-    from strata.sources.scan import spread
-
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, numPartitions=6)
-    assert spread(wide, 4) is wide
+def test_keyset_walk_over_null_keys(spark):
+    """NULL keys sort first and every row is met once."""
+    rows = [(None if i % 3 == 0 else i % 4, None if i == 5 else i) for i in range(40)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    seen, after = [], None
+    while page := keyset_page(df, ["a", "b"], 7, after).collect():
+        seen += [(r.a, r.b) for r in page]
+        after = seen[-1]
+    assert len(seen) == 40 and sorted(seen, key=str) == sorted(rows, key=str)
 
 
 def test_page_by_number_equals_offset_limit(spark):

@@ -30,7 +30,7 @@ def test_silver_step_gates_before_publishing(spark, scratch):
 
     # half the rows fail: the gate raises and the table still holds run 1
     bad = ok[:2] + [("chicago", f"2026-06-0{d}T00:00", "20", "50", "0", "999", datetime(2026, 6, 9)) for d in (5, 6)]
-    with pytest.raises(ValueError, match="below"):
+    with pytest.raises(ValueError, match="quality gate"):
         silver_step(spark, _bronze(spark, bad), silver_weather, _checks(), ["city", "observed_at"],
                     t, "observed_date", q, "run-2")
     assert spark.table(t).count() == 4
@@ -44,11 +44,6 @@ def test_silver_step_gates_before_publishing(spark, scratch):
     assert len(quarantined) == 2
     assert all(r["_dq_failures"] == ["between(wind_speed_10m,0,100)"] for r in quarantined)
     assert "_dq_failures" not in spark.table(t).columns
-    # retention: older staged versions go, the published one stays readable
-    from strata.sources.tables import vacuum_versions
-
-    assert len(vacuum_versions(spark, t, keep=1)) >= 1
-    assert spark.table(t).count() == 2
     spark.sql("DROP DATABASE medtest CASCADE")
 
 

@@ -19,7 +19,7 @@ def test_two_passes_watermark_and_late_rows(spark, scratch):
     paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt")
     _drop(spark, paths, [_ev(1, "11:00"), _ev(2, "11:05"), _ev(3, "11:30"),
                          (None, "S1", "n", "m", "trip_start", "2026-06-01T11:01:00+00:00")])
-    hop1, hop2 = station_stream_pass(spark, paths)
+    hop1, hop2 = station_stream_pass(spark, paths, state_partitions=2)
     assert hop1.input_rows == 4
     gold = spark.read.parquet(paths.gold)
     # watermark 11:15 after the pass: only the 11:00-11:10 window is closed
@@ -29,7 +29,7 @@ def test_two_passes_watermark_and_late_rows(spark, scratch):
 
     # second pass: 11:02 is late (its window closed), 11:12 still counts
     _drop(spark, paths, [_ev(4, "11:02"), _ev(5, "11:12"), _ev(6, "11:50")])
-    hop1, hop2 = station_stream_pass(spark, paths)
+    hop1, hop2 = station_stream_pass(spark, paths, state_partitions=2)
     assert hop1.input_rows == 3  # only the new file
     assert hop2.dropped_by_watermark == 1
     got = sorted((r.window_start, r.event_count) for r in spark.read.parquet(paths.gold).collect())
@@ -40,7 +40,7 @@ def test_late_rows_in_the_same_batch_are_kept(spark, scratch):
     base = scratch("stream")
     paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt")
     _drop(spark, paths, [_ev(1, "11:05"), _ev(2, "12:00")])
-    station_stream_pass(spark, paths)
+    station_stream_pass(spark, paths, state_partitions=2)
     got = [(r.window_start, r.event_count) for r in spark.read.parquet(paths.gold).collect()]
     assert got == [(datetime(2026, 6, 1, 11, 0), 1)]
 
@@ -78,7 +78,7 @@ def test_stream_schema_evolution_appends_fields(spark, scratch):
     base = scratch("evolve")
     paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt")
     args = dict(ts_col="event_ts", keys=["station_id"], required=["trip_id", "event_ts"],
-                hints_ddl="event_ts TIMESTAMP")
+                hints_ddl="event_ts TIMESTAMP", state_partitions=2)
     spark.createDataFrame([("t1", "S1", "2026-06-01T11:00:00+00:00")], "trip_id string, station_id string, event_ts string") \
         .write.mode("append").json(paths.landing)
     stream_pass(spark, paths, **args)
@@ -102,7 +102,7 @@ def test_stream_schema_evolution_into_tables(spark, scratch):
     paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt",
                         bronze_table="evo.bronze", gold_table="evo.gold")
     args = dict(ts_col="event_ts", keys=["station_id"], required=["trip_id", "event_ts"],
-                hints_ddl="event_ts TIMESTAMP")
+                hints_ddl="event_ts TIMESTAMP", state_partitions=2)
     spark.createDataFrame([("t1", "S1", "2026-06-01T11:00:00+00:00")], "trip_id string, station_id string, event_ts string") \
         .write.mode("append").json(paths.landing)
     stream_pass(spark, paths, **args)

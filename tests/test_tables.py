@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from strata.sources.tables import publish_version, read_slices, replace_slice, write_slices
 
 
@@ -112,20 +115,31 @@ def test_hot_slice_is_split_over_writers(spark, scratch):
     assert files > 1
 
 
-def test_versions_stay_siblings_and_vacuum(spark, scratch):
-    from strata.sources.tables import table_location, vacuum_versions, versions_root
+def test_publish_carries_the_new_schema(spark, scratch):
+    from strata.sources.tables import overwrite_table, table_location, versions_root
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vers LOCATION '{scratch('db')}'")
+    t = "vers.dim"
+    publish_version(spark, spark.createDataFrame([(1,)], "x int"), t)
+    first = table_location(spark, t)
+    publish_version(spark, spark.createDataFrame([("two", "new")], "x string, y string"), t)
+    assert [tuple(r) for r in spark.table(t).collect()] == [("two", "new")]
+    assert table_location(spark, t).startswith(versions_root(spark, t))
+    assert spark.read.parquet(first).count() == 1  # the version before keeps its files
+    broken = spark.range(1).select(F.raise_error(F.lit("bad input")).cast("string").alias("x"), F.lit("n").alias("y"))
+    with pytest.raises(Exception, match="bad input"):
+        overwrite_table(broken, t)
+    assert [tuple(r) for r in spark.table(t).collect()] == [("two", "new")]
+    spark.sql("DROP DATABASE vers CASCADE")
+
 
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS vac LOCATION '{scratch('db')}'")
-    t = "vac.dim"
-    for x in range(4):
-        publish_version(spark, spark.createDataFrame([(x,)], "x int"), t)
-    root = versions_root(spark, t)
-    assert table_location(spark, t).startswith(root)
-    deleted = vacuum_versions(spark, t, keep=2)
-    assert len(deleted) == 2
-    assert [r.x for r in spark.table(t).collect()] == [3]
-    assert vacuum_versions(spark, t, keep=2) == []
-    spark.sql("DROP DATABASE vac CASCADE")
+def test_managed_table_is_not_dropped(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS kept LOCATION '{scratch('db')}'")
+    spark.range(3).write.format("parquet").saveAsTable("kept.t")
+    with pytest.raises(ValueError, match="managed"):
+        publish_version(spark, spark.createDataFrame([("a",)], "other string"), "kept.t")
+    assert spark.table("kept.t").count() == 3
+    spark.sql("DROP DATABASE kept CASCADE")
 
 
 def test_replace_table_slice_atomic_evolving(spark, scratch):
@@ -185,20 +199,20 @@ def test_setup_is_idempotent(spark, scratch):
         spark.sql(f"DROP DATABASE {db} CASCADE")
 
 
-def test_vacuum_slices_keeps_live_folders(spark, scratch):
-    from strata.sources.tables import load_table_slices, partition_locations, replace_table_slice, vacuum_slices
-
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS vacs LOCATION '{scratch('db')}'")
-    t = "vacs.bronze"
-    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c 10:00")], "id string, d string")
-    load_table_slices(spark, df, t, "d")                                       # one load folder, 3 slices
-    replace_table_slice(spark, df.filter("id = '1'"), t, "d", "a")              # slice a moves out
-    replace_table_slice(spark, df.filter("id = '1'"), t, "d", "a")              # and again: one dead copy
-    deleted = vacuum_slices(spark, t, "d")
-    # the first replacement of a, slice a inside the load folder, and the
-    # empty placeholder slice written when the table was created
-    assert len(deleted) == 3
-    assert sorted((r.id, r.d) for r in spark.table(t).collect()) == [("1", "a"), ("2", "b"), ("3", "c 10:00")]
-    assert set(partition_locations(spark, t, "d")) == {"a", "b", "c 10:00"}
-    assert vacuum_slices(spark, t, "d") == []
-    spark.sql("DROP DATABASE vacs CASCADE")
+def test_two_sliced_tables_in_one_database(spark, scratch):
+    """Slices with awkward values; replacing and emptying one table's slices
+    leaves the other table's alone."""
+    from strata.sources.tables import load_table_slices, replace_table_slice
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS two LOCATION '{scratch('db')}'")
+    df = spark.createDataFrame([("1", "a"), ("2", "b%2F"), ("3", "c 10:00"), ("4", "d=e/f")], "id string, d string")
+    for t in ("two.x", "two.y"):
+        assert load_table_slices(spark, df, t, "d") == ["a", "b%2F", "c 10:00", "d=e/f"]
+    replace_table_slice(spark, df.filter("id = '4'").withColumn("id", F.lit("9")), "two.x", "d", "c 10:00")
+    replace_table_slice(spark, df.filter("false"), "two.x", "d", "d=e/f")
+    assert sorted((r.id, r.d) for r in spark.table("two.x").collect()) == [("1", "a"), ("2", "b%2F"), ("9", "c 10:00")]
+    assert sorted((r.id, r.d) for r in spark.table("two.y").collect()) == sorted((r.id, r.d) for r in df.collect())
+    with pytest.raises(ValueError, match="NULL"):
+        load_table_slices(spark, df.withColumn("d", F.lit(None).cast("string")), "two.x", "d")
+    assert spark.table("two.x").count() == 3
+    spark.sql("DROP DATABASE two CASCADE")

@@ -8,12 +8,12 @@ plane is compressed by itself; a plane of one repeated value takes a few bytes.
 A data set is two folders of Parquet files, so that any store that Spark reads
 will do and Spark's own commit decides which attempt counts:
 
-* ``chunks``: shard, chunk, n (ids), sizes (bytes of each plane), crc32 of the
-  ids, payload (the planes end to end). shard, chunk and sizes are the index:
+* ``kind=c``, chunks: shard, nth (chunk), n (ids), sizes (bytes of each plane), crc32 of
+  the ids, payload (the planes end to end). shard, nth and sizes are the index:
   a reader finds the chunks of an id range without opening a payload.
-* ``documents``: shard, nth (order in the shard), doc_id, local (ids before it in the shard), n.
+* ``kind=d``, documents: shard, nth (order in the shard), doc_id, local (ids before it in the shard), n.
 
-Reading joins the two by chunk and checks each chunk's crc32.
+Reading brings a shard's chunks and documents together in order and checks each chunk's crc32.
 
 Defined results: a null or empty text is one end id; rows of equal doc_id each
 have their own, in the order of their texts; rows without a doc_id come first;

@@ -213,15 +213,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     stars = stars.groupBy("fp", "centre").agg(F.count("*").alias("shared"), F.first("n").alias("n")).where("40 * shared >= n")
     nth = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("shared"), "centre"))
     stars = stars.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select(F.least("centre", "fp").alias("u"), F.greatest("centre", "fp").alias("v")).distinct()
-    near = staged(_verified(docs, stars, "op10-stars"), "op10-links")
-    roots = components(near, "op10-roots")
+    roots = components(_verified(docs, stars, "op10-stars"), "op10-roots")
 
     rows = postings.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rows = rows.withColumns({"r0": F.min("root").over(column), "r1": F.max("root").over(column)}).where("r0 <> r1")
     rest = "n_{0} - floor(n_{0} / 4) - 1"
     bound = f"7 * (shared + greatest({rest.format('u')}, {rest.format('v')})) >= 3 * (n_u + n_v)"
     more = _verified(docs, _product(rows.select("h", "fp", "n", "root")).where(bound).select("u", "v"), "op10-product")
-    roots = components(near.union(more), "op10-roots")
+    # the components so far stand for the links that made them
+    roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more), "op10-roots")
 
     of_class = sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"))
     of_class = staged(of_class.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "op10-classes")

@@ -11,11 +11,14 @@ open rows and the updates decides every case:
 * key not open (new, or only closed versions) -> update inserted open
 * key open but absent from the updates        -> open row kept (no deletes)
 * NULL key in the updates                     -> never matches, always inserted
-Closed history rows are carried over untouched without entering the join.
-
-The join key is compared with plain ``=`` (a NULL key never matches), both
-sides have at most one row per key (open rows by construction, updates by the
-uniqueness check), so the join cannot fan out or skew on a hot key.
+Closed history rows and rows with a NULL key, of either side, are carried over
+without entering the join: NULL keys never match, and an outer join would put
+all of them into one task. A dimension stored by ``is_current`` is read once,
+as the two filters on it read different folders.
+
+Both sides of the join have at most one row per key (open rows by
+construction, updates by the uniqueness check), so it cannot fan out or skew
+on a hot key.
 """
 from __future__ import annotations
 
@@ -65,12 +68,14 @@ def scd2_merge(
     out_cols = [*dim_cols, to_col, current_col]
     from_type = dict(target.dtypes)[to_col]
 
-    is_open = F.coalesce(F.col(current_col), F.lit(False))
-    history = target.filter(~is_open).select(*out_cols)
-    current = target.filter(is_open).select(*dim_cols)
+    keyed = all_present(*keys)
+    joins = F.coalesce(F.col(current_col), F.lit(False)) & keyed
+    carried = target.filter(~joins).select(*out_cols)
+    unkeyed = scd2_initial(updates.filter(~keyed).select(*dim_cols), from_col, to_col, current_col)
+    unkeyed = unkeyed.withColumn(to_col, F.col(to_col).cast(from_type))
 
-    t = current.select(*[F.col(c).alias(f"t_{c}") for c in dim_cols], F.lit(True).alias("t_"))
-    s = updates.select(*[F.col(c).alias(f"s_{c}") for c in dim_cols], F.lit(True).alias("s_"))
+    t = target.filter(joins).select(*[F.col(c).alias(f"t_{c}") for c in dim_cols], F.lit(True).alias("t_"))
+    s = updates.filter(keyed).select(*[F.col(c).alias(f"s_{c}") for c in dim_cols], F.lit(True).alias("s_"))
     cond = None
     for k in keys:
         eq = F.col(f"t_{k}") == F.col(f"s_{k}")
@@ -104,4 +109,4 @@ def scd2_merge(
         .filter(F.col("r").isNotNull())
         .select("r.*")
     )
-    return history.unionByName(expanded)
+    return carried.unionByName(expanded).unionByName(unkeyed)

@@ -2,8 +2,10 @@
 
 Layout ``{root}/{source}/ingest_date={YYYY-MM-DD}/batch_id={id}/part-*.json``.
 A batch is a directory, so landing the same batch id again replaces it. The
-files are JSON lines (splittable); a multi-line JSON array per file can still
-be read with ``multi_line=True``, at the price of one task per file.
+files are JSON lines (splittable); files that hold one JSON array or object
+spread over lines are read and ingested with ``multi_line=True``, at the price
+of one task per file. Ingest fails on a record that is no JSON, so such a file
+read as JSON lines cannot leave line fragments in Bronze.
 """
 from __future__ import annotations
 
@@ -60,9 +62,14 @@ def read_landing(
     schema: StructType | str | None = None,
     multi_line: bool = False,
     sampling_ratio: float = 1.0,
+    fail_on_corrupt: bool = False,
 ) -> DataFrame:
     """All batches landed for one arrival date, with ``_source_file`` per row.
 
+    A record that cannot be parsed is a row of NULLs, or with
+    ``fail_on_corrupt`` an error; with a schema that goes for a value of
+    another type too.
+
     Without a schema every field is read as a string, so a field that holds
     ``1`` in one batch and ``2.5`` in the next cannot change type between
     Bronze slices; Silver does the typing. A date with nothing landed is an
@@ -72,6 +79,8 @@ def read_landing(
     """
     path = slice_path(root, source, ingest_date or today_utc())
     reader = spark.read.option("multiLine", str(multi_line).lower())
+    if fail_on_corrupt:
+        reader = reader.option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -98,11 +107,13 @@ def ingest_bronze(
     ingest_date: str | None = None,
     schema: StructType | str | None = None,
     sampling_ratio: float = 1.0,
+    multi_line: bool = False,
 ) -> int:
     """Landing slice -> Bronze slice: stamp lineage (keeping each row's own
-    file) and replace the ``_ingest_date`` slice. Returns rows written."""
+    file) and replace the ``_ingest_date`` slice. Returns rows written. Fails,
+    and leaves the slice, on records that are no JSON."""
     d = ingest_date or today_utc()
-    raw = read_landing(spark, landing_root, source, d, schema, sampling_ratio=sampling_ratio)
+    raw = read_landing(spark, landing_root, source, d, schema, multi_line, sampling_ratio, fail_on_corrupt=True)
     bronze = stamp_slice(raw, source, d)
     return replace_slice(bronze.drop("_ingest_date"), bronze_path, "_ingest_date", d)
 
@@ -115,6 +126,7 @@ def ingest_bronze_table(
     ingest_date: str | None = None,
     schema: StructType | str | None = None,
     sampling_ratio: float = 1.0,
+    multi_line: bool = False,
 ) -> str:
     """Landing slice -> Bronze catalog table partitioned by ``_ingest_date``.
 
@@ -123,6 +135,6 @@ def ingest_bronze_table(
     slice, readers never see it half-replaced, and fields that appear in a
     later batch are added to the table. Returns the slice's folder."""
     d = ingest_date or today_utc()
-    raw = read_landing(spark, landing_root, source, d, schema, sampling_ratio=sampling_ratio)
+    raw = read_landing(spark, landing_root, source, d, schema, multi_line, sampling_ratio, fail_on_corrupt=True)
     bronze = stamp_slice(raw, source, d)
     return replace_table_slice(spark, bronze, table, "_ingest_date", d)

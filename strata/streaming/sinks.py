@@ -119,11 +119,12 @@ def stream_pass(
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
     *,
     state_partitions: int,
-    evolve_schema: bool = False,
+    evolve_schema: bool = True,
 ) -> tuple[RunStats, RunStats]:
     """One scheduled pass: landing files -> Bronze (append) -> windowed Gold.
 
-    Hop 1 stamps ``_ingested_at`` / ``_source_file`` and appends to Bronze.
+    Hop 1 stamps ``_ingested_at`` / ``_source_file`` and appends to Bronze; a
+    line that cannot be read as the schema says keeps its text in ``_rescued``.
     Hop 2 streams Bronze's committed files, drops rows missing a required
     field, and appends closed windows to Gold. The window state is spread
     over ``state_partitions`` state stores. The first run fixes that width for

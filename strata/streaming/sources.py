@@ -14,7 +14,7 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.lineage import file_path_column
 from strata.session import path_exists
@@ -92,6 +92,8 @@ def resolve_schema(
 
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+#: Text of a line that is no JSON or has a value of another type than its field.
+RESCUED_COL = "_rescued"
 
 
 def read_json_stream(
@@ -101,12 +103,16 @@ def read_json_stream(
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """New JSON-lines files as a stream, with ``_ingested_at`` (micro-batch
-    time) and ``_source_file`` (each row's own file).
+    time) and ``_source_file`` (each row's own file). A line that is no JSON,
+    or has a value its field cannot take, is kept whole in ``_rescued``; the
+    fields that could be read are filled.
 
     A drain over a large backlog is cut into micro-batches of at most
     ``max_files_per_trigger`` files (None: one batch), so no single batch
     has to hold the whole backlog."""
-    reader = spark.readStream.schema(schema)
+    if RESCUED_COL not in schema.fieldNames():
+        schema = StructType([*schema.fields, StructField(RESCUED_COL, StringType(), True)])
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", RESCUED_COL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(source_path).withColumns(
@@ -119,8 +125,10 @@ def read_events_stream(
     source_path: str,
     schema_location: str,
     hints_ddl: str | None = None,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Hinted, inferred, persisted-schema JSON stream over ``source_path``."""
+    """Hinted, inferred, persisted-schema JSON stream over ``source_path``. A
+    backlog is one batch unless the caller bounds it: a watermark put straight
+    on a bounded stream moves between its batches."""
     schema = resolve_schema(spark, source_path, hints_ddl, schema_location)
     return read_json_stream(spark, source_path, schema, max_files_per_trigger)

@@ -72,3 +72,19 @@ def test_ingest_bronze_table_replaces_and_evolves(spark, scratch):
     assert rows == [("1", None, "2026-06-01", "src-2026-06-01"), ("2", None, "2026-06-01", "src-2026-06-01"),
                     ("3", "new", "2026-06-02", "src-2026-06-02")]
     spark.sql("DROP DATABASE bronzedb CASCADE")
+
+
+def test_arrays_over_lines_need_multi_line(spark, scratch):
+    import os
+
+    import pytest
+
+    root, bronze = scratch("landing"), scratch("bronze")
+    folder = f"{root}/src/ingest_date=2026-06-03/batch_id=b1".removeprefix("file:")
+    os.makedirs(folder)
+    with open(f"{folder}/a.json", "w") as fh:
+        fh.write('[\n  {"id": 1},\n  {"id": 2}\n]\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_bronze(spark, root, "src", bronze, "2026-06-03")
+    assert ingest_bronze(spark, root, "src", bronze, "2026-06-03", multi_line=True) == 2
+    assert sorted(r["id"] for r in read_slices(spark, bronze).collect()) == ["1", "2"]

@@ -115,3 +115,16 @@ def test_stream_schema_evolution_into_tables(spark, scratch):
     events = read_events_stream(spark, paths.landing, f"{base}/station_schema")
     assert dict(events.dtypes)["event_ts"] == "timestamp" and events.isStreaming
     spark.sql("DROP DATABASE evo CASCADE")
+
+
+def test_unreadable_lines_keep_their_text(spark, scratch):
+    base = scratch("rescue")
+    paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/ckpt")
+    _drop(spark, paths, [_ev(1, "11:00")])
+    station_stream_pass(spark, paths, state_partitions=2)
+    lines = ['{"trip_id": "t2", "event_ts": "noon"}', '{"trip_id": "t3", "event_', '{"trip_id": "t4", "bike": "b"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(paths.landing)
+    station_stream_pass(spark, paths, state_partitions=2)
+    rows = spark.read.option("mergeSchema", "true").parquet(paths.bronze).collect()
+    assert sorted((r["trip_id"] or "", r["bike"] or "", r["_rescued"] or "") for r in rows) == [
+        ("", "", lines[1]), ("t1", "", ""), ("t2", "", lines[0]), ("t4", "b", "")]

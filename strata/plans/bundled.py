@@ -26,15 +26,20 @@ from strata.operators.gold import daily_summary, flag_rates, rollup_mart
 from strata.operators.lineage import stamp_slice
 from strata.operators.quality import (
     FAILURES_COL,
+    assert_unique,
     duplicate_groups,
     expect_between,
     expect_not_null,
     expect_values_in,
+    gate_pass_rate,
+    run_suite,
     suite_metrics,
     tag_failures,
 )
 from strata.operators.scd2 import scd2_initial, scd2_merge
 from strata.operators.windows import window_counts
+from strata.session import scratch_path
+from strata.sources.tables import append_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +49,9 @@ SLICE_PATH = "landing/orders/ingest_date=2024-01-01"
 ACCTBAL_RANGE = (0.0, 9000.0)
 NATION_RANGE = (0, 20)
 EVENT_VALUE_RANGE = (0.0, 400.0)
+EVENT_ACCEPTED_RANGE = (0.0, 350.0)
+REDELIVERED_TYPE = "click"
+UNKEYED_PRIORITY = "5-LOW"
 DQ_ACCTBAL = (0, 9500)
 DQ_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
 SCD2_CUTOFFS = ("1996-01-01", "1999-01-01", "2002-01-01")
@@ -268,6 +276,35 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantined rows appended by two runs, the first of them twice (a
+    rerun replaces its own rows), read back."""
+    path = scratch_path(spark, "quarantine")
+    for run_id in ("run-a", "run-b", "run-a"):
+        append_run(dq_quarantine(spark, sf_dir), path, run_id)
+    return spark.read.parquet(path)
+
+
+def quality_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which gates let their table through: pass rates and key uniqueness."""
+    result = run_suite(_dq_input(spark, sf_dir), _dq_checks())[2]
+    lines = load(spark, sf_dir, "lineitem")
+    gates = {
+        "pass_rate_95": lambda: gate_pass_rate(result, 0.95),
+        "pass_rate_50": lambda: gate_pass_rate(result, 0.5),
+        "unique_lines": lambda: assert_unique(lines, ["l_orderkey", "l_linenumber"]),
+        "unique_orders": lambda: assert_unique(lines, ["l_orderkey"]),
+    }
+    outcome = []
+    for name, gate in gates.items():
+        try:
+            gate()
+            outcome.append((name, "open"))
+        except ValueError:
+            outcome.append((name, "shut"))
+    return spark.createDataFrame(outcome, "gate string, outcome string")
+
+
 # -- SCD2 -------------------------------------------------------------------
 
 def _order_snapshot(spark: SparkSession, sf_dir: str, start: str | None, end: str) -> DataFrame:
@@ -291,32 +328,49 @@ def _scd2_args() -> dict:
 
 
 def scd2_initial_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_initial(_order_snapshot(spark, sf_dir, None, SCD2_CUTOFFS[0]))
+    return scd2_initial(_order_snapshot(spark, sf_dir, None, SCD2_CUTOFFS[2]))
 
 
 def scd2_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = scd2_initial_dim(spark, sf_dir)
-    updates = _order_snapshot(spark, sf_dir, SCD2_CUTOFFS[0], SCD2_CUTOFFS[1])
+    first = scd2_initial(_order_snapshot(spark, sf_dir, None, SCD2_CUTOFFS[0]))
+    updates = _order_snapshot(spark, sf_dir, SCD2_CUTOFFS[0], SCD2_CUTOFFS[2])
     return scd2_merge(first, updates, **_scd2_args())
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    second = scd2_upsert(spark, sf_dir)
-    updates = _order_snapshot(spark, sf_dir, SCD2_CUTOFFS[1], SCD2_CUTOFFS[2])
-    return scd2_merge(second, updates, **_scd2_args())
+    """Two merges; the dimension in between is stored by ``is_current``."""
+    first = scd2_initial(_order_snapshot(spark, sf_dir, None, SCD2_CUTOFFS[0]))
+    second = scd2_merge(first, _order_snapshot(spark, sf_dir, *SCD2_CUTOFFS[:2]), **_scd2_args())
+    path = scratch_path(spark, "scd2_dimension")
+    second.write.partitionBy("is_current").parquet(path)
+    stored = spark.read.schema(second.schema).parquet(path)
+    return scd2_merge(stored, _order_snapshot(spark, sf_dir, *SCD2_CUTOFFS[1:]), **_scd2_args())
+
+
+def scd2_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scd2_upsert`` on feeds that lack the key of some rows: open rows
+    without a key stay, updates without one are inserted."""
+    key = F.when(F.col("o_orderpriority") != UNKEYED_PRIORITY, F.col("o_custkey"))
+    first = _order_snapshot(spark, sf_dir, None, SCD2_CUTOFFS[0]).withColumn("o_custkey", key)
+    updates = _order_snapshot(spark, sf_dir, SCD2_CUTOFFS[0], SCD2_CUTOFFS[2]).withColumn("o_custkey", key)
+    return scd2_merge(scd2_initial(first), updates, **_scd2_args())
 
 
 # -- End to end -------------------------------------------------------------
 
 def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> bronze stamp -> lenient typing -> range repair -> dedupe ->
-    quality split -> daily Gold over the good rows."""
-    raw = load(spark, sf_dir, "events").select(
+    quality split -> daily Gold over the good rows. Events of one type are
+    delivered a second time with a corrected value, which is the one to keep."""
+    deliveries = F.when(F.col("event_type") == REDELIVERED_TYPE, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    delivered = load(spark, sf_dir, "events").withColumn("delivery", F.explode(deliveries))
+    raw = delivered.withColumn("value", F.col("value") + F.col("delivery") - 1).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("string").alias("ts"),
         F.col("user_id").cast("string").alias("user_id"),
         "event_type",
         F.col("value").cast("string").alias("value"),
+        "delivery",
     )
     bronze = stamp_slice(raw, "events", SLICE_DATE)
     silver = bronze.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull()).withColumns(
@@ -327,8 +381,8 @@ def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
             "value": null_outside(lenient_cast("value", "double"), *EVENT_VALUE_RANGE),
         }
     )
-    silver = dedupe_latest(silver, ["user_id", "ts"], "_ingested_at", tie_breakers=["event_id"])
-    checks = [expect_not_null("user_id", "ts"), expect_between("value", *EVENT_VALUE_RANGE)]
+    silver = dedupe_latest(silver, ["event_id"], "delivery")
+    checks = [expect_not_null("user_id", "ts"), expect_between("value", *EVENT_ACCEPTED_RANGE)]
     tagged = tag_failures(silver.withColumn("event_date", event_date("ts")), checks)
     good = tagged.filter(F.size(FAILURES_COL) == 0)
     return daily_summary(
@@ -359,5 +413,8 @@ QUERIES: dict[str, Query] = {
     "scd2_initial": scd2_initial_dim,
     "scd2_upsert": scd2_upsert,
     "scd2_history": scd2_history,
+    "scd2_null_keys": scd2_null_keys,
+    "quarantine_sink": quarantine_sink,
+    "quality_gates": quality_gates,
     "medallion_e2e": medallion_e2e,
 }

@@ -20,11 +20,12 @@ from strata.sources.incremental import (
     cursor_max,
     date_window,
     keyset_page,
+    load_date_window,
     page_by_number,
     read_date_window,
     read_since,
 )
-from strata.sources.landing import ingest_bronze, land_batch
+from strata.sources.landing import ingest_bronze, land_batch, slice_path
 from strata.sources.tables import (
     load_table_slices,
     read_slices,
@@ -33,6 +34,7 @@ from strata.sources.tables import (
     write_slices,
 )
 from strata.streaming.sinks import TwoHopPaths, stream_pass
+from strata.streaming.sources import RESCUED_COL
 
 # Fixed parameters (the oracle SQL uses the same values).
 CURSOR_HWM = "1999-06-30 00:00:00"
@@ -75,6 +77,20 @@ def landing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_ingested_at", "_source_file")
 
 
+def landing_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers landed as files of one JSON array spread over lines (at most
+    1,000 records each, as a paged API delivers them), ingested into Bronze."""
+    root, bronze = scratch_path(spark, "landing_arrays"), scratch_path(spark, "bronze_suppliers")
+    s = load(spark, sf_dir, "supplier")
+    chunk = F.concat_ws("-", "s_nationkey", F.floor(F.col("s_suppkey") / 1000))
+    records = F.collect_list(F.struct("s_suppkey", "s_name", "s_nationkey"))
+    arrays = s.groupBy(chunk.alias("batch_id")).agg(records.alias("records"))
+    arrays = arrays.select("batch_id", F.to_json("records", {"pretty": "true"}).alias("value"))
+    arrays.write.partitionBy("batch_id").text(slice_path(root, "suppliers", "2024-01-01"))
+    ingest_bronze(spark, root, "suppliers", bronze, "2024-01-01", multi_line=True)
+    return read_slices(spark, bronze).select("s_suppkey", "s_name", "s_nationkey", "batch_id", "_ingest_date")
+
+
 def _year_slice() -> F.Column:
     return F.concat(F.year("o_orderdate").cast("string"), F.lit("-01-01"))
 
@@ -149,6 +165,15 @@ def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_date_window(load(spark, sf_dir, "orders"), "o_orderdate", start, end)
 
 
+def incremental_window_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date window landed and read back, with the mark its landing left."""
+    marks, path = HighWaterMarks(spark, scratch_path(spark, "marks")), scratch_path(spark, "window")
+    marks.set("orders", WINDOW_HWM)
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    load_date_window(o, "o_orderdate", marks, "orders", WINDOW_HWM, WINDOW_TODAY, land=lambda rows: rows.write.parquet(path))
+    return spark.read.parquet(path).withColumn("mark", F.lit(marks.get("orders", WINDOW_HWM)))
+
+
 def paged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order with its position and page in (orderdate, orderkey) order."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
@@ -214,8 +239,39 @@ def windows_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after two passes of the stream. The second pass's events, clicks,
+    have a new field; some have a bad time and some are cut-off lines, whose
+    text Bronze keeps."""
+    base = scratch_path(spark, "stream_drift")
+    paths = TwoHopPaths(f"{base}/landing", f"{base}/bronze", f"{base}/gold", f"{base}/_checkpoints")
+    args = dict(ts_col="ts", keys=["event_type"], required=["event_id", "ts"], hints_ddl=EVENT_HINTS, state_partitions=STATE_PARTITIONS)
+    events = load(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type", "value"
+    )
+    late = F.col("event_type") == LATE_TYPE
+    events.filter(~late).write.mode("append").json(paths.landing)
+    stream_pass(spark, paths, **args)
+    drifted = events.filter(late).withColumns(
+        {"ts": F.when(F.col("value") >= 350, F.lit("noon")).otherwise(F.col("ts")), "bike": F.lit("new")}
+    )
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("value") < 50, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    drifted.select(cut.alias("value")).write.mode("append").text(paths.landing)
+    stream_pass(spark, paths, **args)
+    bronze = spark.read.option("mergeSchema", "true").parquet(paths.bronze)
+    kept_text = F.regexp_extract(RESCUED_COL, '"event_id":([0-9]+)', 1).cast("bigint")
+    return bronze.select(
+        F.coalesce("event_id", kept_text).alias("event_id"), "event_type", "bike",
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.col(RESCUED_COL).isNotNull().alias("rescued"),
+    )
+
+
 IO_QUERIES = {
     "landing_bronze": landing_bronze,
+    "landing_arrays": landing_arrays,
+    "incremental_window_load": incremental_window_load,
+    "stream_schema_drift": stream_schema_drift,
     "replace_slice": replace_slice_query,
     "replace_slice_table": replace_slice_table,
     "schema_evolution": schema_evolution,

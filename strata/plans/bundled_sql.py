@@ -124,6 +124,21 @@ dim0 AS (
         _merge("dim1", "dim0", "snap1"),
         _snapshot("snap2", "1999-01-01", "2002-01-01"),
         _merge("dim2", "dim1", "snap2"),
+        _snapshot("snap_all", None, "2002-01-01"),
+        _snapshot("snap_rest", "1996-01-01", "2002-01-01"),
+        _merge("dim_rest", "dim0", "snap_rest"),
+    ]
+)
+
+_UNKEYED = "* REPLACE (CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS o_custkey)"
+_SCD2_NULLS = ",".join(
+    [
+        _SCD2_BASE,
+        f"""
+null_dim AS (SELECT {_UNKEYED} FROM dim0),
+null_new AS (SELECT {_UNKEYED} FROM snap_rest)""",
+        _merge("null_merged", "(SELECT * FROM null_dim WHERE o_custkey IS NOT NULL)",
+               "(SELECT * FROM null_new WHERE o_custkey IS NOT NULL)"),
     ]
 )
 
@@ -228,23 +243,38 @@ SELECT l_orderkey, l_linenumber, COUNT(*) AS dup_count
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "scd2_initial": f"""
 WITH {_SCD2_BASE}
-SELECT * FROM dim0""",
+SELECT *, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current FROM snap_all""",
     "scd2_upsert": f"""
 WITH {_SCD2_BASE}
-SELECT * FROM dim1""",
+SELECT * FROM dim_rest""",
+    "scd2_null_keys": f"""
+WITH {_SCD2_NULLS}
+SELECT * FROM null_merged
+UNION ALL BY NAME
+SELECT * FROM null_dim WHERE o_custkey IS NULL
+UNION ALL BY NAME
+SELECT *, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current FROM null_new WHERE o_custkey IS NULL""",
     "scd2_history": f"""
 WITH {_SCD2_BASE}
 SELECT * FROM dim2""",
     "medallion_e2e": f"""
-WITH s AS (
+WITH delivered AS (
+  SELECT event_id, ts, user_id, event_type, value, 1 AS delivery FROM events
+  UNION ALL
+  SELECT event_id, ts, user_id, event_type, value + 1, 2 FROM events WHERE event_type = 'click'
+),
+latest AS (
+  SELECT * FROM delivered WHERE user_id IS NOT NULL AND ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY delivery DESC) = 1
+),
+s AS (
   SELECT upper(trim(event_type)) AS event_type,
          CAST(try_cast(CAST(ts AS VARCHAR) AS TIMESTAMP) AS DATE) AS event_date,
          CASE WHEN value BETWEEN 0.0 AND 400.0 THEN value END AS value
-  FROM events
-  WHERE user_id IS NOT NULL AND ts IS NOT NULL
+  FROM latest
 ),
 good AS (
-  SELECT * FROM s WHERE COALESCE(value IS NOT NULL AND NOT (value BETWEEN 0.0 AND 400.0), FALSE) = FALSE
+  SELECT * FROM s WHERE COALESCE(value IS NOT NULL AND NOT (value BETWEEN 0.0 AND 350.0), FALSE) = FALSE
 )
 SELECT event_type, event_date, {_xavg('value')} AS value_avg,
        {_xext('max', 'value')} AS value_max, COUNT(*) AS n_events
@@ -517,3 +547,36 @@ WITH n AS (
   FROM orders
 )
 SELECT *, row_ordinal // 1000 AS page_no FROM n WHERE row_ordinal // 1000 = 3"""
+
+ORACLE_SQL["quarantine_sink"] = f"""
+SELECT q.*, r._run_id FROM ({ORACLE_SQL["dq_quarantine"]}) q, (VALUES ('run-a'), ('run-b')) r(_run_id)"""
+
+ORACLE_SQL["quality_gates"] = f"""
+WITH m AS (SELECT max(total_rows) AS total, max(passed_rows) AS passed FROM ({ORACLE_SQL["dq_summary"]})),
+lines AS (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+SELECT 'pass_rate_95' AS gate, CASE WHEN passed >= 0.95 * total THEN 'open' ELSE 'shut' END AS outcome FROM m
+UNION ALL SELECT 'pass_rate_50', CASE WHEN passed >= 0.5 * total THEN 'open' ELSE 'shut' END FROM m
+UNION ALL SELECT 'unique_lines', CASE WHEN max(n) = 1 THEN 'open' ELSE 'shut' END FROM lines
+UNION ALL SELECT 'unique_orders', CASE WHEN count(DISTINCT l_orderkey) = count(*) THEN 'open' ELSE 'shut' END FROM lineitem"""
+
+ORACLE_SQL["landing_arrays"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+       CAST(s_nationkey AS VARCHAR) || '-' || CAST(s_suppkey // 1000 AS VARCHAR) AS batch_id, '2024-01-01' AS _ingest_date
+FROM supplier"""
+
+ORACLE_SQL["incremental_window_load"] = """
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(CAST(DATE '1998-01-02' AS DATE) AS VARCHAR) AS mark
+FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-06-01' AND DATE '1998-01-01'"""
+
+ORACLE_SQL["stream_schema_drift"] = """
+WITH e AS (
+  SELECT *, event_type = 'click' AS late,
+         coalesce(event_type = 'click' AND value < 50, FALSE) AS broken,
+         coalesce(event_type = 'click' AND value >= 350, FALSE) AS undated
+  FROM events
+)
+SELECT event_id, CASE WHEN NOT broken THEN event_type END AS event_type,
+       CASE WHEN late AND NOT broken THEN 'new' END AS bike,
+       CASE WHEN NOT broken AND NOT undated THEN ts END AS ts,
+       broken OR undated AS rescued
+FROM e"""

@@ -9,11 +9,10 @@ half to the quarantine. A failed gate leaves the table as it was.
 """
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.quality import (
@@ -22,6 +21,7 @@ from strata.operators.quality import (
     SuiteResult,
     assert_unique,
     gate_pass_rate,
+    suite_result,
     tag_failures,
 )
 from strata.operators.quality import expect_between, expect_not_null
@@ -38,7 +38,6 @@ from strata.sources.landing import ingest_bronze
 from strata.sources.tables import (
     append_run,
     new_version_location,
-    overwrite_table,
     point_table,
     publish_version,
     read_slices,
@@ -82,42 +81,28 @@ def silver_step(
 ) -> SilverRun:
     """Transform, check, gate, then publish a date-partitioned Silver table.
 
-    The transformed rows are computed and written exactly once, and the
-    suite metrics are observed during that write. The staged version cuts
-    the lineage (uniqueness, publish and quarantine all read the same files,
-    so they agree with the metrics even when the transform is not
-    deterministic) and is itself the published table, so Silver is not
-    written a second time after a checkpoint.
+    The transformed rows are computed and written exactly once. The staged
+    version cuts the lineage (metrics, uniqueness, publish and quarantine all
+    read the same files, so they agree even when the transform is not
+    deterministic or a task was run again) and is itself the published table,
+    so Silver is not written a second time after a checkpoint. The metrics
+    read the column of failed checks alone.
     """
     silver = transform(bronze)
     tagged = tag_failures(silver, checks).withColumn(PASSED_COL, F.size(FAILURES_COL) == 0)
-    # the suite metrics are observed while the rows are written: no second pass
-    metrics = Observation(f"silver_{uuid.uuid4().hex[:8]}")
-    observed = tagged.observe(
-        metrics,
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(PASSED_COL)).alias("passed"),
-        *[
-            F.count_if(F.array_contains(FAILURES_COL, F.lit(c.name))).alias(f"f{i}")
-            for i, c in enumerate(checks)
-        ],
-    )
     location = new_version_location(spark, silver_table, root)
     with session_conf(spark, FANOUT_WRITE_CONF):
         (
-            observed.hint("rebalance", PASSED_COL, partition_col)
+            tagged.hint("rebalance", PASSED_COL, partition_col)
             .write.mode("errorifexists")
             .partitionBy(PASSED_COL, partition_col)
             .parquet(location)
         )
-    m = metrics.get
-    total, passed = int(m.get("total", 0)), int(m.get("passed", 0))
-    result = SuiteResult(total, passed, total - passed,
-                         {c.name: int(m.get(f"f{i}", 0)) for i, c in enumerate(checks)})
     staged = spark.read.schema(tagged.schema).parquet(location)
+    result = suite_result(staged, checks)
 
     good_location = f"{location}/{PASSED_COL}=true"
-    if passed == 0:  # keep the table readable (and empty) when nothing passed
+    if result.passed_rows == 0:  # keep the table readable (and empty) when nothing passed
         spark.createDataFrame([], silver.schema).write.partitionBy(partition_col).parquet(good_location)
     good = spark.read.schema(silver.schema).parquet(good_location)
     quarantine = staged.filter(~F.col(PASSED_COL)).drop(PASSED_COL)
@@ -145,10 +130,11 @@ def gold_step(
     gold: GoldTables,
     mart_root: str | None = None,
 ) -> None:
-    """Gold: both daily tables (full overwrite), then the cross-domain mart
-    computed from the tables just written and published as a new version."""
-    overwrite_table(gold_daily_weather(spark.table(silver_weather_table)), gold.weather_daily)
-    overwrite_table(gold_crimes_daily(spark.table(silver_crimes_table)), gold.crimes_daily)
+    """Gold: both daily tables, then the cross-domain mart computed from the
+    tables just written. Each is a new version: a failed write leaves the old
+    one in place."""
+    publish_version(spark, gold_daily_weather(spark.table(silver_weather_table)), gold.weather_daily, mart_root)
+    publish_version(spark, gold_crimes_daily(spark.table(silver_crimes_table)), gold.crimes_daily, mart_root)
     mart = crimes_weather_daily(spark.table(gold.crimes_daily), spark.table(gold.weather_daily))
     publish_version(spark, mart, gold.crimes_weather_daily, mart_root)
 
@@ -207,14 +193,19 @@ def crimes_checks() -> list[Check]:
 
 
 def run_daily(
-    spark: SparkSession, layout: MedallionLayout, ingest_date: str, run_id: str | None = None
+    spark: SparkSession, layout: MedallionLayout, ingest_date: str, run_id: str | None = None,
+    multi_line: Collection[str] = (),
 ) -> dict[str, SuiteResult]:
     """One scheduled batch: both sources' landing slices into Bronze, the two
     Silver steps (weather gated at 95 %, crimes not gated), the IUCR code
-    dimension, then Gold. Returns the quality results per source."""
+    dimension, then Gold. Returns the quality results per source.
+    ``multi_line`` names the sources whose files are JSON spread over lines."""
     run_id = run_id or f"run-{ingest_date}"
     for source in ("weather", "crimes"):
-        ingest_bronze(spark, layout.landing_root, source, f"{layout.bronze_root}/{source}", ingest_date)
+        ingest_bronze(
+            spark, layout.landing_root, source, f"{layout.bronze_root}/{source}", ingest_date,
+            multi_line=source in multi_line,
+        )
 
     weather = silver_step(
         spark, read_slices(spark, f"{layout.bronze_root}/weather"), silver_weather, weather_checks(),

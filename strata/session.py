@@ -64,7 +64,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
     input, so no reducer spills) and let AQE coalesce what turns out small;
     AQE also splits skewed partitions of joins and rebalanced writes.
     """
-    partitions = max(200, min(100_000, input_bytes // target_partition_bytes))
+    partitions = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

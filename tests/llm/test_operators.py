@@ -114,7 +114,10 @@ def test_near_copies_of_near_copies(spark):
     assert {i: r["component_id"] for i, r in got.items()} == root
 
 
-def test_components_of_random_graphs(spark):
+@pytest.mark.parametrize("block", [4, 1 << 18])
+def test_components_of_random_graphs(spark, monkeypatch, block):
+    """In blocks of four edges the rounds have work left to do."""
+    monkeypatch.setattr("strata.llm.components.BLOCK_EDGES", block)
     rng = random.Random(8)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)]
     nodes = {x for e in edges for x in e}

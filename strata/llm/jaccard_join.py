@@ -14,8 +14,10 @@ the bound are formed:
   its columns, which joins large groups of near copies at a linear cost.
 * Then the product: pairs of rows of a column in different components, column
   by column in blocks of at most ``BLOCK`` by ``BLOCK`` rows, with the overlap
-  counts accumulated over columns. A pair stays only if its count plus all
-  that the unseen columns could add reaches ``3/7 (n_a + n_b)``.
+  counts accumulated over columns. An entry is formed only if the columns from
+  its place on could hold an overlap of ``3/7 (n_a + n_b)``; a pair stays only
+  if its count plus the columns after the last one counted could, and if all
+  columns that both rows kept plus the rest of the sets could.
 * What stays is verified on the full sets.
 
 No pair within a component is formed twice over, no group is collected into
@@ -112,8 +114,9 @@ def _postings(frequent):
                 order = np.lexsort((hashes, weight[_counter(hashes)], rows))
                 n = np.diff(offsets)
                 rank = np.arange(len(rows)) - np.repeat(offsets[:-1], n)
-                keep = order[(rank < np.repeat(n // 4 + 1, n)) & np.repeat(first, n)]
-                yield pa.record_batch({"h": hashes[keep].view(np.int64), "fp": fps[rows[keep]], "n": n[rows[keep]]})
+                chosen = (rank < np.repeat(n // 4 + 1, n)) & np.repeat(first, n)
+                keep = order[chosen]
+                yield pa.record_batch({"h": hashes[keep].view(np.int64), "fp": fps[rows[keep]], "n": n[rows[keep]].astype(np.int32), "pos": rank[chosen].astype(np.int32)})
 
     return run
 
@@ -183,14 +186,30 @@ def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 def _product(rows: DataFrame) -> DataFrame:
     """Pairs of rows in different components that a column shares, with the
-    number of shared columns: the product in blocks, accumulated over columns."""
+    number of shared columns and the last places of one: the product in blocks,
+    accumulated over columns. The first column that two rows share leaves no
+    more overlap than either row has columns from there on, so entries further
+    back than the bound allows are not formed."""
     column = Window.partitionBy("h")
     blocks = F.ceil(F.count("*").over(column) / BLOCK).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("at", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    left = rows.select("h", F.col("fp").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("r_u"), F.col("at").alias("i"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("j"))
-    right = rows.select("h", F.col("fp").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("r_v"), F.col("at").alias("j"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("i"))
-    met = left.join(right, ["h", "i", "j"]).where("u < v and r_u <> r_v and 4 * least(n_u, n_v) >= 3 * greatest(n_u, n_v)")
-    return met.groupBy("u", "v", "n_u", "n_v").agg(F.count("*").alias("shared"))
+    left = rows.select("h", F.col("fp").alias("u"), F.col("n").alias("n_u"), F.col("pos").alias("p_u"), F.col("root").alias("r_u"), F.col("at").alias("i"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("j"))
+    right = rows.select("h", F.col("fp").alias("v"), F.col("n").alias("n_v"), F.col("pos").alias("p_v"), F.col("root").alias("r_v"), F.col("at").alias("j"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("i"))
+    reach = "7L * least(n_u - p_u, n_v - p_v) >= 3L * (n_u + n_v)"
+    met = left.join(right, ["h", "i", "j"]).where(f"u < v and r_u <> r_v and {reach}")
+    return met.groupBy("u", "v", "n_u", "n_v").agg(F.count("*").alias("shared"), F.max("p_u").alias("p_u"), F.max("p_v").alias("p_v"))
+
+
+def _likely(pairs: DataFrame, postings: DataFrame) -> DataFrame:
+    """The pairs whose shared columns, and all that the rest of the sets could
+    add, reach the bound. A row has at most ``n // 4 + 1`` columns here."""
+    # all columns shared up to the last one counted are counted
+    pairs = pairs.where("7L * (shared + least(n_u - p_u, n_v - p_v) - 1) >= 3L * (n_u + n_v)").select("u", "v", "n_u", "n_v")
+    kept = postings.groupBy("fp").agg(F.collect_list("h").alias("columns"))
+    x, y = (kept.select(F.col("fp").alias(k), F.col("columns").alias(c)) for k, c in (("u", "x"), ("v", "y")))
+    rest = "n_{0} - floor(n_{0} / 4) - 1"
+    bound = f"7L * (size(array_intersect(x, y)) + greatest({rest.format('u')}, {rest.format('v')})) >= 3L * (n_u + n_v)"
+    return pairs.join(x, "u").join(y, "v").where(bound).select("u", "v")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -202,10 +221,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     frequent = sc.broadcast(_frequent(described))
 
     column = Window.partitionBy("h")
-    postings = docs.mapInArrow(_postings(frequent), "h long, fp long, n long")
+    postings = docs.mapInArrow(_postings(frequent), "h long, fp long, n int, pos int")
     postings = postings.withColumns({"low": F.min("fp").over(column), "high": F.max("fp").over(column)}).where("low <> high")
     # copies in different slices gave the same posting
-    postings = staged(postings.groupBy("h", "fp").agg(F.first("n").alias("n")), "op10-columns")
+    postings = staged(postings.groupBy("h", "fp").agg(F.first("n").alias("n"), F.first("pos").alias("pos")), "op10-columns")
 
     # a row whose columns are shared most is the likeliest source of near copies
     ranked = postings.withColumn("w", F.count("*").over(Window.partitionBy("fp")))
@@ -217,9 +236,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     rows = postings.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rows = rows.withColumns({"r0": F.min("root").over(column), "r1": F.max("root").over(column)}).where("r0 <> r1")
-    rest = "n_{0} - floor(n_{0} / 4) - 1"
-    bound = f"7 * (shared + greatest({rest.format('u')}, {rest.format('v')})) >= 3 * (n_u + n_v)"
-    more = _verified(docs, _product(rows.select("h", "fp", "n", "root")).where(bound).select("u", "v"), "op10-product")
+    more = _verified(docs, _likely(_product(rows.select("h", "fp", "n", "pos", "root")), postings), "op10-product")
     # the components so far stand for the links that made them
     roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more), "op10-roots")
 

@@ -1,13 +1,21 @@
-"""Substring dedup by hashing of lines and their sentences.
+"""Substring dedup by hashing of lines, their sentences, and word windows.
 
 A text is cut into units: lines, and within them sentences. A unit is
 normalised (A-Z lower-cased, white space runs as one) and hashed; digests are
 grouped over all documents, and the earliest occurrence by (doc_id, place)
-keeps its text. A later occurrence is removed where it matters: as part of a
-run of consecutive repeated units of at least ``min_words`` words. So a passage
-is found wherever it stands in its line, and a short line or sentence that many
-documents happen to share stays. Removed stretches are reported with their
-offsets (code points) in the original text.
+keeps its text. A later occurrence is removed as part of a run of consecutive
+repeated units of at least ``min_words`` words, so a short line or sentence
+that many documents happen to share stays.
+
+A passage that begins or ends inside a sentence is found by its words: every
+window of ``min_words`` words that stands at an earlier place already is
+removed, so a passage goes from its first to its last common word. To compare
+windows only where something repeats, each is known by its anchor, the
+smallest hash among the runs of about half as many words in it. Equal windows
+have equal anchors, so windows whose anchor stands in one place only are passed
+over and none that repeats is lost. Within a document a window that overlaps
+its own earliest occurrence stays. Overlapping and adjoining stretches are
+merged and reported with their offsets (code points) in the original text.
 
 Digests are counted with partial sums before the shuffle; the join back splits
 a digest that a third of all units share (adaptive skew join).
@@ -25,23 +33,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import Texts, load, mix, salted, slices, span_hashes, staged, text_rows, words_of
+from strata.llm.common import Texts, Words, load, mix, salted, slices, span_hashes, staged, text_rows, window_hashes, words_of
 
 MIN_WORDS = 30
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
-_UNITS = "doc_id long, nth int, digest long, words int, start int, stop int"
+#: kind 0: units, nth in their row; kind 1: anchors, nth the place of their first word.
+_UNITS = "kind int, doc_id long, nth int, digest long, word int, words int, start int, stop int"
+_WINDOWS = "doc_id long, word int, digest long, start int, stop int"
 
 
-def units_of(texts: Texts) -> dict[str, np.ndarray]:
-    """row, nth (in its row), digest, words, start and stop (code points)."""
-    lower = texts.lower()
-    words = words_of(lower)
+def _code_points(texts: Texts) -> np.ndarray:
+    """Code points before each byte of the buffer."""
+    return np.concatenate([[0], np.cumsum((texts.buf & 0xC0) != 0x80)])
+
+
+def units_of(texts: Texts, words: Words, hashes: np.ndarray) -> dict[str, np.ndarray]:
+    """row, nth (in its row), digest, word (its first), words, start and stop (code points)."""
     rows, n = words.rows, len(words.starts)
     if not n:
-        return {k: np.zeros(0, np.int64) for k in ("row", "nth", "digest", "words", "start", "stop")}
-    hashes = span_hashes(lower.buf, words.starts, words.ends)
+        return {k: np.zeros(0, np.int64) for k in ("row", "nth", "digest", "word", "words", "start", "stop")}
     lines = np.cumsum(texts.buf == 10)
     new = np.ones(n, bool)
     new[1:] = (rows[1:] != rows[:-1]) | _ENDS[texts.buf[words.ends[:-1] - 1]] | (lines[words.starts[1:]] != lines[words.starts[:-1]])
@@ -50,37 +62,117 @@ def units_of(texts: Texts) -> dict[str, np.ndarray]:
     place = np.arange(n) - np.repeat(first, size)
     with np.errstate(over="ignore"):
         digest = mix(np.add.reduceat(mix(hashes + salted(place.astype(np.uint64), 9)), first) + size.astype(np.uint64))
-    chars = np.concatenate([[0], np.cumsum((texts.buf & 0xC0) != 0x80)])
+    chars = _code_points(texts)
     row = rows[first]
     row_first = np.searchsorted(row, row)
     origin = chars[texts.offsets[row]]
     return {
-        "row": row, "nth": np.arange(len(first)) - row_first, "digest": digest.view(np.int64), "words": size,
+        "row": row, "nth": np.arange(len(first)) - row_first, "digest": digest.view(np.int64), "word": first - words.first[row], "words": size,
         "start": chars[words.starts[first]] - origin, "stop": chars[words.ends[first + size - 1]] - origin,
     }
 
 
-def _emit(batches):
-    for batch in batches:
-        for part, texts in slices(batch):
-            u = units_of(texts)
-            row = u.pop("row")
-            ids = part.column("doc_id").take(pa.array(row))
-            cols = {"doc_id": ids, **{k: v if k == "digest" else v.astype(np.int32) for k, v in u.items()}}
-            yield pa.record_batch({k: cols[k] for k in ("doc_id", "nth", "digest", "words", "start", "stop")})
+def _run_words(min_words: int) -> int:
+    """Words of the runs that anchors are chosen from: two cover a window."""
+    return (min_words + 2) // 2
+
+
+def windows_of(words: Words, hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first words, places of their anchors, hashes of the words' runs) of
+    every window of ``min_words`` words; places count all words of the slice."""
+    width = _run_words(min_words)
+    runs = salted(window_hashes(hashes, width), 17)
+    n = len(hashes) - min_words + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), runs
+    # the leftmost smallest run of each window
+    best, least = np.arange(n), runs[:n].copy()
+    for k in range(1, min_words - width + 1):
+        less = runs[k : k + n] < least
+        least[less] = runs[k : k + n][less]
+        best[less] = np.flatnonzero(less) + k
+    rows = words.rows
+    inside = np.flatnonzero(rows[:n] == rows[min_words - 1 :])
+    return inside, best[inside], runs
+
+
+def _emit(min_words: int):
+    def run(batches):
+        for batch in batches:
+            for part, texts in slices(batch):
+                texts = texts.lower()
+                words = words_of(texts)
+                hashes = span_hashes(texts.buf, words.starts, words.ends)
+                u = units_of(texts, words, hashes)
+                _, anchors, runs = windows_of(words, hashes, min_words)
+                anchors = np.unique(anchors)
+                row = words.rows[anchors]
+                place, none = anchors - words.first[row], np.zeros(len(anchors), np.int64)
+                a = {"row": row, "nth": place, "digest": runs[anchors].view(np.int64), "word": place, "words": none, "start": none, "stop": none}
+                for kind, cols in enumerate((u, a)):
+                    ids = part.column("doc_id").take(pa.array(cols.pop("row")))
+                    cols = {"kind": np.full(len(ids), kind, np.int32), "doc_id": ids, **{k: v if k == "digest" else v.astype(np.int32) for k, v in cols.items()}}
+                    yield pa.record_batch({k: cols[k] for k in ("kind", "doc_id", "nth", "digest", "word", "words", "start", "stop")})
+
+    return run
+
+
+def _emit_windows(min_words: int):
+    """The windows of each text whose anchor is among ``anchors``."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in slices(batch):
+                texts = texts.lower()
+                words = words_of(texts)
+                hashes = span_hashes(texts.buf, words.starts, words.ends)
+                first, anchors, runs = windows_of(words, hashes, min_words)
+                lists = part.column("anchors")
+                marked = np.zeros(len(hashes) + 1, bool)
+                owner = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy())
+                place = lists.flatten().to_numpy()
+                fits = place < words.counts[owner]  # rows of one doc_id share a list
+                marked[words.first[owner[fits]] + place[fits]] = True
+                first = first[marked[anchors]]
+                last, row = first + min_words - 1, words.rows[first]
+                with np.errstate(over="ignore"):
+                    digest = mix(runs[first] + salted(runs[last + 1 - _run_words(min_words)], 18))
+                chars = _code_points(texts)
+                origin = chars[texts.offsets[row]]
+                cols = {"word": first - words.first[row], "start": chars[words.starts[first]] - origin, "stop": chars[words.ends[last]] - origin}
+                cols = {"doc_id": part.column("doc_id").take(pa.array(row)), "digest": digest.view(np.int64), **{k: v.astype(np.int32) for k, v in cols.items()}}
+                yield pa.record_batch({k: cols[k] for k in ("doc_id", "word", "digest", "start", "stop")})
+
+    return run
+
+
+def _repeated(rows: DataFrame, place: str, *keys: str) -> DataFrame:
+    """The rows whose digest stands in two places or more, with the ``first``."""
+    first = rows.groupBy(*keys, "digest").agg(F.min(F.struct("doc_id", place)).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return rows.join(first.drop("n"), [*keys, "digest"])
 
 
 def repeated_stretches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, stop, words) of every stretch that an earlier document,
     or an earlier place of the same one, has already."""
-    units = text_rows(docs).where("doc_id is not null").mapInArrow(_emit, _UNITS)
-    first = units.groupBy("digest").agg(F.min(F.struct("doc_id", "nth")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = units.join(first.select("digest", "first"), "digest").where("doc_id <> first.doc_id or nth <> first.nth").drop("digest", "first")
-    later = later.distinct()
+    texts = text_rows(docs).where("doc_id is not null")
+    again = staged(_repeated(texts.mapInArrow(_emit(min_words), _UNITS), "nth", "kind"), "op8-again")
+    later = again.where("kind = 0 and (doc_id <> first.doc_id or nth <> first.nth)").drop("kind", "digest", "first").distinct()
     # consecutive units of a document share nth less their number in order
     run = F.col("nth") - F.row_number().over(Window.partitionBy("doc_id").orderBy("nth"))
-    runs = later.withColumn("run", run).groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
-    return runs.where(F.col("words") >= min_words).select("doc_id", "start", "stop", "words")
+    runs = later.withColumn("run", run).groupBy("doc_id", "run").agg(F.min("word").alias("word"), F.max(F.expr("word + words")).alias("end"), F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
+    runs = runs.where(F.col("words") >= min_words).select("doc_id", "word", "end", "start", "stop")
+
+    anchors = again.where("kind = 1").groupBy("doc_id").agg(F.collect_set("nth").alias("anchors"))
+    windows = staged(texts.join(anchors, "doc_id").mapInArrow(_emit_windows(min_words), _WINDOWS), "op8-windows")
+    passages = _repeated(windows, "word").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("word") >= F.col("first.word") + min_words))
+    passages = passages.select("doc_id", "word", (F.col("word") + min_words).alias("end"), "start", "stop")
+
+    # a stretch begins where no earlier one reaches
+    before = Window.partitionBy("doc_id").orderBy("word", "end")
+    reach = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    parts = runs.unionByName(passages).withColumn("new", F.coalesce(F.col("word") > reach, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.groupBy("doc_id", "stretch").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("end") - F.min("word")).cast("long").alias("words")).drop("stretch")
 
 
 def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -324,6 +324,31 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.dedup_passages(empty).count() == 0
 
 
+def test_passages_with_broken_edges(spark):
+    """Any 30 words that stand at an earlier place go, wherever sentences end."""
+    rng = random.Random(12)
+    fresh = iter(range(10**6))
+    say = lambda n: " ".join(f"{rng.choice('abc')}{next(fresh)}" + rng.choice(["", "", "", ".", "\n"]) for _ in range(n))
+    passage = " ".join(f"p{i}" for i in range(53))  # one long sentence, no end of its own
+    short = " ".join(f"s{i}" for i in range(29))
+    mixed = say(70)
+    data = [
+        (1, f"{say(20)} {passage} {say(20)}"), (2, f"{say(11)} {passage.upper()}  {say(7)}"), (3, f"{say(5)} {short} {say(5)}"), (4, f"{say(4)} {short} {say(9)}"),
+        (5, mixed), (6, say(3) + " " + " ".join(mixed.split()[13:58]) + " " + say(3)), (7, "w " * 200), (8, say(40) + " " + passage + " and " + passage), (9, "w " * 31 + say(2)), (10, None), (None, passage),
+    ]
+    first, want = {}, {}
+    for i, text in data:
+        w = words(lower(text))
+        gone = set()
+        for k in range(len(w) - 29) if i else ():
+            doc, at = first.setdefault(tuple(w[k : k + 30]), (i, k))
+            if doc != i or k >= at + 30:
+                gone |= set(range(k, k + 30))
+        want[i] = [x for k, x in enumerate(words(text)) if k not in gone]
+    got = {r["doc_id"]: words(r["text"]) for r in substring_dedup.dedup_passages(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
+    assert got == want and [len(got[i]) for i in (2, 4, 6, 7)] == [18, 42, 6, 30]
+
+
 def test_lm_scores(docs, rows, empty):
     tokens = {r[0]: [*words(lower(r[1])), 0] for r in rows}
     seen = Counter(w for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10 for w in t)

@@ -1,11 +1,14 @@
 """License scans over a positional rare-token index.
 
 The index holds, for every word of the licence templates, the templates and
-positions at which it stands. For a text, the highest-IDF licence words it
-holds are looked up; each posting votes for a template at a relative position
-(text position less template position). Where enough votes agree, the template
-is laid over the text there, the share of its words that stand in place is
-the score, and its mandatory key phrases must stand in that stretch.
+positions at which it stands. Of each template the highest-IDF words are looked
+up wherever a text holds them; each posting votes for a template at a relative
+position (text position less template position). So many words of a template
+vote that a place with the share of words needed has enough votes whichever
+words were changed, however long the text and whatever else it holds. Where
+enough votes agree, the template is laid over the text there, the share of its
+words that stand in place is the score, and its mandatory key phrases must
+stand in that stretch.
 
 The four base phrases are templates of their own, counted at every place: the
 rarest word of a phrase is looked up and the others are checked around it.
@@ -37,16 +40,16 @@ NOTICES = (
     ("mpl-2.0", ("mozilla public license",), "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("cc-by-notice", ("creative commons attribution",), "this work is licensed under a creative commons attribution 4 0 international license"),
 )
-#: Highest-IDF licence words looked up for each text, votes that make a candidate, share of words in place.
-RARE_WORDS, MIN_VOTES, MIN_SHARE = 12, 3, 0.7
+#: Votes that make a candidate, share of words in place.
+MIN_VOTES, MIN_SHARE = 3, 0.7
 
 _FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
 class Index:
-    """Vocabulary, templates and postings."""
+    """Vocabulary, templates and, given the words' IDF, postings of each template's rarest words."""
 
-    def __init__(self):
+    def __init__(self, idf: np.ndarray | None = None):
         texts = [p for p, _ in BASE] + [t for _, _, t in NOTICES]
         keys = [k for _, ks, _ in NOTICES for k in ks]
         vocabulary = sorted({w for t in texts + keys for w in t.split()})
@@ -58,9 +61,14 @@ class Index:
         self.phrases = [ids(p) for p, _ in BASE]
         self.templates = [ids(t) for _, _, t in NOTICES]
         self.keys = [[ids(k) for k in ks] for _, ks, _ in NOTICES]
-        word = np.concatenate(self.templates)
-        template = np.repeat(np.arange(len(NOTICES)), [len(t) for t in self.templates])
-        place = np.concatenate([np.arange(len(t)) for t in self.templates])
+        if idf is None:
+            return
+        # at most misses(n) of a template's places fail, so MIN_VOTES more than that always leave enough
+        misses = lambda n: max(m for m in range(n) if (n - m) / n >= MIN_SHARE)
+        rare = [np.argsort(-idf[t], kind="stable")[: misses(len(t)) + MIN_VOTES] for t in self.templates]
+        word = np.concatenate([t[r] for t, r in zip(self.templates, rare, strict=True)])
+        template = np.repeat(np.arange(len(NOTICES)), [len(r) for r in rare])
+        place = np.concatenate(rare)
         order = np.argsort(word, kind="stable")
         self.template, self.place = template[order], place[order]
         self.first = np.searchsorted(word[order], np.arange(len(vocabulary) + 1))
@@ -109,8 +117,8 @@ def _stands(numbers: np.ndarray, phrase: np.ndarray, at: np.ndarray, low: np.nda
 
 def _scan(df: np.ndarray, total: int):
     def run(batches):
-        index = Index()
         idf = np.log((total + 1) / (df + 1))
+        index = Index(idf)
         for batch in batches:
             for part, texts in slices(batch):
                 words, numbers = _numbers(index, texts)
@@ -129,15 +137,8 @@ def _scan(df: np.ndarray, total: int):
                     for r in np.unique(own).tolist():
                         base[r].add(label)
                         score[r] = 1.0
-                # each text's licence words of the highest IDF
+                # the postings of the rare words vote for (template, place of its first word)
                 at = np.flatnonzero(numbers >= 0)
-                pairs = np.unique(rows[at] * len(idf) + numbers[at])
-                own, word = pairs // len(idf), pairs % len(idf)
-                order = np.lexsort((word, -idf[word], own))
-                rank = np.arange(len(order)) - np.searchsorted(own[order], own[order])
-                chosen = np.sort(pairs[order[rank < RARE_WORDS]])
-                at = at[np.isin(rows[at] * len(idf) + numbers[at], chosen)]
-                # their postings vote for (template, place of its first word)
                 size = index.first[numbers[at] + 1] - index.first[numbers[at]]
                 post = np.repeat(index.first[numbers[at]], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 where = np.repeat(at, size) - index.place[post]

@@ -324,6 +324,26 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.dedup_passages(empty).count() == 0
 
 
+def test_all_license_notices_in_a_long_document(spark):
+    """Neither other notices nor stray licence words use up what is looked up."""
+    rng = random.Random(5)
+    vocabulary = sorted({w for _, _, t in license_scan.NOTICES for w in t.split()})
+    stray = lambda n: " ".join(rng.choice(vocabulary) + " " + rng.choice(["harbour", "lantern"]) for _ in range(n))
+    # key phrases that a notice does not hold itself stand before it
+    notices = [(label, keys, " ".join([k for k in keys if k not in t] + [t])) for label, keys, t in license_scan.NOTICES]
+    labels = sorted({x for x, _, _ in notices})
+    data = [(100, stray(3000) + " " + " ".join(t + " " + stray(60) for _, _, t in notices) + stray(3000))]
+    data += [(i, stray(60) + " " + t + " " + stray(3)) for i, (_, _, t) in enumerate(notices)]
+    for i, (_, keys, t) in enumerate(notices):  # as many changed words as the share allows, key phrases whole
+        w, k = t.split(), {x for key in keys for x in key.split()}
+        free = [j for j, x in enumerate(w) if x not in k][: int(len(license_scan.NOTICES[i][2].split()) * 0.3)]
+        data.append((50 + i, " ".join("changed" if j in free else x for j, x in enumerate(w))))
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan.scan_licenses(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert set(labels) <= got[100]
+    for i, (label, _, _) in enumerate(notices):
+        assert label in got[i] and label in got[50 + i]
+
+
 def test_passages_with_broken_edges(spark):
     """Any 30 words that stand at an earlier place go, wherever sentences end."""
     rng = random.Random(12)

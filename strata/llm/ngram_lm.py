@@ -14,9 +14,10 @@ word pair and the word it begins with lie in the same segment.
 
 Score: interpolated absolute discounting. After h, a word w has
 (c(hw) - D) / c(h), if seen there, plus lambda(h) * p(w), p being the smoothed
-word probability of the base score and lambda(h) the share that discounts and
-pairs below ``MIN_PAIR`` leave. The counts c(hw) and c(h) and the two sums
-behind lambda(h) come from the filter, p(w) from exact word counts.
+word probability of the base score and lambda(h) the share that discounts
+leave. Every training pair is in the filter, those seen once at level 1. The
+counts c(hw) and c(h) and the number of distinct followers behind lambda(h)
+come from the filter, p(w) from exact word counts.
 
 Word counts reach the texts without a broadcast: each task lists the distinct
 words of a chunk of documents, counts meet by word hash, and are returned to
@@ -40,8 +41,8 @@ from strata.llm.common import crc_mod, load, mix, salted, slices, span_hashes, s
 
 FOLDS = 10
 SMOOTH = 0.1
-#: Quantisation base, discount, probes a level, bits an insert, pairs kept from this count on.
-BASE, DISCOUNT, PROBES, BITS, MIN_PAIR = 2.0, 0.6, 6, 10, 2
+#: Quantisation base, discount, probes a level, bits an insert.
+BASE, DISCOUNT, PROBES, BITS = 2.0, 0.6, 6, 10
 BLOCK_BYTES = 64 << 20
 SEGMENTS, SEGMENT_TOKENS = 64, 1 << 20
 #: Bytes of text in a chunk.
@@ -234,11 +235,9 @@ def _segment(table: pa.Table) -> pa.Table:
     begin = first[where]
     contexts, owner = np.unique(begin, return_inverse=True)
     uses = np.bincount(owner, n, len(contexts)).astype(np.int64)
-    kept = n >= MIN_PAIR
-    mass = np.bincount(owner[kept], minlength=len(contexts))  # followers that have their own entry
-    backed = np.bincount(owner[~kept], n[~kept], len(contexts)).astype(np.int64)  # uses that back off
-    keys = np.concatenate([pairs[kept], salted(contexts, 31), salted(contexts[mass > 0], 32), salted(contexts[backed > 0], 33)])
-    counts = np.concatenate([n[kept], uses, mass[mass > 0], backed[backed > 0]])
+    mass = np.bincount(owner, minlength=len(contexts))  # distinct followers
+    keys = np.concatenate([pairs, salted(contexts, 31), salted(contexts, 32)])
+    counts = np.concatenate([n, uses, mass])
     return pa.table({"bucket": table["bucket"].slice(0, 1), "bits": pa.array([build_filter(keys, counts).tobytes()], pa.binary())})
 
 
@@ -273,12 +272,12 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
             if not len(own):
                 continue
             context, to = np.unique(begin[own], return_inverse=True)
-            uses, mass, backed = (expected(probe(bits, salted(context, s)))[to] for s in (31, 32, 33))
+            uses, mass = (expected(probe(bits, salted(context, s)))[to] for s in (31, 32))
             seen = expected(probe(bits, _pair(begin[own], words[second[own]])))
-            total = np.maximum(uses, mass + backed)
+            total = np.maximum(uses, mass)
             direct = np.maximum(seen - DISCOUNT, 0.0)
-            # followers without an entry, and the discounted rest, back off
-            rest = np.clip((DISCOUNT * mass + backed) / np.maximum(total, 1.0), 1e-3, 1.0)
+            # the discounted rest backs off
+            rest = np.clip(DISCOUNT * mass / np.maximum(total, 1.0), 1e-3, 1.0)
             backoff = np.where(uses > 0, np.log10(rest), 0.0) + log_p[second[own]]
             p = np.minimum(np.where(seen > 0, direct, 0.0) / np.maximum(total, 1.0), 1.0) + 10.0**backoff
             logs[own] = np.log10(np.minimum(p, 1.0))

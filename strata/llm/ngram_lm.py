@@ -10,7 +10,11 @@ The filter is broadcast to the workers in blocks of at most ``BLOCK_BYTES``:
 n-grams are dealt to segments by hash, a segment's size follows its inserts,
 and a pass over the documents is made for each block of segments, so what a
 worker holds has a fixed bound while the filter grows with the corpus. A
-word pair and the word it begins with lie in the same segment.
+word pair and the word it begins with lie in the same segment, unless that word
+is frequent: the pairs of a word with over ``HOT_TOKENS`` uses are dealt to
+several segments by pair, so no task holds all followers of a common word. Its
+number of distinct followers is then the sum over its segments; there are at
+most training tokens / ``HOT_TOKENS`` such words, and each worker has their sums.
 
 Score: interpolated absolute discounting. After h, a word w has
 (c(hw) - D) / c(h), if seen there, plus lambda(h) * p(w), p being the smoothed
@@ -29,6 +33,8 @@ training token at all every probability is that of the smoothed base.
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,6 +51,8 @@ SMOOTH = 0.1
 BASE, DISCOUNT, PROBES, BITS = 2.0, 0.6, 6, 10
 BLOCK_BYTES = 64 << 20
 SEGMENTS, SEGMENT_TOKENS = 64, 1 << 20
+#: Uses of a word for each segment that its pairs are dealt to.
+HOT_TOKENS = SEGMENT_TOKENS // 4
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 4 << 20
 #: The end token, and what stands before a text's first token.
@@ -52,10 +60,15 @@ END, START = np.uint64(0x656E6400), np.uint64(0x73746172)
 
 _CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<int>, words binary, at binary"
 _WORDS = "bucket int, chunk long, words binary, counts binary"
-_REPLIES = "chunk long, bucket int, counts binary, tokens long, distinct long"
+_REPLIES = "chunk long, bucket int, counts binary, tokens long, distinct long, hot binary, hot_uses binary"
+_PAIRS = "bucket int, first binary, second binary, counts binary"
+_SEGMENTS = "bucket int, bits binary, hot binary, followers binary"
 _SCORES = "chunk long, nth int, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+_NO_BITS = bytes(8)
+
+
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
@@ -71,6 +84,32 @@ def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mix(before * np.uint64(0x9E3779B97F4A7C15) + salted(word, 21))
 
 
+@dataclass
+class Frequent:
+    """Words, in order, whose pairs are dealt to several segments."""
+
+    words: np.ndarray
+    uses: np.ndarray
+    grain: int  # uses a segment
+    followers: np.ndarray | None = None
+
+    def find(self, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, whether frequent) of pairs' first words."""
+        if not len(self.words):
+            return np.zeros(len(begin), np.int64), np.zeros(len(begin), bool)
+        at = np.minimum(np.searchsorted(self.words, begin), len(self.words) - 1)
+        return at, self.words[at] == begin
+
+    def segments(self, begin: np.ndarray, pairs: np.ndarray, buckets: int) -> np.ndarray:
+        """Each pair's segment: its first word's, or one of those of a frequent word."""
+        at, hot = self.find(begin)
+        key = begin.copy()
+        part = pairs[hot] % (-(-self.uses[at[hot]] // self.grain)).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            key[hot] = mix(begin[hot] + part * np.uint64(0x9E3779B97F4A7C15))
+        return _bucket(key, buckets)
+
+
 def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): the words of each lower-cased text, then its end."""
     texts = texts.lower()
@@ -139,8 +178,8 @@ def _word_lists(buckets: int):
     return run
 
 
-def _pair_lists(buckets: int):
-    """Training word pairs of a chunk, dealt by their first word."""
+def _pair_lists(buckets: int, hot: Frequent):
+    """Training word pairs of a chunk, dealt to segments."""
 
     def run(batches):
         for row in _rows(batches):
@@ -151,13 +190,13 @@ def _pair_lists(buckets: int):
             pairs, n = np.unique((before + 1) * (len(words) + 1) + at, return_counts=True)
             first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
             begin = np.where(first < 0, START, words[np.maximum(first, 0)])
-            keys, second = begin, words[second]
-            order, edges = _by_bucket(_bucket(keys, buckets), buckets)
+            second = words[second]
+            order, edges = _by_bucket(hot.segments(begin, _pair(begin, second), buckets), buckets)
             used = np.flatnonzero(np.diff(edges))
             cut = [order[edges[k] : edges[k + 1]] for k in used]
             yield pa.record_batch(
                 {
-                    "bucket": used.astype(np.int32), "first": pa.array([keys[c].tobytes() for c in cut], pa.binary()),
+                    "bucket": used.astype(np.int32), "first": pa.array([begin[c].tobytes() for c in cut], pa.binary()),
                     "second": pa.array([second[c].tobytes() for c in cut], pa.binary()), "counts": pa.array([n[c].astype(np.uint32).tobytes() for c in cut], pa.binary()),
                 }
             )
@@ -171,16 +210,34 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return unique, np.bincount(inverse, counts, len(unique)).astype(np.int64)
 
 
-def _word_counts(table: pa.Table) -> pa.Table:
+def _word_counts(hot_tokens: int):
     """One bucket: total each word's counts and answer every chunk."""
-    words = [np.frombuffer(w.as_buffer(), np.uint64) for w in table["words"]]
-    counts = [np.frombuffer(c.as_buffer(), np.uint32) for c in table["counts"]]
-    unique, total = _summed(words, counts)
-    answers = [total[np.searchsorted(unique, w)].astype(np.uint32).tobytes() for w in words]
-    n, known = table.num_rows, int((total > 0).sum())
-    # the bucket's totals ride on its first row
-    head = lambda x: pa.array([x] + [0] * (n - 1), pa.int64())
-    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array(answers, pa.binary()), "tokens": head(int(total.sum())), "distinct": head(known)})
+
+    def run(table: pa.Table) -> pa.Table:
+        words = [np.frombuffer(w.as_buffer(), np.uint64) for w in table["words"]]
+        counts = [np.frombuffer(c.as_buffer(), np.uint32) for c in table["counts"]]
+        unique, total = _summed(words, counts)
+        answers = [total[np.searchsorted(unique, w)].astype(np.uint32).tobytes() for w in words]
+        n, known, hot = table.num_rows, int((total > 0).sum()), total > hot_tokens
+        # the bucket's totals and frequent words ride on its first row
+        head = lambda x, none, kind: pa.array([x] + [none] * (n - 1), kind)
+        return pa.table(
+            {
+                "chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array(answers, pa.binary()), "tokens": head(int(total.sum()), 0, pa.int64()), "distinct": head(known, 0, pa.int64()),
+                "hot": head(unique[hot].tobytes(), None, pa.binary()), "hot_uses": head(total[hot].tobytes(), None, pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _frequent(replies: DataFrame, hot_tokens: int) -> Frequent:
+    found = replies.where(F.length("hot") > 0).select("hot", "hot_uses").collect()  # at most tokens / hot_tokens words
+    words = np.frombuffer(b"".join(r["hot"] for r in found), np.uint64)
+    words = np.where(words == END, START, words)  # a text's first pair begins with START, and none with its end
+    uses = np.frombuffer(b"".join(r["hot_uses"] for r in found), np.int64)
+    order = np.argsort(words)
+    return Frequent(words[order], uses[order], hot_tokens)
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -225,23 +282,33 @@ def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _segment(table: pa.Table) -> pa.Table:
+def _segment(hot: Frequent):
     """One bucket: count its pairs, then fill its segment of the filter with
-    pairs, contexts and numbers of followers."""
-    join = lambda name, kind: np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table[name]])
-    first, second, counts = join("first", np.uint64), join("second", np.uint64), join("counts", np.uint32)
-    pairs, where, inverse = np.unique(_pair(first, second), return_index=True, return_inverse=True)
-    n = np.bincount(inverse, counts, len(pairs)).astype(np.int64)
-    begin = first[where]
-    contexts, owner = np.unique(begin, return_inverse=True)
-    uses = np.bincount(owner, n, len(contexts)).astype(np.int64)
-    mass = np.bincount(owner, minlength=len(contexts))  # distinct followers
-    keys = np.concatenate([pairs, salted(contexts, 31), salted(contexts, 32)])
-    counts = np.concatenate([n, uses, mass])
-    return pa.table({"bucket": table["bucket"].slice(0, 1), "bits": pa.array([build_filter(keys, counts).tobytes()], pa.binary())})
-
-
-def _score(segments, buckets: int, tokens: int, distinct: int):
+    pairs, contexts and numbers of followers; those of frequent words are told."""
+
+    def run(table: pa.Table) -> pa.Table:
+        join = lambda name, kind: np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table[name]])
+        first, second, counts = join("first", np.uint64), join("second", np.uint64), join("counts", np.uint32)
+        pairs, where, inverse = np.unique(_pair(first, second), return_index=True, return_inverse=True)
+        n = np.bincount(inverse, counts, len(pairs)).astype(np.int64)
+        contexts, owner = np.unique(first[where], return_inverse=True)
+        uses = np.bincount(owner, n, len(contexts)).astype(np.int64)
+        mass = np.bincount(owner, minlength=len(contexts))  # distinct followers
+        at, told = hot.find(contexts)
+        whole = ~told
+        keys = np.concatenate([pairs, salted(contexts[whole], 31), salted(contexts[whole], 32)])
+        counts = np.concatenate([n, uses[whole], mass[whole]])
+        return pa.table(
+            {
+                "bucket": table["bucket"].slice(0, 1), "bits": pa.array([build_filter(keys, counts).tobytes()], pa.binary()),
+                "hot": pa.array([at[told].astype(np.int64).tobytes()], pa.binary()), "followers": pa.array([mass[told].astype(np.int64).tobytes()], pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _score(segments, buckets: int, tokens: int, distinct: int, hot: Frequent):
     """Base columns and this block's part of the model's log probability."""
     start_of = {k: np.frombuffer(v, np.uint8) for k, v in segments.value.items()}
     floor = tokens + SMOOTH * (distinct + 1)
@@ -265,15 +332,20 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
         pairs, inverse = np.unique((before + 1) * (len(words) + 1) + at, return_inverse=True)
         first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
         begin = np.where(first < 0, START, words[np.maximum(first, 0)])
-        members, edges = _by_bucket(_bucket(begin, buckets), buckets)
+        keys = _pair(begin, words[second])
+        members, edges = _by_bucket(hot.segments(begin, keys, buckets), buckets)
         logs = np.zeros(len(pairs))
         for bucket, bits in start_of.items():
             own = members[edges[bucket] : edges[bucket + 1]]
             if not len(own):
                 continue
             context, to = np.unique(begin[own], return_inverse=True)
-            uses, mass = (expected(probe(bits, salted(context, s)))[to] for s in (31, 32))
-            seen = expected(probe(bits, _pair(begin[own], words[second[own]])))
+            levels = [probe(bits, salted(context, s)) for s in (31, 32)]
+            number, told = hot.find(context)
+            for k, sums in enumerate((hot.uses, hot.followers)):
+                levels[k][told] = level(sums[number[told]])
+            uses, mass = (expected(x)[to] for x in levels)
+            seen = expected(probe(bits, keys[own]))
             total = np.maximum(uses, mass)
             direct = np.maximum(seen - DISCOUNT, 0.0)
             # the discounted rest backs off
@@ -292,7 +364,7 @@ def _score(segments, buckets: int, tokens: int, distinct: int):
     return run
 
 
-def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOCK_BYTES, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """Scores of all documents by a model of those outside fold 0."""
     spark = docs.sparkSession
     rows = text_rows(docs).withColumn("held_out", crc_mod("doc_id", folds) == 0)
@@ -303,16 +375,20 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOC
         return spark.createDataFrame([], _SCORES).drop("chunk", "nth")
     buckets = max(SEGMENTS, int(size // SEGMENT_TOKENS))
     lists = chunks.mapInArrow(_word_lists(buckets), _WORDS)
-    replies = staged(lists.groupBy("bucket").applyInArrow(_word_counts, _REPLIES), "op1-words")
+    replies = staged(lists.groupBy("bucket").applyInArrow(_word_counts(hot_tokens), _REPLIES), "op1-words")
     tokens, distinct = replies.agg(F.sum("tokens"), F.sum("distinct")).first()
-    pairs = chunks.mapInArrow(_pair_lists(buckets), "bucket int, first binary, second binary, counts binary")
-    filters = staged(pairs.groupBy("bucket").applyInArrow(_segment, "bucket int, bits binary"), "op1-filter")
+    hot = _frequent(replies, hot_tokens)
+    pairs = chunks.mapInArrow(_pair_lists(buckets, hot), _PAIRS)
+    filters = staged(pairs.groupBy("bucket").applyInArrow(_segment(hot), _SEGMENTS), "op1-filter")
 
     answers = replies.select("chunk", F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("at"), "bucket", "counts")
     together = chunks.withColumns({"bucket": F.lit(None).cast("int"), "counts": F.lit(None).cast("binary")}).unionByName(answers)
-    sizes = sorted((r["bucket"], r["n"]) for r in filters.select("bucket", F.length("bits").alias("n")).collect())  # a row for each segment
+    sizes, hot.followers = dict.fromkeys(range(buckets), len(_NO_BITS)), np.zeros(len(hot.words), np.int64)
+    for r in filters.select("bucket", F.length("bits").alias("n"), "hot", "followers").collect():  # a row for each segment
+        sizes[r["bucket"]] = r["n"]
+        np.add.at(hot.followers, np.frombuffer(r["hot"], np.int64), np.frombuffer(r["followers"], np.int64))
     blocks, filled = [[]], 0
-    for bucket, n in sizes:
+    for bucket, n in sizes.items():
         if blocks[-1] and filled + n > block_bytes:
             blocks.append([])
             filled = 0
@@ -320,8 +396,9 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOC
         filled += n
     out = None
     for block in blocks:
-        segments = spark.sparkContext.broadcast({r["bucket"]: bytes(r["bits"]) for r in filters.where(F.col("bucket").isin(block)).collect()})  # at most block_bytes
-        scored = together.groupBy("chunk").applyInArrow(_score(segments, buckets, int(tokens), int(distinct)), _SCORES)
+        # at most block_bytes; a segment without training pairs answers no to all
+        segments = spark.sparkContext.broadcast(dict.fromkeys(block, _NO_BITS) | {r["bucket"]: bytes(r["bits"]) for r in filters.where(F.col("bucket").isin(block)).collect()})
+        scored = together.groupBy("chunk").applyInArrow(_score(segments, buckets, int(tokens), int(distinct), hot), _SCORES)
         out = scored if out is None else out.union(scored)
     if len(blocks) > 1:
         out = out.groupBy("chunk", "nth", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens").agg(F.first("base_score").alias("base_score"), F.sum("score").alias("score"))

@@ -422,6 +422,22 @@ def test_pairs_seen_once_count(spark):
     assert np.median([abs(got[i] / want[i] - 1) for i in want]) < 0.005 and all(got[i] == pytest.approx(want[i], rel=0.05) for i in want)
 
 
+def test_pairs_of_a_frequent_word_are_dealt_out(spark):
+    """No segment has all followers of a common word, and scores stay the same."""
+    rng = np.random.default_rng(3)
+    word, other = np.uint64(12345), np.uint64(777)
+    begin = np.repeat([word, other], [90_000, 10]).astype(np.uint64)
+    pairs = ngram_lm._pair(begin, rng.integers(1, 2**63, len(begin)).astype(np.uint64))
+    hot = ngram_lm.Frequent(np.array([word]), np.array([90_000]), 1000)
+    owners = hot.segments(begin, pairs, 64)
+    assert np.bincount(owners).max() < 90_000 / 10 and len(set(owners[-10:])) == 1
+    data = lm_rows()
+    want = model_scores(data)
+    # 20 uses and more make a word frequent here: "the", the start of a text, and others
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.score_documents(spark.createDataFrame(data, "doc_id long, text string"), hot_tokens=20).collect()}
+    assert np.median([abs(got[i] / want[i] - 1) for i in want]) < 0.005 and all(got[i] == pytest.approx(want[i], rel=0.05) for i in want)
+
+
 def test_log_frequency_filter():
     rng = np.random.default_rng(9)
     keys = rng.integers(1, 2**63, 20_000).astype(np.uint64)

@@ -1,15 +1,18 @@
-"""Quality rules: an isolation forest over rule statistics.
-
-Every text is reduced to a few rule statistics. A forest of random splits is
-grown on a bounded sample of those statistics; a document that few splits set
-apart has short paths and a score near 1. The score above which a document is
-refused is calibrated on labelled rows. The statistics, the scores and the
+"""Quality rules: isolation forests over rule statistics.
+
+Every text is reduced to a few rule statistics, and these to rates. A forest of
+random splits is grown for each group of rates on a bounded sample; a document
+that few splits set apart has short paths and a score near 1. A rate of its own
+group is not diluted by the others, so a document that is odd in one of them
+only scores high there; ``score`` is the highest. The score from which a forest
+refuses is calibrated on labelled rows that no forest before refuses, and all
+forests together lose at most ``max_false`` of the good rows. The statistics, the scores and the
 calibration histogram cover all documents; only the growing of the trees uses
 a sample (``sample_rows``, a documented bound).
 
 Defined results: a null or empty text has no words and fails the base rule;
 repeated rows each get their own result; an empty table gives an empty result;
-without labels of both kinds the forest refuses nothing.
+without labels of both kinds the forests refuse nothing.
 """
 from __future__ import annotations
 
@@ -20,7 +23,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import SPACES, Texts, bounded_sample, load, map_slices, mix, span_hashes, staged, text_rows, window_hashes, words_of
 
-STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_letters long, n_chars long"
+STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, n_letters long, n_chars long"
+
+#: The groups of rates, by their columns in ``features``: each has a forest.
+GROUPS = ((0, 1), (2,), (3,), (4,), (5,))
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -51,14 +57,10 @@ def _repeat_words(rows: np.ndarray, hashes: np.ndarray, n_rows: int, width: int
     return np.bincount(rows[np.cumsum(change[:-1]) > 0], minlength=n_rows)
 
 
-def _dup_lines(text: bytes) -> int:
-    seen: set[bytes] = set()
-    dups = 0
-    for line in text.split(b"\n"):
-        if line.strip():  # bytes.strip: the same six spaces that separate words
-            dups += line in seen
-            seen.add(line)
-    return dups
+def _lines(text: bytes) -> tuple[int, int]:
+    """Lines with words, and those among them that stand before already."""
+    lines = [x for x in text.split(b"\n") if x.strip()]  # bytes.strip: the same six spaces that separate words
+    return len(lines), len(lines) - len(set(lines))
 
 
 def _stats(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
@@ -66,13 +68,15 @@ def _stats(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
     rows, n = words.rows, len(texts)
     hashes = span_hashes(texts.buf, words.starts, words.ends)
     chars = (texts.buf & 0xC0) != 0x80  # first bytes of code points
+    lines = np.array([_lines(texts.raw(i)) for i in range(n)], np.int64).reshape(n, 2)
     return pa.record_batch(
         {
             "doc_id": part.column("doc_id"),
             "n_words": words.counts,
             "word_chars": _per_row(chars & ~SPACES[texts.buf], texts),
             "n_symbols": _per_row(_SYMBOLS[texts.buf], texts),
-            "n_dup_lines": np.fromiter((_dup_lines(texts.raw(i)) for i in range(n)), np.int64, n),
+            "n_lines": lines[:, 0].copy(),
+            "n_dup_lines": lines[:, 1].copy(),
             "n_repeat_words": _repeat_words(rows, hashes, n),
             "n_letters": _per_row(_LETTERS[texts.buf], texts),
             "n_chars": _per_row(chars, texts),
@@ -86,11 +90,17 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def features(cols: dict[str, np.ndarray]) -> np.ndarray:
-    """The forest's inputs: symbols a word, and letters as a share of all code
-    points. Lengths and repeats are left to the base rule: on labelled rows they
-    only made short clean texts look odd."""
+    """The forests' inputs: symbols a word, letters as a share of all code
+    points, word length, shares of duplicated lines and of repeated words, and
+    the logarithm of the number of words."""
     c = {k: np.asarray(v, np.float64) for k, v in cols.items()}
-    return np.column_stack([c["n_symbols"] / np.maximum(c["n_words"], 1), c["n_letters"] / np.maximum(c["n_chars"], 1)])
+    words = np.maximum(c["n_words"], 1)
+    return np.column_stack(
+        [
+            c["n_symbols"] / words, c["n_letters"] / np.maximum(c["n_chars"], 1), c["word_chars"] / words,
+            c["n_dup_lines"] / np.maximum(c["n_lines"], 1), c["n_repeat_words"] / words, np.log(words),
+        ]
+    )
 
 
 def _average_path(n: np.ndarray | float) -> np.ndarray:
@@ -173,22 +183,34 @@ def judge_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 8192, t
     sample = bounded_sample(stats.where(~F.col("base_failed")), sample_rows, total).toPandas()
     if len(sample) < 2:
         return stats.withColumns({"score": F.lit(0.0), "kept": ~F.col("base_failed")})
-    forest = IsolationForest(trees, psi, seed).fit(features({c: sample[c].to_numpy() for c in sample.columns if c not in ("doc_id", "base_failed")}))
-    shared = stats.sparkSession.sparkContext.broadcast(vars(forest))  # arrays of trees * 2 * psi nodes
+    x = features({c: sample[c].to_numpy() for c in sample.columns if c not in ("doc_id", "base_failed")})
+    grown = [vars(IsolationForest(trees, psi, seed).fit(x[:, g])) for g in GROUPS]
+    shared = stats.sparkSession.sparkContext.broadcast(grown)  # for each group, arrays of trees * 2 * psi nodes
 
     def score(batches):
-        grown = IsolationForest()
-        grown.__dict__.update(shared.value)
+        forests = [IsolationForest() for _ in GROUPS]
+        for f, v in zip(forests, shared.value, strict=True):
+            f.__dict__.update(v)
         for b in batches:
             if b.num_rows:
-                cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names if c not in ("doc_id", "base_failed")}
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(grown.score(features(cols)))], [*b.schema.names, "score"])
+                x = features({c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names if c not in ("doc_id", "base_failed")})
+                scores = np.column_stack([f.score(x[:, g]) for f, g in zip(forests, GROUPS, strict=True)])
+                each = pa.ListArray.from_arrays(np.arange(0, scores.size + 1, len(GROUPS), dtype=np.int32), scores.ravel())
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores.max(1)), each], [*b.schema.names, "score", "scores"])
 
-    scored = staged(stats.mapInArrow(score, STATS + ", base_failed boolean, score double"), "op5-scores")
+    scored = staged(stats.mapInArrow(score, STATS + ", base_failed boolean, score double, scores array<double>"), "op5-scores")
     known = labels.select("doc_id", F.col("quality").alias("_label")).where("doc_id is not null and quality in (0, 1)")
-    seen = scored.where(~F.col("base_failed")).join(known, "doc_id").groupBy(F.floor(F.col("score") * bins).cast("int").alias("b"), "_label").count()
-    cut = calibrate([tuple(r) for r in seen.collect()], bins, max_false)  # at most 2 * bins rows
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") < F.lit(cut)))
+    seen = staged(scored.where(~F.col("base_failed")).join(known, "doc_id").select("scores", "_label"), "op5-labelled")
+    good = seen.where("_label = 1").count()
+    refused, left = F.lit(False), max_false * good
+    for k in range(len(GROUPS)):
+        own = F.col("scores")[k]
+        histogram = seen.where(~refused).groupBy(F.floor(own * bins).cast("int").alias("b"), "_label").count().collect()  # at most 2 * bins rows
+        rest = sum(n for _, label, n in histogram if label)
+        cut = calibrate([tuple(r) for r in histogram], bins, left / max(rest, 1))
+        left -= sum(n for b, label, n in histogram if label and b >= cut * bins - 0.5)
+        refused = refused | (own >= cut)
+    return scored.withColumn("kept", ~F.col("base_failed") & ~refused).drop("scores")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

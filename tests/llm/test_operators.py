@@ -253,6 +253,22 @@ def test_quality_rules(spark, docs, rows, empty):
     assert quality_rules.judge_quality(docs, labels.limit(0)).where("kept = base_failed").count() == 0
 
 
+def test_quality_in_one_statistic(spark):
+    """Documents that are odd in duplicated lines only, or in word length only."""
+    rng = random.Random(17)
+    word = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    plain = lambda n: "\n".join(" ".join(word(rng.randrange(3, 8)) for _ in range(8)) for _ in range(n))
+    doubled = lambda n: "\n".join(f"{line}\nread more" for line in plain(n).split("\n"))
+    run_on = lambda n: "\n".join(" ".join(word(300) for _ in range(8)) for _ in range(n))
+    texts = [(1, plain)] * 400 + [(0, doubled)] * 20 + [(0, run_on)] * 20
+    data = [(i, make(rng.randrange(10, 20)), label) for i, (label, make) in enumerate(texts)]
+    labels = spark.createDataFrame([(i, label) for i, _, label in data if i not in (400, 420)], "doc_id long, quality int")
+    got = by_id(quality_rules.judge_quality(spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string"), labels))
+    assert not any(r["base_failed"] for r in got.values())
+    assert not got[400]["kept"] and not got[420]["kept"]  # without labels of their own
+    assert sum(got[i]["kept"] for i, _, label in data if label) >= 398
+
+
 def test_isolation_forest_sets_outliers_apart():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 1, (500, 2)), [[9.0, 9.0]]])

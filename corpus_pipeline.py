@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import load, staged
 from strata.llm.decontamination import decontaminate
-from strata.llm.jaccard_join import jaccard_components
+from strata.llm.jaccard_join import component_firsts, with_set
 from strata.llm.language_id import UND, identify_languages
 from strata.llm.packing import pack
 from strata.llm.pii import redact
@@ -28,10 +28,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one of the smallest id, of each linked group."""
-    found = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(staged(found, "kept"), "doc_id", "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"])
+    """Keep one document, the one of the smallest id, of each linked group.
+    Rows that share an id are judged each by its own text: only rows equal in
+    id and set of shingles are repeats, of which one stays."""
+    found = staged(component_firsts(docs).withColumnRenamed("fp", "_set"), "kept")
+    kept = with_set(docs, "_set").join(found, ["doc_id", "_set"], "left_semi")
+    return kept.dropDuplicates(["doc_id", "_set"]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strata.llm.common import distinct_per_row, load, mix, salted, shingles_of, slices, staged, text_rows
@@ -212,8 +213,9 @@ def _likely(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").where(bound).select("u", "v")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable)."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, fp) of every row, and (fp, least, root) of every set of
+    shingles: its smallest doc_id and the component it is in."""
     docs = text_rows(docs)
     sc = docs.sparkSession.sparkContext
     described = staged(docs.mapInArrow(_describe, _SETS), "op10-sets")
@@ -242,11 +244,36 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     of_class = sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"))
     of_class = staged(of_class.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "op10-classes")
+    return sets, of_class
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id reachable)."""
+    sets, of_class = _classes(docs)
     of_root = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of_class.join(of_root, "root").select("fp", "component_id")
     linked = sets.where("n > 0").join(named, "fp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.union(sets.where("n = 0").select("doc_id", "n", "doc_id"))
 
 
+def component_firsts(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp) of the first row of each component by doc_id, then set; a
+    row without words is a component of its own."""
+    sets, of_class = _classes(docs)
+    firsts = of_class.where("least is not null").groupBy("root").agg(F.min(F.struct("least", "fp")).alias("x"))
+    return firsts.select(F.col("x.least").alias("doc_id"), "x.fp").union(sets.where("n = 0").select("doc_id", "fp").distinct())
+
+
+def with_set(docs: DataFrame, name: str) -> DataFrame:
+    """All rows and columns, and the fingerprint of the row's set of shingles."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in slices(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_sets(texts)[3])], [*part.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(load(spark, sf_dir, "documents"))

@@ -53,3 +53,13 @@ def test_run_gives_the_rows_of_the_stages(spark, stages):
     whole = corpus_pipeline.run(spark, SF)
     assert whole.count() > 0 and set(key) <= set(whole.columns)
     assert whole.agg({"length": "sum"}).first()[0] == stages[5].agg({"length": "sum"}).first()[0]
+
+
+def test_rows_that_share_an_id(spark):
+    """They are near copies only if their texts are."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcd")
+    data = [(1, a), (1, b), (1, a), (2, a + " more"), (3, b), (4, c), (5, c + " more"), (5, d), (6, d), (7, ""), (None, "none " + d[3:] + " none")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in data], "doc_id long, text string, n_chars long").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, a), (1, b), (4, c), (5, d), (7, "")]

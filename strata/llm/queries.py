@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from strata.llm.bit_planes import op7_token_output
 from strata.llm.decontamination import op3_decontamination
+from strata.llm import hard_negatives
+from strata.llm.hard_negatives import op11_hard_negatives
 from strata.llm.jaccard_join import op10_jaccard_join
 from strata.llm.language_id import op4_language_id
 from strata.llm.license_scan import op2_license_scan
@@ -15,8 +17,11 @@ from strata.llm.substring_dedup import op8_substring_dedup
 _ALL = (
     op1_lm_scoring, op2_license_scan, op3_decontamination, op4_language_id, op5_quality_rules,
     op6_packing, op7_token_output, op8_substring_dedup, op9_pii, op10_jaccard_join,
+    op11_hard_negatives,
 )
 LLM_QUERIES = {f.__name__: f for f in _ALL}
 
-#: None of the operators can be expressed in SQL whole; tests hold them against brute force.
-LLM_ORACLE_SQL: dict[str, str] = {}
+#: SQL for the operators that it can express whole; tests hold the others against brute force.
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+}

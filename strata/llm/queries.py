@@ -11,6 +11,7 @@ from strata.llm.license_scan import op2_license_scan
 from strata.llm.ngram_lm import op1_lm_scoring
 from strata.llm.packing import op6_packing
 from strata.llm.pii import op9_pii
+from strata.llm.quality_fm import op13_quality_classifier
 from strata.llm.quality_rules import op5_quality_rules
 from strata.llm.source_audit import op12_source_audit
 from strata.llm.substring_dedup import op8_substring_dedup
@@ -18,7 +19,7 @@ from strata.llm.substring_dedup import op8_substring_dedup
 _ALL = (
     op1_lm_scoring, op2_license_scan, op3_decontamination, op4_language_id, op5_quality_rules,
     op6_packing, op7_token_output, op8_substring_dedup, op9_pii, op10_jaccard_join,
-    op11_hard_negatives, op12_source_audit,
+    op11_hard_negatives, op12_source_audit, op13_quality_classifier,
 )
 LLM_QUERIES = {f.__name__: f for f in _ALL}
 

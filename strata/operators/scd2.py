@@ -2,7 +2,7 @@
 
 Without a MERGE-capable table format the new version of the dimension is
 computed as a DataFrame and published as a whole (see
-``strata.sources.tables.publish_version``). One full outer join between the
+``strata.sources.versions.publish_version``). One full outer join between the
 open rows and the updates decides every case:
 
 * key open and attributes equal (NULL-safe)   -> open row kept

@@ -38,7 +38,7 @@ from strata.plans.medallion import (
 )
 from strata.plans.weather import flatten_hourly, gold_daily_weather, silver_weather
 from strata.session import scratch_path
-from strata.sources.tables import overwrite_table
+from strata.sources.versions import overwrite_table
 from strata.streaming.sinks import TwoHopPaths
 
 FEED_DATE = "2024-01-01"

@@ -15,7 +15,7 @@ from strata.functions.columns import (
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.gold import flag_rates, rollup_mart
 from strata.operators.scd2 import scd2_initial, scd2_merge
-from strata.sources.tables import publish_version, table_exists
+from strata.sources.versions import publish_version, table_exists
 
 # Fixed values that must stay as they are for results to match:
 # the city's bounding box; coordinates outside it are geocoding errors.

@@ -54,6 +54,11 @@ def land_batch(
     return path
 
 
+def landed_batch(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows of one landed batch, with the types they had."""
+    return spark.read.schema(schema).json(path)
+
+
 def read_landing(
     spark: SparkSession,
     root: str,

@@ -12,8 +12,8 @@ Parquet directories and the session catalog:
   for a column added later. Bronze stays string-typed, so a type clash cannot
   arise from type inference drifting between batches.
 * whole-table replacement while readers may read the old version (MERGE /
-  ``CREATE OR REPLACE``): write the new version to a fresh directory, then
-  repoint the catalog entry (``publish_version``).
+  ``CREATE OR REPLACE``): numbered versions behind a view, see
+  ``strata.sources.versions``.
 """
 from __future__ import annotations
 
@@ -23,9 +23,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.session import FANOUT_WRITE_CONF, session_conf
+from strata.session import FANOUT_WRITE_CONF, scratch_path, session_conf
+from strata.sources.versions import database_location, rebalanced, sql_literal, table_exists, version_prefix, versions_root, written_partitions
 
 
 MEDALLION_NAMESPACES = ("bronze", "silver", "gold", "landing", "ops")
@@ -59,14 +60,6 @@ def ensure_folders(spark: SparkSession, root: str, folders: Sequence[str] = MEDA
     return paths
 
 
-def _rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spread rows over writer tasks by ``cols`` without pinning one value to
-    one task: AQE splits a hot value over several tasks and packs small ones
-    together, so a date holding a third of the rows does not become one file
-    written by one task."""
-    return df.hint("rebalance", *cols) if cols else df
-
-
 def write_slices(df: DataFrame, path: str, slice_col: str, single_slice: bool = False) -> int:
     """Write (or rewrite) every slice present in ``df``; slices not present
     keep their files. Returns the number of rows written.
@@ -75,7 +68,7 @@ def write_slices(df: DataFrame, path: str, slice_col: str, single_slice: bool =
     few tasks; when all rows share one slice that would only funnel them
     together, so they are rebalanced by size alone."""
     obs = Observation(f"slices_{uuid.uuid4().hex[:8]}")
-    balanced = df.hint("rebalance") if single_slice else _rebalanced(df, [slice_col])
+    balanced = df.hint("rebalance") if single_slice else rebalanced(df, [slice_col])
     counted = balanced.observe(obs, F.count(F.lit(1)).alias("rows"))
     with session_conf(df.sparkSession, {} if single_slice else FANOUT_WRITE_CONF):
         (
@@ -99,10 +92,20 @@ def replace_slice(df: DataFrame, path: str, slice_col: str, slice_value: str) ->
     if rows == 0:
         spark = df.sparkSession
         empty = spark.createDataFrame([], df.drop(slice_col).schema)
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{slice_col}={slice_value}")
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_folder_name(spark, slice_col, slice_value)}")
     return rows
 
 
+def _folder_name(spark: SparkSession, slice_col: str, slice_value: str) -> str:
+    """The folder name that Spark's writer gives a slice (``10:00`` becomes
+    ``10%3A00``), taken from a row written elsewhere."""
+    path = scratch_path(spark, "slice-name")
+    row = spark.range(1).select("id", F.lit(slice_value).cast("string").alias(slice_col))
+    row.write.partitionBy(slice_col).parquet(path)
+    ((_, folder),) = written_partitions(spark, path, row.schema, [slice_col])
+    return folder.rsplit("/", 1)[1]
+
+
 @contextmanager
 def string_partition_values(spark: SparkSession) -> Iterator[None]:
     """Resolve partition directories with string values while the relation
@@ -123,133 +126,12 @@ def read_slices(spark: SparkSession, path: str, merge_schema: bool = True) -> Da
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
-def overwrite_table(
-    df: DataFrame,
-    table: str,
-    partition_by: Sequence[str] = (),
-    path: str | None = None,
-) -> None:
-    """Full overwrite of a catalog table, optionally date-partitioned.
-
-    The new rows are written to a fresh folder (under ``path`` when given)
-    before the catalog entry moves, so a failed write leaves the table as it
-    was."""
-    publish_version(df.sparkSession, df, table, path, partition_by)
-
-
 def append_run(df: DataFrame, path: str, run_id: str, run_col: str = "_run_id") -> int:
     """Append-only sink (quarantine) that stays idempotent per run: the rows
     of one run form one partition, so rerunning the run replaces them."""
     return write_slices(df.withColumn(run_col, F.lit(run_id)), path, run_col, single_slice=True)
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
-
-
-def table_location(spark: SparkSession, table: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").collect()
-    return rows[0]["data_type"] if rows else None
-
-
-def database_location(spark: SparkSession, table: str) -> str:
-    """Folder of the table's database (the warehouse folder for ``default``)."""
-    db = table.split(".")[-2] if "." in table else spark.catalog.currentDatabase()
-    return spark.catalog.getDatabase(db).locationUri
-
-
-def _version_prefix(table: str) -> str:
-    return f"{table.replace('.', '__')}__v"
-
-
-def versions_root(spark: SparkSession, table: str) -> str | None:
-    """The folder holding the table's version directories, found from its
-    current location (which may point inside a version, e.g. at the passing
-    half of a staged Silver version)."""
-    if not table_exists(spark, table):
-        return None
-    current = (table_location(spark, table) or "").rstrip("/")
-    parts = current.split("/")
-    for i in range(len(parts) - 1, 0, -1):
-        if parts[i].startswith(_version_prefix(table)):
-            return "/".join(parts[:i])
-    return current.rsplit("/", 1)[0] if current else None
-
-
-def new_version_location(spark: SparkSession, table: str, root: str | None = None) -> str:
-    """A fresh directory for the next version of ``table``: under ``root``
-    when given, else beside the current version, else in the table's
-    database folder (shared storage on a cluster)."""
-    if root is None:
-        root = versions_root(spark, table) or database_location(spark, table)
-    return f"{root.rstrip('/')}/{_version_prefix(table)}{uuid.uuid4().hex[:12]}"
-
-
-def point_table(
-    spark: SparkSession,
-    table: str,
-    location: str,
-    schema: StructType,
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Make ``table`` read the files at ``location`` with ``schema``.
-
-    The files of the previous version stay untouched. An unpartitioned table
-    of the same schema is switched in one catalog step; otherwise the entry
-    is dropped and created anew, and a reader in between finds no table. A
-    managed table owns its files and would lose them, so it is refused."""
-    exists = table_exists(spark, table)
-    same = exists and spark.table(table).schema.simpleString() == schema.simpleString()
-    if same and not partition_by:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    else:
-        if exists:
-            kind = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Type'").first()
-            if kind is not None and kind["data_type"] == "MANAGED":
-                raise ValueError(f"{table} is managed: dropping it would delete its current files")
-            spark.sql(f"DROP TABLE {table}")  # external: files are kept
-        # declare the schema instead of inferring it from the directory
-        # names, which would turn a string partition value into a date
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION '{location}'"
-        )
-        if partition_by:
-            spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
-
-
-def publish_version(
-    spark: SparkSession,
-    df: DataFrame,
-    table: str,
-    root: str | None = None,
-    partition_by: Sequence[str] = (),
-) -> str:
-    """Write ``df`` as a new version directory and point ``table`` at it.
-
-    Readers of the previous version keep a consistent snapshot (its files are
-    not touched); the catalog switch is a metadata operation, and a run that
-    fails before it leaves the table as it was. Returns the new location.
-    """
-    location = new_version_location(spark, table, root)
-    writer = _rebalanced(df, list(partition_by)).write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    with session_conf(spark, FANOUT_WRITE_CONF if partition_by else {}):
-        writer.parquet(location)
-    point_table(spark, table, location, df.schema, partition_by)
-    return location
-
-
-def create_or_replace_as_select(
-    spark: SparkSession, select_sql: str, table: str, root: str | None = None
-) -> str:
-    """``CREATE OR REPLACE TABLE t AS SELECT`` for Parquet tables."""
-    return publish_version(spark, spark.sql(select_sql), table, root)
-
-
 def add_new_columns(spark: SparkSession, table: str, schema: StructType) -> list[str]:
     """Evolve ``table`` to accept ``schema``: fields it lacks are appended
     (existing files read NULL for them); a field whose type differs is
@@ -269,10 +151,6 @@ def add_new_columns(spark: SparkSession, table: str, schema: StructType) -> list
     return [f.name for f in added]
 
 
-def _sql_literal(value: str) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def replace_table_slice(
     spark: SparkSession,
     df: DataFrame,
@@ -296,7 +174,7 @@ def replace_table_slice(
     rows = df.drop(slice_col) if slice_col in df.columns else df
     if not table_exists(spark, table):
         base = root or database_location(spark, table)
-        location = f"{base.rstrip('/')}/{_version_prefix(table)}{uuid.uuid4().hex[:12]}"
+        location = f"{base.rstrip('/')}/{version_prefix(table)}{uuid.uuid4().hex[:12]}"
         columns = ", ".join(
             [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
             + [f"`{slice_col}` string"]
@@ -308,7 +186,7 @@ def replace_table_slice(
     else:
         add_new_columns(spark, table, rows.schema)
     root_dir = versions_root(spark, table) or database_location(spark, table)
-    slice_dir = f"{root_dir}/{_version_prefix(table)}slices/{uuid.uuid4().hex}"
+    slice_dir = f"{root_dir}/{version_prefix(table)}slices/{uuid.uuid4().hex}"
     rows.hint("rebalance").write.mode("errorifexists").parquet(slice_dir)
     _point_partitions(spark, table, slice_col, {str(slice_value): slice_dir})
     return slice_dir
@@ -317,7 +195,7 @@ def replace_table_slice(
 def _point_partitions(spark: SparkSession, table: str, slice_col: str, locations: dict[str, str]) -> None:
     """Register partitions that are new (all in one statement), then point
     each one at its folder. The catalog itself resolves the values."""
-    spec = lambda value: f"PARTITION ({slice_col} = {_sql_literal(value)})"
+    spec = lambda value: f"PARTITION ({slice_col} = {sql_literal(value)})"
     if locations:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{spec(v)} LOCATION '{loc}'" for v, loc in locations.items()))
     for value, location in locations.items():
@@ -338,18 +216,14 @@ def load_table_slices(
         replace_table_slice(spark, df.limit(0), table, slice_col, "__init__", root)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({slice_col} = '__init__')")
     root_dir = versions_root(spark, table) or database_location(spark, table)
-    load_dir = f"{root_dir}/{_version_prefix(table)}load{uuid.uuid4().hex[:12]}"
+    load_dir = f"{root_dir}/{version_prefix(table)}load{uuid.uuid4().hex[:12]}"
     with session_conf(spark, FANOUT_WRITE_CONF):
         (
-            _rebalanced(df, [slice_col]).write.mode("errorifexists")
+            rebalanced(df, [slice_col]).write.mode("errorifexists")
             .partitionBy(slice_col).parquet(load_dir)
         )
-    with string_partition_values(spark):
-        written = spark.read.parquet(load_dir)
-    # one row for each slice: its value and the folder that Spark wrote it to
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
-    folders = {r[0]: r[1] for r in written.groupBy(slice_col).agg(F.min(folder)).collect()}
-    folders = {v: spark.sparkContext._jvm.java.net.URI(f).getPath() if f.startswith("file:") else f for v, f in folders.items()}
+    schema = StructType([*(f for f in df.schema.fields if f.name != slice_col), StructField(slice_col, StringType())])
+    folders = {values[0]: folder for values, folder in written_partitions(spark, load_dir, schema, [slice_col])}
     _point_partitions(spark, table, slice_col, folders)
     return sorted(folders)
 

@@ -95,7 +95,7 @@ def test_run_daily_end_to_end(spark, scratch):
     dim = sorted((r.description, r.is_current) for r in spark.table(layout.dim_iucr).filter("iucr = '0810'").collect())
     assert dim == [("OVER $1000", True), ("OVER $500", False)]
     # the second Silver version sits beside the first, not inside it
-    from strata.sources.tables import table_location
+    from strata.sources.versions import table_location
 
     assert table_location(spark, layout.silver_crimes).count("__v") == 1
     spark.sql("DROP DATABASE daily CASCADE")

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.sources.tables import publish_version, read_slices, replace_slice, write_slices
+from strata.sources.tables import read_slices, replace_slice, write_slices
+from strata.sources.versions import publish_version
 
 
 def test_replace_slice_is_idempotent_and_empty_clears(spark, scratch):
@@ -48,12 +49,8 @@ def test_publish_version_flips_location(spark, scratch):
 
 
 def test_catalog_sinks(spark, scratch):
-    from strata.sources.tables import (
-        append_run,
-        create_or_replace_as_select,
-        ensure_namespaces,
-        overwrite_table,
-    )
+    from strata.sources.tables import append_run, ensure_namespaces
+    from strata.sources.versions import create_or_replace_as_select, overwrite_table
 
     ensure_namespaces(spark, ["sinkdb"])
     ensure_namespaces(spark, ["sinkdb"])  # idempotent
@@ -116,7 +113,7 @@ def test_hot_slice_is_split_over_writers(spark, scratch):
 
 
 def test_publish_carries_the_new_schema(spark, scratch):
-    from strata.sources.tables import overwrite_table, table_location, versions_root
+    from strata.sources.versions import overwrite_table, table_location, versions_root
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS vers LOCATION '{scratch('db')}'")
     t = "vers.dim"
@@ -133,15 +130,6 @@ def test_publish_carries_the_new_schema(spark, scratch):
     spark.sql("DROP DATABASE vers CASCADE")
 
 
-def test_managed_table_is_not_dropped(spark, scratch):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS kept LOCATION '{scratch('db')}'")
-    spark.range(3).write.format("parquet").saveAsTable("kept.t")
-    with pytest.raises(ValueError, match="managed"):
-        publish_version(spark, spark.createDataFrame([("a",)], "other string"), "kept.t")
-    assert spark.table("kept.t").count() == 3
-    spark.sql("DROP DATABASE kept CASCADE")
-
-
 def test_replace_table_slice_atomic_evolving(spark, scratch):
     import pytest
 

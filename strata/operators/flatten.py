@@ -3,8 +3,8 @@ element of the index array.
 
 Semantics: the index array decides the row count; another array shorter than
 it (or NULL / missing) yields NULL at the missing positions; extra trailing
-values are ignored; a NULL index array yields no rows. ``arrays_zip`` is not
-used because it pads to the longest array and would invent rows.
+values are ignored; a NULL index array yields no rows. ``arrays_zip`` alone
+would pad to the longest array and invent rows, so the zip is cut to the index.
 """
 from __future__ import annotations
 
@@ -31,30 +31,32 @@ def flatten_columnar(
     :func:`flatten_map_payload`, which takes the variable names explicitly.
     """
     dtype = df.schema[payload_col].dataType
-    if isinstance(dtype, StructType):
-        arrays = {f.name for f in dtype.fields if isinstance(f.dataType, ArrayType)}
-        # a field that was NULL in every document has no array type: it reads NULL
-        untyped = {f.name for f in dtype.fields if f.name not in arrays and isinstance(f.dataType, (NullType, StringType))}
-        variables = [f.name for f in dtype.fields if f.name != index_field and f.name in arrays | untyped]
-        index = F.col(f"{payload_col}.{index_field}") if index_field in arrays else F.lit(None).cast("array<string>")
-
-        def getter(var: str) -> Column:
-            return F.get(F.col(f"{payload_col}.{var}"), F.col("_pos")) if var in arrays else F.lit(None).cast("string")
-    elif isinstance(dtype, MapType):
+    if isinstance(dtype, MapType):
         raise TypeError("map payloads: use flatten_map_payload with explicit variables")
-    else:
+    if not isinstance(dtype, StructType):
         raise TypeError(f"{payload_col} is {dtype.simpleString()}, expected a struct of arrays")
+    arrays = {f.name for f in dtype.fields if isinstance(f.dataType, ArrayType)}
+    # a field that was NULL in every document has no array type: it reads NULL
+    untyped = {f.name for f in dtype.fields if f.name not in arrays and isinstance(f.dataType, (NullType, StringType))}
+    variables = [f.name for f in dtype.fields if f.name != index_field and f.name in arrays | untyped]
+    if index_field not in arrays:  # nothing to explode by
+        index = F.lit(None).cast("array<string>")
+    else:
+        index = F.col(f"{payload_col}.{index_field}")
+    field = {v: F.col(f"{payload_col}.{v}") if v in arrays else F.lit(None).cast("array<string>") for v in variables}
+    out = _zipped(index, field, index_alias or index_field, position_alias)
+    return df.select(*keep, out).select(*keep, index_alias or index_field, *([position_alias] if position_alias else []), *variables)
+
 
-    exploded = df.select(
-        *keep,
-        F.posexplode(index).alias("_pos", "_idx"),
-        F.col(payload_col),
-    )
-    out = [*keep, F.col("_idx").alias(index_alias or index_field)]
-    if position_alias:
-        out.append(F.col("_pos").alias(position_alias))
-    out += [getter(v).alias(v) for v in variables]
-    return exploded.select(*out)
+def _zipped(index: Column, field: dict[str, Column], index_name: str, position_name: str | None) -> Column:
+    """Generates the rows. The arrays are zipped and cut to the index's length,
+    so that a row carries its own values only and not the payload. A NULL array
+    counts as empty, as a zip with it would be NULL."""
+    position = [] if position_name is None else [F.sequence(F.lit(0), F.size(index) - 1)]
+    parts = [index, *position, *[F.coalesce(c, F.array()) for c in field.values()]]
+    names = [index_name, *([position_name] if position_name else []), *field]
+    some = F.when(F.size(index) > 0, F.slice(F.arrays_zip(*parts), F.lit(1), F.size(index)))
+    return F.inline(some).alias(*names)
 
 
 def flatten_map_payload(
@@ -65,13 +67,5 @@ def flatten_map_payload(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Same as :func:`flatten_columnar` for a ``map<string, array>`` payload."""
-    exploded = df.select(
-        *keep,
-        F.posexplode(F.col(payload_col)[index_field]).alias("_pos", "_idx"),
-        F.col(payload_col),
-    )
-    return exploded.select(
-        *keep,
-        F.col("_idx").alias(index_field),
-        *[F.get(F.col(payload_col)[v], F.col("_pos")).alias(v) for v in variables],
-    )
+    field = {v: F.col(payload_col)[v] for v in variables}
+    return df.select(*keep, _zipped(F.col(payload_col)[index_field], field, index_field, None))

@@ -8,10 +8,14 @@ group costs one row per input split, not one row per record.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A double this close to a decimal, relatively, is that decimal (46.67 computed as 46.67000000000001).
+NOISE = 1e-9
+
 _AGGS = {
     "min": F.min,
     "max": F.max,
@@ -27,31 +31,42 @@ def daily_summary(
     count_alias: str | None = None,
     digits: int = 2,
     exact_scale: int | None = None,
+    inexact_alias: str | None = None,
 ) -> DataFrame:
     """``measures`` maps output name -> (aggregate, input column); every
     aggregate is rounded (HALF_UP) to ``digits``. ``count_alias`` adds
     ``count(*)``, which counts rows whose measured values are NULL too.
 
-    With ``exact_scale`` the inputs are read as decimals of that scale, so
-    sums and means are exact and the rounding happens on the true value.
-    A double sum depends on the order rows arrive in, which changes with the
-    partitioning; near a rounding boundary (a mean of ``x.xx5``) the rounded
-    double result can then flip between runs. Exact aggregation makes the
-    Gold numbers reproducible whatever the cluster shape.
+    With ``exact_scale`` sums and means are taken over decimals of that scale,
+    so they are exact and the rounding happens on the true value. A double sum
+    depends on the order rows arrive in, which changes with the partitioning;
+    near a rounding boundary (a mean of ``x.xx5``) the rounded double result
+    can then flip between runs. A group with a value that such a decimal does
+    not hold but for the noise of a double (more digits, out of range, NaN,
+    Infinity) has the plain double result instead, so nothing is rounded before
+    the sum, lost or an error; ``inexact_alias`` adds the number of such values.
     """
+    inexact: dict[str, Column] = {}
+
     def measure(fn: str, col: str) -> Column:
         c = F.col(col)
-        if exact_scale is None:
-            return F.round(_AGGS[fn](c), digits)
-        dec = c.cast(f"decimal(18,{exact_scale})")
+        plain = F.round(_AGGS[fn](c), digits)
+        if exact_scale is None or fn in ("min", "max"):  # no sum: nothing depends on the order
+            return plain
+        dec = c.try_cast(f"decimal(18,{exact_scale})")
+        apart = F.abs(dec.cast("double") - c.cast("double"))
+        inexact[col] = c.isNotNull() & ~F.coalesce(apart <= NOISE * F.greatest(F.abs(c.cast("double")), F.lit(1.0)), F.lit(False))
         # the mean as sum / count: a decimal avg() already rounds at scale + 4,
         # and rounding twice could cross the boundary of the final rounding
         exact = F.sum(dec) / F.count(dec) if fn == "avg" else _AGGS[fn](dec)
-        return F.round(exact, digits).cast("double")
+        return F.when(F.bool_or(inexact[col]), plain.cast("double")).otherwise(F.round(exact, digits).cast("double"))
 
     aggs: list[Column] = [measure(fn, col).alias(name) for name, (fn, col) in measures.items()]
     if count_alias:
         aggs.append(F.count(F.lit(1)).alias(count_alias))
+    if inexact_alias:
+        counts = [F.count_if(c) for c in inexact.values()]
+        aggs.append(reduce(lambda a, b: a + b, counts, F.lit(0).cast("bigint")).alias(inexact_alias))
     return df.groupBy(*group_cols).agg(*aggs)
 
 

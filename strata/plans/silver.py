@@ -175,7 +175,7 @@ def silver_refresh(
     write_partitioned(rows, location, by)
     rewritten = {None if d is None else str(d) for d in dates}
     carried = [(values, folder) for values, folder in partitions_of(spark, silver_table, base) if values[1] not in rewritten]
-    partitions = carried + written_partitions(spark, location, rows.schema, by)
+    partitions = carried + written_partitions(spark, location, by)
     number = create_version(spark, silver_table, location, rows.schema, by, partitions, base=base)
     try:
         after = read_version(spark, silver_table, number)

@@ -23,7 +23,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from strata.session import FANOUT_WRITE_CONF, scratch_path, session_conf
 from strata.sources.versions import database_location, rebalanced, sql_literal, table_exists, version_prefix, versions_root, written_partitions
@@ -102,7 +102,7 @@ def _folder_name(spark: SparkSession, slice_col: str, slice_value: str) -> str:
     path = scratch_path(spark, "slice-name")
     row = spark.range(1).select("id", F.lit(slice_value).cast("string").alias(slice_col))
     row.write.partitionBy(slice_col).parquet(path)
-    ((_, folder),) = written_partitions(spark, path, row.schema, [slice_col])
+    ((_, folder),) = written_partitions(spark, path, [slice_col])
     return folder.rsplit("/", 1)[1]
 
 
@@ -222,8 +222,7 @@ def load_table_slices(
             rebalanced(df, [slice_col]).write.mode("errorifexists")
             .partitionBy(slice_col).parquet(load_dir)
         )
-    schema = StructType([*(f for f in df.schema.fields if f.name != slice_col), StructField(slice_col, StringType())])
-    folders = {values[0]: folder for values, folder in written_partitions(spark, load_dir, schema, [slice_col])}
+    folders = {values[0]: folder for values, folder in written_partitions(spark, load_dir, [slice_col])}
     _point_partitions(spark, table, slice_col, folders)
     return sorted(folders)
 

@@ -27,17 +27,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from strata.session import FANOUT_WRITE_CONF, path_exists, session_conf
+from strata.session import FANOUT_WRITE_CONF, session_conf
 
 VERSION_KEY = "strata.version"
 ROOT_KEY = "strata.root"
 MANIFEST_KEY = "strata.manifest"
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = "values array<string>, location string"
 #: Partitions declared by one statement.
 _AT_ONCE = 500
@@ -148,18 +149,24 @@ def write_partitioned(df: DataFrame, location: str, partition_by: Sequence[str])
         rebalanced(df, list(partition_by)).write.mode("errorifexists").partitionBy(*partition_by).parquet(location)
 
 
-def written_partitions(spark: SparkSession, location: str, schema: StructType, partition_by: Sequence[str]) -> list[Partition]:
-    """The partitions below a folder: one small row for each."""
-    if not path_exists(spark, location):
-        return []
-    rows = spark.read.schema(schema).parquet(location)
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
-    found = rows.groupBy(*partition_by).agg(F.min(folder).alias("_folder")).collect()
-    jvm = spark.sparkContext._jvm
-    # file paths come URI-encoded, whatever the file system
-    decoded = lambda uri: jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
-    text = lambda v: None if v is None else str(v).lower() if isinstance(v, bool) else str(v)
-    return [(tuple(text(r[c]) for c in partition_by), decoded(r["_folder"])) for r in found]
+def written_partitions(spark: SparkSession, location: str, partition_by: Sequence[str]) -> list[Partition]:
+    """The partitions that Spark's writer made below a folder. Lists one folder
+    for each value of the outer columns, and reads no file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(conf)
+    found: list[tuple[tuple[str | None, ...], object]] = [((), path)] if fs.exists(path) else []
+    for column in partition_by:
+        inner = []
+        for values, folder in found:
+            for status in fs.listStatus(folder):
+                child = status.getPath()
+                name, _, value = child.getName().partition("=")
+                if name == column:
+                    # the writer escapes what a folder name cannot hold as %XX
+                    inner.append(((*values, None if value == _NULL_FOLDER else unquote(value)), child))
+        found = inner
+    return [(values, folder.toString()) for values, folder in found]
 
 
 def partitions_of(spark: SparkSession, table: str, number: int) -> list[Partition]:
@@ -189,7 +196,7 @@ def create_version(
     ``location`` are taken. With ``base`` the number has to be the one after
     every version seen now, and a publisher that took it fails this one."""
     if partition_by and partitions is None:
-        partitions = written_partitions(spark, location, schema, partition_by)
+        partitions = written_partitions(spark, location, partition_by)
     number = max([0, *versions(spark, table)]) + 1
     # the schema is declared, not inferred from folder names, which would turn a string value into a date
     ordered = [f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by]

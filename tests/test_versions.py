@@ -4,6 +4,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from strata.session import path_exists
 from strata.sources import versions as v
 
 
@@ -136,4 +137,23 @@ def test_empty_versions_and_dropped_entries(spark, db):
         v.drop_version(spark, t, 2)
     location = v._described(spark, v.version_table(t, 1))["Location"]
     v.drop_version(spark, t, 1)
-    assert v.versions(spark, t) == [2] and v.path_exists(spark, location)
+    assert v.versions(spark, t) == [2] and path_exists(spark, location)
+
+
+def test_partition_values_that_folders_escape(spark, db, scratch):
+    values = ["plain", "10:00", "a/b=c%2F", "é ü", "{x}", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "x int, d string")
+    v.publish_version(spark, df, f"{db}.t", partition_by=["d"])
+    assert rows(spark.table(f"{db}.t")) == rows(df)
+    assert sorted((x for (x,), _ in v.partitions_of(spark, f"{db}.t", 1)), key=repr) == sorted(values, key=repr)
+
+
+def test_a_folder_slice_with_an_escaped_value_is_emptied(spark, scratch):
+    from strata.sources.tables import read_slices, replace_slice
+
+    path, df = scratch("hours"), spark.createDataFrame([(1,), (2,)], "x int")
+    for value in ("10:00", "11:00", "a%b"):
+        replace_slice(df, path, "at", value)
+    for value in ("10:00", "a%b"):
+        replace_slice(df.where("false"), path, "at", value)
+    assert rows(read_slices(spark, path)) == [(1, "11:00"), (2, "11:00")]

@@ -16,7 +16,7 @@ from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import lenient_timestamp, normalise_key
@@ -55,14 +55,15 @@ class GoldTables:
     crimes_weather_daily: str
 
 
-def _gold_rows(spark: SparkSession, daily, silver: DataFrame, table: str, date_col: str, dates: Sequence | None) -> DataFrame:
+def gold_rows(spark: SparkSession, daily, silver: DataFrame, table: str, date: Column, dates: Sequence | None) -> DataFrame:
     """A daily Gold table in full, or the one there is with the given dates
-    computed anew: a date's rows depend on the Silver rows of that date alone."""
+    computed anew: a date's rows depend on the Silver rows of that date alone.
+    ``date`` is an expression over columns that Silver and Gold both have."""
     if dates is None or current_version(spark, table) is None:
         return daily(silver)
-    on = F.col(date_col).isin([F.lit(d).cast("date") for d in dates if d is not None])
+    on = date.isin([F.lit(d).cast("date") for d in dates if d is not None])
     if None in dates:
-        on = on | F.col(date_col).isNull()
+        on = on | date.isNull()
     fresh = daily(silver.where(on))
     old = spark.table(table)
     if old.schema.simpleString() != fresh.schema.simpleString():
@@ -83,9 +84,9 @@ def gold_step(
     tables just written. Each is a new version: a failed write leaves the old
     one in place. With the dates that a Silver refresh wrote, only those dates
     are read from Silver and aggregated; the others are kept."""
-    weather = _gold_rows(spark, gold_daily_weather, spark.table(silver_weather_table), gold.weather_daily, "observed_date", weather_dates)
+    weather = gold_rows(spark, gold_daily_weather, spark.table(silver_weather_table), gold.weather_daily, F.col("observed_date"), weather_dates)
     publish_version(spark, weather, gold.weather_daily, mart_root)
-    crimes = _gold_rows(spark, gold_crimes_daily, spark.table(silver_crimes_table), gold.crimes_daily, "occurred_date", crimes_dates)
+    crimes = gold_rows(spark, gold_crimes_daily, spark.table(silver_crimes_table), gold.crimes_daily, F.col("occurred_date"), crimes_dates)
     publish_version(spark, crimes, gold.crimes_daily, mart_root)
     mart = crimes_weather_daily(spark.table(gold.crimes_daily), spark.table(gold.weather_daily))
     publish_version(spark, mart, gold.crimes_weather_daily, mart_root)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -201,15 +202,50 @@ def map_slices(fn: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None]) ->
     return run
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage with
     files that survive lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged_alone(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """``staged`` for what ``build`` returns, and its folder. Folders that were
+    staged on the way there are deleted once the result is written: it reads
+    none of them."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        out = staged(build(), name)
+    finally:
+        _MADE.reset(token)
+    for path in made[:-1]:
+        delete_folder(spark, path)
+    if (outer := _MADE.get()) is not None:
+        outer.append(made[-1])
+    return out, made[-1]
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

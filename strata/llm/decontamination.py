@@ -8,10 +8,12 @@ whole in one window, where a containment of ``threshold`` means a Jaccard
 similarity of at least about a sixth, whatever the document's length.
 
 Windows and items get a one-permutation MinHash signature (``SEEDS`` times
-``BINS`` bins of word 5-shingles). One equal bin makes a pair a candidate; an
-item of twelve shingles is missed with a probability under one in a thousand
-at the threshold and far less for a verbatim copy. Candidates are verified by
-the exact share of the item's distinct shingles that the whole document holds.
+``BINS`` bins of word 5-shingles). One equal bin makes a pair a candidate. Items
+of fewer than ``EXACT_BELOW`` shingles are found by looking up every one of
+them, so none is missed; of the others an item at the threshold is missed with
+a probability under one in a thousand, and a verbatim copy far more rarely.
+Candidates are verified by the exact share of the item's distinct shingles that
+the whole document holds.
 
 Items are taken in blocks of ``BLOCK_BYTES`` of shingles, so what a task holds
 of them has a fixed bound; each block runs against all documents.
@@ -27,14 +29,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.llm.common import distinct_per_row, load, salted, shingles_of, slices, staged, text_rows, texts_of
+from strata.llm.common import Texts, distinct_per_row, load, salted, shingles_of, slices, text_rows, texts_of
 
 WIDTH = 5
 BINS, SEEDS = 32, 3
 #: Largest sizes of the item classes: 32, 128, 512, ... shingles.
 CLASS_BASE, CLASS_STEP = 32, 4
+#: Items of fewer shingles are looked up by each of them: MinHash is too sparse there.
+EXACT_BELOW = 16
 BLOCK_BYTES = 16 << 20
 _NONE = np.uint64(2**64 - 1)
 
@@ -63,8 +66,8 @@ def _pack_items(block: list[dict]) -> dict:
     sets, offsets = distinct_per_row(rows, hashes, len(texts))
     sizes = np.diff(offsets)
     classes = {}
-    for c in np.unique(size_class(sizes[sizes > 0])):
-        members = np.flatnonzero((sizes > 0) & (size_class(sizes) == c))
+    for c in np.unique(size_class(sizes[sizes >= EXACT_BELOW])):
+        members = np.flatnonzero((sizes >= EXACT_BELOW) & (size_class(sizes) == c))
         picked = np.isin(np.repeat(np.arange(len(sizes)), sizes), members)
         owner = np.searchsorted(members, np.repeat(np.arange(len(sizes)), sizes)[picked])
         minima = _bin_minima(owner, sets[picked], len(members))
@@ -72,7 +75,20 @@ def _pack_items(block: list[dict]) -> dict:
         keys = salted(minima[item, column], 50) + column.astype(np.uint64)
         order = np.argsort(keys, kind="stable")
         classes[int(c)] = (keys[order], members[item[order]])
-    return {"ids": ids, "sets": sets, "offsets": offsets, "classes": classes}
+    few = np.flatnonzero((sizes > 0) & (sizes < EXACT_BELOW))
+    few_owner = np.repeat(np.arange(len(sizes)), sizes)
+    picked = np.isin(few_owner, few)
+    order = np.argsort(sets[picked], kind="stable")
+    return {"ids": ids, "sets": sets, "offsets": offsets, "classes": classes, "few": (sets[picked][order], few_owner[picked][order])}
+
+
+def _few_candidates(rows: np.ndarray, hashes: np.ndarray, keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """(row, item) pairs that share a shingle, for items of few shingles."""
+    low, high = np.searchsorted(keys, hashes, "left"), np.searchsorted(keys, hashes, "right")
+    hit = np.flatnonzero(high > low)
+    n = high[hit] - low[hit]
+    items = owners[np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    return np.unique(np.column_stack([np.repeat(rows[hit], n), items]), axis=0)
 
 
 def _candidates(rows: np.ndarray, hashes: np.ndarray, n_rows: int, c: int, keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
@@ -99,26 +115,31 @@ def _candidates(rows: np.ndarray, hashes: np.ndarray, n_rows: int, c: int, keys:
     return np.unique(np.column_stack([found, items]), axis=0)
 
 
+def _held(block: dict, texts: Texts, threshold: float) -> list[tuple[int, int, float]]:
+    """(row, item, share of the item) of every item that a text holds."""
+    rows, hashes = shingles_of(texts.lower(), WIDTH)
+    if not len(rows):
+        return []
+    pairs = [_few_candidates(rows, hashes, *block["few"]), *(_candidates(rows, hashes, len(texts), c, *index) for c, index in block["classes"].items())]
+    pairs = np.concatenate(pairs)
+    first = np.searchsorted(rows, np.arange(len(texts) + 1))
+    out = []
+    for row in np.unique(pairs[:, 0]):
+        own = np.unique(hashes[first[row] : first[row + 1]])
+        for item in pairs[pairs[:, 0] == row, 1]:
+            wanted = block["sets"][block["offsets"][item] : block["offsets"][item + 1]]
+            share = np.isin(wanted, own, assume_unique=True).sum() / len(wanted)
+            if share >= threshold:
+                out.append((row, item, share))
+    return out
+
+
 def _search(shared, threshold: float):
     def run(batches):
         block = shared.value
         for batch in batches:
             for part, texts in slices(batch):
-                rows, hashes = shingles_of(texts.lower(), WIDTH)
-                if not len(rows):
-                    continue
-                pairs = [_candidates(rows, hashes, len(texts), c, *index) for c, index in block["classes"].items()]
-                pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-                first = np.searchsorted(rows, np.arange(len(texts) + 1))
-                out = []
-                for row in np.unique(pairs[:, 0]):
-                    own = np.unique(hashes[first[row] : first[row + 1]])
-                    for item in pairs[pairs[:, 0] == row, 1]:
-                        wanted = block["sets"][block["offsets"][item] : block["offsets"][item + 1]]
-                        share = np.isin(wanted, own, assume_unique=True).sum() / len(wanted)
-                        if share >= threshold:
-                            out.append((row, item, share))
-                if out:
+                if out := _held(block, texts, threshold):
                     at, item, share = zip(*out, strict=True)
                     yield pa.record_batch(
                         {
@@ -131,6 +152,19 @@ def _search(shared, threshold: float):
     return run
 
 
+def _clean(shared, threshold: float):
+    """The rows, with all their columns, whose text holds no item of a block."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in slices(batch):
+                stays = np.ones(part.num_rows, bool)
+                stays[[row for row, _, _ in _held(shared.value, texts, threshold)]] = False
+                yield part.filter(pa.array(stays))
+
+    return run
+
+
 def _blocks(items: DataFrame):
     """The items in blocks of bounded size, streamed through the driver."""
     block, size = [], 0
@@ -157,10 +191,13 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.75)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """The documents (all columns) that hold no item. Rows without a doc_id
-    cannot be named by a finding and stay."""
-    found = staged(contained_items(docs, items, threshold).select("doc_id").distinct(), "op3-found")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The documents (all columns) that hold no item. Each row is judged by its
+    own text, where it is: nothing is joined by doc_id, which may be missing or
+    shared."""
+    for block in _blocks(items):
+        shared = docs.sparkSession.sparkContext.broadcast(_pack_items(block))
+        docs = docs.mapInArrow(_clean(shared, threshold), docs.schema)
+    return docs
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

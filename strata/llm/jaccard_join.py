@@ -260,7 +260,8 @@ def component_firsts(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of the first row of each component by doc_id, then set; a
     row without words is a component of its own."""
     sets, of_class = _classes(docs)
-    firsts = of_class.where("least is not null").groupBy("root").agg(F.min(F.struct("least", "fp")).alias("x"))
+    # a class without any doc_id stands for its component only if no other does
+    firsts = of_class.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("x"))
     return firsts.select(F.col("x.least").alias("doc_id"), "x.fp").union(sets.where("n = 0").select("doc_id", "fp").distinct())
 
 

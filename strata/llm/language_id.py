@@ -18,14 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strata.llm.common import LOWER, crc_mod, load, slices, span_hashes, texts_of, words_of
 
 WINDOW = 24
-#: Words read at once, and the share of a word's evidence that counts.
+#: Words read at once.
 GROUP = 4096
 UND = "und"
+#: Sampled ids are broadcast up to this number (300 for each of 600 languages).
+BROADCAST_ROWS = 180_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -164,7 +167,9 @@ def train(samples: list[tuple[str, str]], langs: list[str], units: int = 12, wor
     return net.w
 
 
-def _predict(shared, langs: list[str], units: int):
+def _predict(shared, langs: list[str], units: int, drop: tuple[str, ...] = ("text",), names: tuple[str, str] = ("lang_pred", "score")):
+    """Adds the language and its probability to a batch's columns but for ``drop``."""
+
     def run(batches):
         net = ByteBiGru(len(langs), units)
         net.w = shared.value
@@ -184,8 +189,8 @@ def _predict(shared, langs: list[str], units: int):
                 pooled = np.column_stack([np.bincount(rows, by_word[inverse, k], len(texts)) for k in range(len(langs))])
                 probs = _softmax(pooled)
                 best = probs.argmax(1)
-                out = [part.column(c) for c in part.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*out, pa.array([langs[k] for k in best], pa.string()), pa.array(probs.max(1))], [*(c for c in part.schema.names if c != "text"), "lang_pred", "score"])
+                kept = [c for c in part.schema.names if c not in drop]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array([langs[k] for k in best], pa.string()), pa.array(probs.max(1))], [*kept, *names])
 
     return run
 
@@ -201,7 +206,10 @@ def fit_language_model(docs: DataFrame, docs_per_lang: int = 300, units: int = 1
     if not langs:
         return {}, []
     wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in chosen], "doc_id long, lang string").distinct()
-    rows = known.select("doc_id", "lang", "text").join(wanted, ["doc_id", "lang"]).collect()
+    if len(chosen) <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)  # then the texts are read in the scan and not shuffled
+    # of rows that share id and language one text is learned from
+    rows = known.select("doc_id", "lang", "text").join(wanted, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     samples = sorted((r["doc_id"], r["text"], r["lang"]) for r in rows)
     return train([(t, lang) for _, t, lang in samples], langs, units, words_per_doc, epochs), langs
 
@@ -218,5 +226,18 @@ def identify_languages(docs: DataFrame, units: int = 12, **training) -> DataFram
     return found.select("doc_id", "held_out", F.when(F.col("letters"), F.col("lang_pred")).otherwise(UND).alias("lang_pred"), F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"))
 
 
+def with_language(docs: DataFrame, names: tuple[str, str], units: int = 12, **training) -> DataFrame:
+    """All rows and columns, and the predicted language and its probability
+    under the given names, found where the row is: nothing is joined by id."""
+    weights, langs = fit_language_model(docs.select("doc_id", "text", "lang"), units=units, **training)
+    if not langs:
+        return docs.withColumns({names[0]: F.lit(UND), names[1]: F.lit(0.0)})
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    found = docs.mapInArrow(_predict(shared, langs, units, (), names), schema)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.withColumns({names[0]: F.when(letters, F.col(names[0])).otherwise(UND), names[1]: F.when(letters, F.col(names[1])).otherwise(0.0)})
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(load(spark, sf_dir, "documents"))

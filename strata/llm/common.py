@@ -89,6 +89,8 @@ def slices(batch: pa.RecordBatch, text_col: str = "text", limit: int = SLICE_BYT
         lo, hi = whole.offsets[at], whole.offsets[end]
         yield batch.slice(at, end - at), Texts(whole.buf[lo:hi], whole.offsets[at : end + 1] - lo)
         at = end
+    del whole
+    pa.default_memory_pool().release_unused()  # workers live on, and the pool would keep a batch's memory
 
 
 @dataclass

@@ -39,6 +39,8 @@ CLASS_BASE, CLASS_STEP = 32, 4
 #: Items of fewer shingles are looked up by each of them: MinHash is too sparse there.
 EXACT_BELOW = 16
 BLOCK_BYTES = 16 << 20
+#: Bytes of text worked on at once: windows' signatures are some 20 times as large.
+SLICE_BYTES = 1 << 20
 _NONE = np.uint64(2**64 - 1)
 
 
@@ -138,7 +140,7 @@ def _search(shared, threshold: float):
     def run(batches):
         block = shared.value
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, limit=SLICE_BYTES):
                 if out := _held(block, texts, threshold):
                     at, item, share = zip(*out, strict=True)
                     yield pa.record_batch(
@@ -157,7 +159,7 @@ def _clean(shared, threshold: float):
 
     def run(batches):
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, limit=SLICE_BYTES):
                 stays = np.ones(part.num_rows, bool)
                 stays[[row for row, _, _ in _held(shared.value, texts, threshold)]] = False
                 yield part.filter(pa.array(stays))

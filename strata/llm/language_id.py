@@ -26,6 +26,8 @@ from strata.llm.common import LOWER, crc_mod, load, slices, span_hashes, texts_o
 WINDOW = 24
 #: Words read at once.
 GROUP = 4096
+#: Bytes of text worked on at once: larger slices repeat more words.
+SLICE_BYTES = 2 << 20
 UND = "und"
 #: Sampled ids are broadcast up to this number (300 for each of 600 languages).
 BROADCAST_ROWS = 180_000
@@ -174,7 +176,7 @@ def _predict(shared, langs: list[str], units: int, drop: tuple[str, ...] = ("tex
         net = ByteBiGru(len(langs), units)
         net.w = shared.value
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, limit=SLICE_BYTES):
                 buf = LOWER[texts.buf]
                 words = words_of(texts)
                 _, where, inverse = np.unique(span_hashes(buf, words.starts, words.ends), return_index=True, return_inverse=True)

@@ -10,6 +10,7 @@ words, which is 1e-6 for five million.
 """
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 from contextvars import ContextVar
@@ -79,6 +80,14 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(buf[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+def give_back_memory() -> None:
+    """Workers live on after a task; what Arrow's pool and the C heap keep of a
+    batch that is done would add up over the stages of a job."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, text_col: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Cut a batch by bytes of text, whole rows only."""
     whole = texts_of(batch.column(text_col))
@@ -90,7 +99,7 @@ def slices(batch: pa.RecordBatch, text_col: str = "text", limit: int = SLICE_BYT
         yield batch.slice(at, end - at), Texts(whole.buf[lo:hi], whole.offsets[at : end + 1] - lo)
         at = end
     del whole
-    pa.default_memory_pool().release_unused()  # workers live on, and the pool would keep a batch's memory
+    give_back_memory()
 
 
 @dataclass

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import scratch_path, session_conf
 
 #: Bytes of text worked on at once inside a task (a longer text is taken alone).
 SLICE_BYTES = 4 << 20
@@ -218,10 +218,12 @@ _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage with
-    files that survive lost executors."""
+    files that survive lost executors. Once they are written the shuffles on
+    the way are of no use, and Spark removes their files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with session_conf(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     if (made := _MADE.get()) is not None:
         made.append(path)
     return spark.read.schema(df.schema).parquet(path)

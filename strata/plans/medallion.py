@@ -36,6 +36,7 @@ from strata.sources.ledger import LedgerConflict, Run, RunLedger, State
 from strata.sources.tables import read_slices
 from strata.sources.versions import current_version, publish_version
 from strata.streaming import sources as stream_sources
+from strata.streaming.lines import lines_pass
 from strata.streaming.sinks import RunStats, TwoHopPaths, stream_pass
 
 # Fixed values that must stay as they are for results to match:
@@ -118,6 +119,29 @@ def station_stream_pass(
     )
 
 
+def station_lines_pass(
+    spark: SparkSession, paths: TwoHopPaths, state_partitions: int, max_files_per_trigger: int | None = 1000,
+    late_path: str | None = None,
+) -> tuple[RunStats, RunStats]:
+    """The same pass with lines landed as text first: no field is lost, nothing
+    is inferred, a batch that runs twice counts once, and ``late_path`` keeps
+    what the watermark drops. Its folders are not those of
+    :func:`station_stream_pass`."""
+    return lines_pass(
+        spark,
+        paths,
+        ts_col="event_ts",
+        keys=["station_id", "event_type"],
+        required=["trip_id", "event_ts"],
+        hints_ddl=EVENT_SCHEMA_HINTS,
+        size=STATION_WINDOW,
+        delay=STATION_WATERMARK,
+        max_files_per_trigger=max_files_per_trigger,
+        state_partitions=state_partitions,
+        late_path=late_path,
+    )
+
+
 @dataclass
 class MedallionLayout:
     """Where one deployment keeps its layers. The run ledger is beside Bronze

@@ -204,3 +204,31 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.75) ->
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+#: Exact containment of every item in every document. The search must find the same rows.
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), i AS (
+  SELECT row_number() OVER () AS item, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM benchmark
+), item_sets AS (
+  SELECT item, item_id, list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingles
+  FROM i
+), item_shingles AS (
+  SELECT item, item_id, len(shingles) AS n, unnest(shingles) AS shingle FROM item_sets
+), doc_shingles AS (
+  SELECT DISTINCT doc, doc_id, unnest(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingle
+  FROM d
+)
+SELECT doc_id, item_id, count(*) / any_value(n) AS containment
+FROM doc_shingles JOIN item_shingles USING (shingle)
+GROUP BY doc, doc_id, item, item_id
+HAVING 100 * count(*) >= 75 * any_value(n)
+"""

@@ -278,3 +278,37 @@ def with_set(docs: DataFrame, name: str) -> DataFrame:
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(load(spark, sf_dir, "documents"))
+
+
+#: All links by a plain join on shingles, one row for each set, and reachability over them.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END)) AS shingles
+  FROM w
+), sets AS (
+  SELECT doc_id, len(shingles) AS n, md5(array_to_string(shingles, chr(10))) AS class, shingles FROM s
+), classes AS (
+  SELECT class, min(doc_id) AS least, any_value(n) AS n, any_value(shingles) AS shingles FROM sets WHERE n > 0 GROUP BY class
+), x AS (
+  SELECT class, n, unnest(shingles) AS shingle FROM classes
+), links AS (
+  SELECT a.class AS u, b.class AS v FROM x a JOIN x b ON a.shingle = b.shingle AND a.class < b.class
+  WHERE 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.class, b.class HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), edges AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT class AS node, least FROM classes
+  UNION
+  SELECT e.v, r.least FROM reach r JOIN edges e ON e.u = r.node
+), roots AS (
+  SELECT node AS class, min(least) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN roots ON sets.class = roots.class AND n > 0
+"""

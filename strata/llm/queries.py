@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from strata.llm.bit_planes import op7_token_output
 from strata.llm.decontamination import op3_decontamination
-from strata.llm import hard_negatives, source_audit
+from strata.llm import decontamination, hard_negatives, jaccard_join, source_audit
 from strata.llm.hard_negatives import op11_hard_negatives
 from strata.llm.jaccard_join import op10_jaccard_join
 from strata.llm.language_id import op4_language_id
@@ -25,6 +25,8 @@ LLM_QUERIES = {f.__name__: f for f in _ALL}
 
 #: SQL for the operators that it can express whole; tests hold the others against brute force.
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": decontamination.ORACLE_SQL,
+    "op10_jaccard_join": jaccard_join.ORACLE_SQL,
     "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op12_source_audit": source_audit.ORACLE_SQL,
 }

@@ -180,11 +180,98 @@ def assign_pages(
     )
 
 
+#: Key ranges counted in one pass, keys sampled to choose their bounds, and the
+#: rows of a range from which it is divided again before a page is sorted out of it.
+KEY_RANGES, BOUND_SAMPLE, SORTED_ROWS = 128, 4096, 1 << 20
+
+
+def _key(columns: Sequence[Column]) -> Column:
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
+
+
+class _KeyRanges:
+    """Rows of ``df`` by where their key lies between bounds. A bound is a tuple
+    of texts (None: NULL), which come back as the exact values by a cast. NULL
+    comes before every value, as in an ascending sort."""
+
+    def __init__(self, df: DataFrame, order_cols: Sequence[str]):
+        types = dict(df.dtypes)
+        binary = [c for c in order_cols if types[c] == "binary"]
+        if binary:
+            raise ValueError(f"columns {binary} are binary: order by their hex text")
+        self.order_cols, self.types = list(order_cols), [types[c] for c in order_cols]
+        self.row = _key([F.col(c) for c in order_cols])
+
+    def values(self, bound: tuple) -> list[Column]:
+        return [F.lit(v).cast("string").cast(t) for v, t in zip(bound, self.types, strict=True)]
+
+    def bounds(self, rows: DataFrame) -> list[tuple]:
+        """Bounds of about equal ranges, from a sample of bounded size. Which
+        keys it draws changes how ranges are cut, and no result."""
+        drawn = rows.select(*self.order_cols).orderBy(F.rand()).limit(BOUND_SAMPLE).orderBy(*self.order_cols)
+        keys = [tuple(r) for r in drawn.select(*[F.col(c).cast("string") for c in self.order_cols]).collect()]
+        step = max(1, len(keys) // KEY_RANGES)
+        return list(dict.fromkeys(keys[step // 2 :: step]))
+
+    def number(self, bounds: Sequence[tuple]) -> Column:
+        """How many bounds are not above the row's key, by binary search."""
+        keys = [_key(self.values(b)) for b in bounds]
+
+        def between(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            mid = (low + high) // 2
+            return F.when(self.row < keys[mid], between(low, mid)).otherwise(between(mid + 1, high))
+
+        return between(0, len(bounds))
+
+    def within(self, low: tuple | None, high: tuple | None) -> Column:
+        """``low <= key < high``; the first column's part can reach the scan."""
+        first, cond = F.col(self.order_cols[0]), F.lit(True)
+        if low is not None:
+            cond = cond & (self.row >= _key(self.values(low)))
+            if low[0] is not None:
+                cond = cond & (first >= self.values(low)[0])
+        if high is not None:
+            cond = cond & (self.row < _key(self.values(high)))
+            cond = cond & (first.isNull() if high[0] is None else (first.isNull() | (first <= self.values(high)[0])))
+        return cond
+
+
 def page_by_number(
-    df: DataFrame, order_cols: Sequence[str], page_size: int, page: int
+    df: DataFrame, order_cols: Sequence[str], page_size: int, page: int, sorted_rows: int = SORTED_ROWS
 ) -> DataFrame:
-    """OFFSET-style page ``page`` (0-based) in ``order_cols`` order, computed
-    from the distributed numbering rather than by sorting all earlier pages
-    into one task. For walking through pages in sequence, ``keyset_page``
-    is cheaper; this answers "give me page k" directly."""
-    return assign_pages(df, order_cols, page_size).filter(F.col("page_no") == page)
+    """OFFSET-style page ``page`` (0-based) in ``order_cols`` order, with its
+    rows' ``row_ordinal`` and ``page_no``. For walking through pages in
+    sequence, ``keyset_page`` is cheaper; this answers "give me page k"
+    directly.
+
+    The page is located by exact row counts of key ranges, a partial aggregate
+    of a few numbers a task, and the range that holds it is divided again until
+    it has at most ``sorted_rows`` rows (or two pages). Only that range is
+    sorted: nothing is shuffled, checkpointed or numbered whole. ``order_cols``
+    should end with a unique key, so that the order is total and every range
+    can be divided. A page beyond the last has no rows."""
+    ranges = _KeyRanges(df, order_cols)
+    start, low, high, before, size = page * page_size, None, None, 0, None
+    while size is None or size > max(sorted_rows, 2 * page_size):
+        rows = df.where(ranges.within(low, high))
+        cuts = ranges.bounds(rows)
+        counts = rows.groupBy(ranges.number(cuts).alias("n")).count().collect()  # a row for each range
+        at, ends, total = before, [], {r["n"]: r["count"] for r in counts}
+        for n in range(len(cuts) + 1):
+            ends.append((at, at + total.get(n, 0)))
+            at += total.get(n, 0)
+        holding = [n for n, (a, b) in enumerate(ends) if a < min(start + page_size, at) and b > start]
+        if not holding:
+            return df.where(F.lit(False)).withColumns({"row_ordinal": F.lit(0).cast("bigint"), "page_no": F.lit(0).cast("bigint")})
+        first, last = holding[0], holding[-1]
+        edges = [low, *cuts, high]
+        narrower = ends[last][1] - ends[first][0]
+        low, high, before = edges[first], edges[last + 1], ends[first][0]
+        if narrower == size:
+            break  # equal keys: no bound divides them
+        size = narrower
+    found = df.where(ranges.within(low, high)).orderBy(*order_cols).offset(start - before).limit(page_size)
+    ordinal = F.row_number().over(Window.orderBy(*order_cols)) + F.lit(start - 1).cast("bigint")  # of one page
+    return found.withColumns({"row_ordinal": ordinal, "page_no": F.lit(page).cast("bigint")})

@@ -15,9 +15,9 @@ def test_every_oracle_has_a_query():
 
 
 # a row limit is only allowed where it is the feature (one page of a reader)
-LIMIT_IS_THE_FEATURE = {"keyset_page"}
+LIMIT_IS_THE_FEATURE = {"keyset_page", "page_by_number"}
 # broadcast hints only on data with a proven bound (one row per partition)
-BOUNDED_BROADCAST = {"paged_read", "page_by_number"}
+BOUNDED_BROADCAST = {"paged_read"}
 
 
 def test_every_query_runs_on_smallest_fixture(spark):

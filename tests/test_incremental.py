@@ -83,3 +83,39 @@ def test_page_by_number_equals_offset_limit(spark):
     got = [(r.a, r.b) for r in page_by_number(df, ["a", "b"], 40, 3).orderBy("a", "b").collect()]
     want = [(r.a, r.b) for r in df.orderBy("a", "b").offset(120).limit(40).collect()]
     assert got == want
+
+
+def test_page_by_number_divides_ranges_until_they_are_small(spark):
+    import random
+
+    from strata.sources.incremental import page_by_number
+
+    rng = random.Random(3)
+    # a third of the rows share the first key, some have none
+    keys = [("hot" if i % 3 == 0 else None if i % 17 == 0 else f"k{rng.randrange(50):02d}", i * 7919 % 5003, i % 5 / 3) for i in range(5003)]
+    df = spark.createDataFrame(keys, "a string, b long, c double").repartition(5)
+    order = sorted(keys, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    for page in (0, 1, 7, 49, 50, 51):
+        got = page_by_number(df, ["a", "b"], 100, page, sorted_rows=150).orderBy("row_ordinal").collect()
+        want = order[page * 100 : (page + 1) * 100]
+        assert [(r["a"], r["b"], r["c"]) for r in got] == want, page
+        assert [r["row_ordinal"] for r in got] == list(range(page * 100, page * 100 + len(want)))
+        assert all(r["page_no"] == page for r in got)
+    plan = page_by_number(df, ["a", "b"], 100, 7, sorted_rows=150)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_page_by_number_on_times_ties_and_nothing(spark):
+    import pytest
+
+    from strata.sources.incremental import page_by_number
+
+    df = spark.sql("select timestamp_millis(id * 977) as t, cast(t as timestamp_ntz) as n, id / 7 as d, id from range(400)")
+    for cols in (["t"], ["n"], ["d", "id"]):
+        assert [r["id"] for r in page_by_number(df, cols, 30, 3, sorted_rows=60).orderBy("row_ordinal").collect()] == list(range(90, 120))
+    same = spark.range(500).selectExpr("1 as a")
+    assert page_by_number(same, ["a"], 40, 12, sorted_rows=10).count() == 20
+    empty = page_by_number(df.where("id < 0"), ["id"], 10, 0)
+    assert empty.count() == 0 and empty.columns[-2:] == ["row_ordinal", "page_no"]
+    with pytest.raises(ValueError, match="binary"):
+        page_by_number(spark.sql("select binary('x') as b"), ["b"], 1, 0)

@@ -31,6 +31,8 @@ SLICE_BYTES = 2 << 20
 UND = "und"
 #: Sampled ids are broadcast up to this number (300 for each of 600 languages).
 BROADCAST_ROWS = 180_000
+#: Groups of tasks in which the documents to learn from are first ranked.
+TASK_GROUPS = 64
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -201,8 +203,11 @@ def fit_language_model(docs: DataFrame, docs_per_lang: int = 300, units: int = 1
     """Train on documents outside the held-out fifth. The sample holds the
     ``docs_per_lang`` documents of each language with the smallest id hash."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 5) != 0))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id"))
-    ids = known.select("doc_id", "lang").withColumn("nth", nth).where(F.col("nth") <= docs_per_lang)
+    # the smallest of some tasks first, so no task meets those of every task
+    ids = known.select("doc_id", "lang", (F.spark_partition_id() % TASK_GROUPS).alias("tasks"))
+    for group in (["lang", "tasks"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id"))
+        ids = ids.withColumn("nth", nth).where(F.col("nth") <= docs_per_lang).drop("nth")
     chosen = ids.collect()  # docs_per_lang for each language
     langs = sorted({r["lang"] for r in chosen})
     if not langs:

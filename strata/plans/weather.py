@@ -46,7 +46,8 @@ WEATHER_BOUNDS = {"temperature_2m": TEMP_RANGE, "relative_humidity_2m": HUMIDITY
 
 def silver_weather(bronze: DataFrame, repair: bool = True) -> DataFrame:
     """Type leniently, drop rows without (city, hour), null out-of-range
-    temperature / humidity, keep the latest ingestion per (city, hour).
+    temperature / humidity, keep the latest ingestion per (city, hour). Hours
+    are few and delivered many times, so tasks combine theirs first.
 
     With ``repair=False`` out-of-range values are kept, so a quality suite
     run afterwards can quarantine them instead of never seeing them (with
@@ -62,7 +63,7 @@ def silver_weather(bronze: DataFrame, repair: bool = True) -> DataFrame:
         {c: null_outside(c, *bounds) for c, bounds in WEATHER_BOUNDS.items()}
     ) if repair else typed
     deduped = dedupe_latest(
-        bounded, ["city", "observed_at"], "_ingested_at", tie_breakers=_tie_breakers(bounded)
+        bounded, ["city", "observed_at"], "_ingested_at", tie_breakers=_tie_breakers(bounded), repeated=True
     )
     return deduped.withColumn("observed_date", event_date("observed_at"))
 

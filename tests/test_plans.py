@@ -5,9 +5,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.operators.dedupe import dedupe_latest
+from strata.operators.dedupe import combine_latest, dedupe_latest
 from strata.operators.gold import daily_summary, rollup_mart
 from strata.operators.quality import expect_between, expect_not_null, tag_failures
+from strata.plans.weather import silver_weather
 from strata.sources.incremental import read_since
 
 
@@ -77,3 +78,20 @@ def test_date_window_filter_reaches_the_scan(spark, scratch):
     plan = _plan(read_date_window(spark.read.parquet(path), "u", date(1970, 1, 1), date(1970, 1, 2)))
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
     assert "GreaterThanOrEqual(u," in pushed and "LessThan(u," in pushed
+
+
+def test_repeated_hours_are_combined_before_the_sort(spark):
+    # 20,000 deliveries of 24 hours by 2 tasks: 48 rows are left to sort
+    raw = spark.range(0, 20_000, 1, 2).select(
+        F.lit("chicago").alias("city"), F.expr("concat('2026-01-01T', lpad(id % 24, 2, '0'), ':00')").alias("observed_at"),
+        *[F.lit("1.5").alias(m) for m in ("temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m")],
+        F.timestamp_seconds(F.col("id") % 7).alias("_ingested_at"), F.format_string("f-%05d", "id").alias("_source_file"),
+    )
+    assert combine_latest(raw, ["city", "observed_at"], ["_ingested_at", "_source_file"]).count() == 48
+    silver = silver_weather(raw)
+    plan = _plan(silver)
+    nodes = re.findall(r"^\(\d+\) (\w+)", plan, re.M)  # numbered from the scan up
+    assert nodes.index("MapInArrow") < nodes.index("Sort") < nodes.index("Exchange")
+    rows = silver.collect()
+    assert len(rows) == 24 and all(r["_ingested_at"].second == 6 for r in rows)
+    assert {r["observed_at"].hour: r["_source_file"] for r in rows}[0] == "f-" + str(max(i for i in range(0, 20_000, 24) if i % 7 == 6)).zfill(5)

@@ -46,6 +46,8 @@ WIDTH = 5
 BLOCK = 256
 #: Counters of the column-frequency sketch, and bits of the Bloom filter of classes to verify.
 SKETCH, RANGES, BLOOM_WORDS, BLOOM_PROBES = 1 << 22, 64, 1 << 20, 4
+#: Bytes of text whose sets are made at once: the arrays for them are what a worker takes most memory for.
+SET_BYTES = 1 << 20
 #: Centres that a row is compared with in the first round.
 CENTRES = 3
 
@@ -71,9 +73,9 @@ def _describe(batches):
     """A row for each document, then the task's sketch in ``RANGES`` packed rows."""
     counts = np.zeros(SKETCH, np.uint32)
     for batch in batches:
-        for part, texts in slices(batch):
+        for part, texts in slices(batch, limit=SET_BYTES):
             _, hashes, offsets, fps = _sets(texts)
-            counts += np.bincount(_counter(hashes), minlength=SKETCH).astype(np.uint32)
+            np.add.at(counts, _counter(hashes), np.uint32(1))
             yield pa.record_batch({"doc_id": part.column("doc_id"), "n": np.diff(offsets), "fp": fps, "part": pa.nulls(len(texts), pa.int32()), "counts": pa.nulls(len(texts), pa.binary())})
     packer, nothing = zstandard.ZstdCompressor(level=1), pa.nulls(RANGES, pa.int64())
     packed = pa.array([packer.compress(x.tobytes()) for x in counts.reshape(RANGES, -1)], pa.binary())
@@ -108,7 +110,7 @@ def _postings(frequent):
     def run(batches):
         weight = frequent.value
         for batch in batches:
-            for _, texts in slices(batch):
+            for _, texts in slices(batch, limit=SET_BYTES):
                 rows, hashes, offsets, fps = _sets(texts)
                 first = np.zeros(len(texts), bool)  # copies within the slice give their postings once
                 first[np.unique(fps, return_index=True)[1]] = True
@@ -152,7 +154,7 @@ def _contents(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for _, texts in slices(batch):
+            for _, texts in slices(batch, limit=SET_BYTES):
                 _, hashes, offsets, fps = _sets(texts)
                 hit = np.zeros(len(fps), bool)
                 hit[np.unique(fps, return_index=True)[1]] = True
@@ -270,7 +272,7 @@ def with_set(docs: DataFrame, name: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, limit=SET_BYTES):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_sets(texts)[3])], [*part.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import load, slices, text_rows
-from strata.llm.tokens import Encoder, tokenizer_path, with_end
+from strata.llm.tokens import TEXT_BYTES, Encoder, tokenizer_path, with_end
 from strata.session import scratch_path
 
 CHUNK = 1 << 16
@@ -87,7 +87,7 @@ def _write_shard(path: str, end: int, chunk: int, bits: bool):
         shard, encoder = TaskContext.get().partitionId(), Encoder(path)
         waiting, local, nth, chunks = np.zeros(0, np.uint32), 0, 0, 0
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, limit=TEXT_BYTES):
                 ids, offsets = with_end(*encoder.encode(texts), end)
                 n = len(texts)
                 yield rows(kind=["d"] * n, shard=[shard] * n, nth=np.arange(nth, nth + n), n=np.diff(offsets), doc_id=part.column("doc_id"), local=local + offsets[:-1])

@@ -26,6 +26,8 @@ from strata.session import scratch_path, session_conf
 
 #: Bytes of text worked on at once inside a task (a longer text is taken alone).
 SLICE_BYTES = 4 << 20
+#: Bytes of rows in one Arrow batch: executor and worker each hold whole batches, outside the heap.
+BATCH_BYTES = 8 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -259,6 +261,13 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on workers get rows in Arrow batches of at most ``BATCH_BYTES``
+    (by Spark's default 64 MB), or a row alone; a size that was set is kept."""
+    if spark.conf.get(key := "spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import load, slices, staged, text_rows
-from strata.llm.tokens import Encoder, ids_column, tokenizer_path, with_end
+from strata.llm.common import give_back_memory, load, slices, small_batches, staged, text_rows
+from strata.llm.tokens import TEXT_BYTES, Encoder, ids_column, tokenizer_path, with_end
 
 SEQUENCE = 2048
 END = 1
@@ -38,13 +38,15 @@ def _tokenise(path: str, end: int):
     def run(batches):
         part, local, encoder = TaskContext.get().partitionId(), 0, Encoder(path)
         for batch in batches:
-            for rows, texts in slices(batch):
+            for rows, texts in slices(batch, limit=TEXT_BYTES):
                 ids, offsets = with_end(*encoder.encode(texts), end)
                 n = np.diff(offsets)
                 yield pa.record_batch(
                     {"part": np.full(len(n), part, np.int32), "local": local + offsets[:-1], "doc_id": rows.column("doc_id"), "n": n, "ids": ids_column(ids, offsets)}
                 )
                 local += int(offsets[-1])
+        del encoder
+        give_back_memory()
 
     return run
 
@@ -92,6 +94,7 @@ def _cut(length: int):
 
 def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE, end: int = END) -> DataFrame:
     """One row for each piece of a document in a sequence of ``length`` ids."""
+    small_batches(docs.sparkSession)
     return token_stream(docs, path, end).select("doc_id", "n", "at", "ids").mapInArrow(_cut(length), _PIECES)
 
 

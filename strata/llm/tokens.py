@@ -11,7 +11,9 @@ the ids tell where it ends.
 """
 from __future__ import annotations
 
+import itertools
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,12 @@ from strata.llm.common import SPACES, Texts, span_hashes
 
 #: Pieces kept from slice to slice in a task.
 CACHE_PIECES = 1_000_000
+#: Bytes of text encoded at once: the arrays of pieces and ids for them are some 40 times as large.
+TEXT_BYTES = 1 << 20
 #: Pieces encoded as one string.
 RUN = 256
+#: Strings encoded at once: the tokenizer describes every id of them in some 200 bytes.
+STRINGS = 64
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -70,8 +76,11 @@ class Encoder:
         self._keys = np.zeros(0, np.uint64)
         self._starts, self._lens, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _batch(self, strings: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    def _batch(self, strings: Iterator[str]) -> Iterator[np.ndarray]:
+        """The ids of each string, made for few strings at once."""
+        while some := list(itertools.islice(strings, STRINGS)):
+            found = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            yield from found
 
     def _encode(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of pieces."""
@@ -80,12 +89,14 @@ class Encoder:
         alone = SPACES[buf[ends - 1]] | _odd_end(buf, ends) | (bare & np.isin(buf[starts], (0xC2, 0xE1, 0xE2, 0xE3)))
         together = np.flatnonzero(~alone)
         lens = np.zeros(n, np.int64)
-        pieces = [(b"\n" if x else b"") + raw[a:b] for x, a, b in zip(bare.tolist(), starts.tolist(), ends.tolist(), strict=True)]
         out: list[np.ndarray] = []
         runs = [together[i : i + RUN] for i in range(0, len(together), RUN)]
-        for run, ids in zip(runs, self._batch([b"".join([pieces[i] for i in run.tolist()]).decode() for run in runs]), strict=True):
-            ids = np.array(ids, np.uint32)
-            ends_at = np.cumsum([len(pieces[i]) for i in run.tolist()])
+
+        def text(run: np.ndarray) -> str:
+            return b"".join([(b"\n" if x else b"") + raw[a:b] for x, a, b in zip(bare[run].tolist(), starts[run].tolist(), ends[run].tolist(), strict=True)]).decode()
+
+        for run, ids in zip(runs, self._batch(map(text, runs)), strict=True):
+            ends_at = np.cumsum(ends[run] - starts[run] + bare[run])
             last = np.searchsorted(np.cumsum(self._bytes[ids]), ends_at) + 1
             count = np.diff(last, prepend=0)
             first = last - count
@@ -94,9 +105,9 @@ class Encoder:
             lens[run] = count - bare[run]
             out.append(ids[keep])
         apart = np.flatnonzero(alone)
-        found = self._batch([raw[starts[i] : ends[i]].decode() for i in apart.tolist()])
+        found = list(self._batch(raw[starts[i] : ends[i]].decode() for i in apart.tolist()))
         lens[apart] = list(map(len, found))
-        out += [np.array(x, np.uint32) for x in found]
+        out += found
         order = np.concatenate([together, apart])
         at = np.empty(n, np.int64)
         at[order] = np.cumsum(lens[order]) - lens[order]

@@ -59,6 +59,18 @@ def _odd_end(buf: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return (two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique with first places and inverse, but only distinct keys are sorted."""
+    coded = pa.array(keys).dictionary_encode()
+    code, found = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    first = np.empty(len(found), np.int64)
+    first[code[::-1]] = np.arange(len(keys))[::-1]
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], first[order], rank[code]
+
+
 class Encoder:
     """Encodes slices of texts; keeps pieces between slices."""
 
@@ -116,7 +128,7 @@ class Encoder:
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of each text are ids[offsets[i]:offsets[i + 1]]."""
         starts, ends = _pieces(texts)
-        keys, where, inverse = np.unique(span_hashes(texts.buf, starts, ends), return_index=True, return_inverse=True)
+        keys, where, inverse = _distinct(span_hashes(texts.buf, starts, ends))
         if len(self._keys) + len(keys) > CACHE_PIECES:
             self._forget()
         at = np.searchsorted(self._keys, keys)

@@ -78,3 +78,10 @@ def test_a_size_that_was_set_is_kept(spark):
     with session_conf(spark, {KEY: "1234567"}):
         packing.pack(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
         assert spark.conf.get(KEY) in ("1234567", "1234567b")
+
+
+@pytest.mark.parametrize("n", [0, 1, 5_000])
+def test_distinct_keys_with_their_first_places(n):
+    keys = np.random.default_rng(2).integers(0, 900, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for got, want in zip(tokens._distinct(keys), np.unique(keys, return_index=True, return_inverse=True), strict=True):
+        assert got.tolist() == want.tolist()

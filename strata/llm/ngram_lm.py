@@ -6,15 +6,17 @@ filter holds the pair (n-gram, i) for every level i up to its own, so an
 n-gram's level is read back by probing i = 1, 2, ... until a probe fails. An
 error can only raise a level, and each further level is less likely.
 
-The filter is broadcast to the workers in blocks of at most ``BLOCK_BYTES``:
-n-grams are dealt to segments by hash, a segment's size follows its inserts,
-and a pass over the documents is made for each block of segments, so what a
-worker holds has a fixed bound while the filter grows with the corpus. A
-word pair and the word it begins with lie in the same segment, unless that word
+The filter is never in one place: n-grams are dealt to segments by hash, the
+number of segments follows the corpus and a segment's size its inserts. A chunk
+of documents sends its distinct word pairs to the tasks of their segments once,
+with their training counts; such a task fills its segment, reads the levels of
+all pairs that were asked for, and returns them to their chunks. So documents
+are read as often whatever the corpus, and no worker holds more than a segment.
+A word pair and the word it begins with lie in the same segment, unless that word
 is frequent: the pairs of a word with over ``HOT_TOKENS`` uses are dealt to
 several segments by pair, so no task holds all followers of a common word. Its
 number of distinct followers is then the sum over its segments; there are at
-most training tokens / ``HOT_TOKENS`` such words, and each worker has their sums.
+most tokens / ``HOT_TOKENS`` such words, and each worker has their sums.
 
 Score: interpolated absolute discounting. After h, a word w has
 (c(hw) - D) / c(h), if seen there, plus lambda(h) * p(w), p being the smoothed
@@ -49,6 +51,7 @@ FOLDS = 10
 SMOOTH = 0.1
 #: Quantisation base, discount, probes a level, bits an insert.
 BASE, DISCOUNT, PROBES, BITS = 2.0, 0.6, 6, 10
+#: Bytes of hashes that a task reads back from its segment at once.
 BLOCK_BYTES = 64 << 20
 SEGMENTS, SEGMENT_TOKENS = 64, 1 << 20
 #: Uses of a word for each segment that its pairs are dealt to.
@@ -59,16 +62,13 @@ CHUNK_BYTES = 4 << 20
 END, START = np.uint64(0x656E6400), np.uint64(0x73746172)
 
 _CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<int>, words binary, at binary"
-_WORDS = "bucket int, chunk long, words binary, counts binary"
-_REPLIES = "chunk long, bucket int, counts binary, tokens long, distinct long, hot binary, hot_uses binary"
-_PAIRS = "bucket int, first binary, second binary, counts binary"
-_SEGMENTS = "bucket int, bits binary, hot binary, followers binary"
+_WORDS = "bucket int, chunk long, words binary, counts binary, asked binary"
+_REPLIES = "chunk long, bucket int, counts binary, tokens long, distinct long, hot binary, hot_uses binary, hot_asked binary"
+_PAIRS = "bucket int, chunk long, first binary, runs binary, pairs binary, counts binary"
+_LEVELS = "chunk long, bucket int, seen binary, about binary, hot binary, followers binary"
 _SCORES = "chunk long, nth int, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-_NO_BITS = bytes(8)
-
-
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
@@ -92,6 +92,7 @@ class Frequent:
     uses: np.ndarray
     grain: int  # uses a segment
     followers: np.ndarray | None = None
+    asked: np.ndarray | None = None  # uses outside the training documents
 
     def find(self, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers, whether frequent) of pairs' first words."""
@@ -104,7 +105,8 @@ class Frequent:
         """Each pair's segment: its first word's, or one of those of a frequent word."""
         at, hot = self.find(begin)
         key = begin.copy()
-        part = pairs[hot] % (-(-self.uses[at[hot]] // self.grain)).astype(np.uint64)
+        uses = self.uses if self.asked is None else np.maximum(self.uses, self.asked)
+        part = pairs[hot] % (-(-uses[at[hot]] // self.grain)).astype(np.uint64)
         with np.errstate(over="ignore"):
             key[hot] = mix(begin[hot] + part * np.uint64(0x9E3779B97F4A7C15))
         return _bucket(key, buckets)
@@ -157,74 +159,102 @@ def _rows(batches):
             yield b.slice(i, 1).to_pylist()[0]
 
 
-def _split(keys: np.ndarray, counts: np.ndarray, buckets: int, chunk: int):
-    order, first = _by_bucket(_bucket(keys, buckets), buckets)
-    used = np.flatnonzero(np.diff(first))
-    cut = [order[first[k] : first[k + 1]] for k in used]
-    return pa.record_batch(
-        {
-            "bucket": used.astype(np.int32), "chunk": np.full(len(used), chunk), "words": pa.array([keys[c].tobytes() for c in cut], pa.binary()),
-            "counts": pa.array([counts[c].astype(np.uint32).tobytes() for c in cut], pa.binary()),
-        }
-    )
+def _joined(column, kind, order=None) -> np.ndarray:
+    """The arrays behind a column of binaries in one, in the order given."""
+    cut = [np.frombuffer(v.as_buffer(), kind) for v in column]
+    return np.concatenate([np.zeros(0, kind), *(cut if order is None else (cut[k] for k in order))])
+
+
+@dataclass
+class Pairs:
+    """The distinct word pairs of a chunk, by segment and by first word in it."""
+
+    begin: np.ndarray  # hash of the first word
+    second: np.ndarray  # number of the second
+    keys: np.ndarray
+    edges: np.ndarray  # of segments, buckets + 1
+    heads: np.ndarray  # where a run of one first word in one segment begins
+    place: np.ndarray  # each token's pair
+
+
+def _pairs_of(words: np.ndarray, at: np.ndarray, sizes: np.ndarray, buckets: int, hot: Frequent) -> Pairs:
+    before = np.concatenate([[-1], at[:-1]])
+    before[np.cumsum(sizes) - sizes] = -1
+    pairs, inverse = np.unique((before + 1) * (len(words) + 1) + at, return_inverse=True)
+    first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
+    begin = np.where(first < 0, START, words[np.maximum(first, 0)])
+    keys = _pair(begin, words[second])
+    members, edges = _by_bucket(hot.segments(begin, keys, buckets), buckets)
+    place = np.empty(len(members), np.int64)
+    place[members] = np.arange(len(members))
+    begin = begin[members]
+    head = np.ones(len(members), bool)
+    head[1:] = begin[1:] != begin[:-1]
+    head[edges[:-1][np.diff(edges) > 0]] = True
+    return Pairs(begin, second[members], keys[members], edges, np.flatnonzero(head), place[inverse])
 
 
 def _word_lists(buckets: int):
+    """The words of a chunk by bucket, with their uses in and out of training."""
+
     def run(batches):
         for row in _rows(batches):
             words, at, _, training = _open(row)
-            yield _split(words, np.bincount(at[training], minlength=len(words)), buckets, row["chunk"])
+            counts, asked = (np.bincount(at[x], minlength=len(words)).astype(np.uint32) for x in (training, ~training))
+            order, edges = _by_bucket(_bucket(words, buckets), buckets)
+            used = np.flatnonzero(np.diff(edges))
+            cut = [order[edges[k] : edges[k + 1]] for k in used]
+            yield pa.record_batch(
+                {
+                    "bucket": used.astype(np.int32), "chunk": np.full(len(used), row["chunk"]), "words": pa.array([words[c].tobytes() for c in cut], pa.binary()),
+                    "counts": pa.array([counts[c].tobytes() for c in cut], pa.binary()), "asked": pa.array([asked[c].tobytes() for c in cut], pa.binary()),
+                }
+            )
 
     return run
 
 
 def _pair_lists(buckets: int, hot: Frequent):
-    """Training word pairs of a chunk, dealt to segments."""
+    """All word pairs of a chunk, dealt to segments, with their training counts."""
 
     def run(batches):
         for row in _rows(batches):
             words, at, sizes, training = _open(row)
-            before = np.concatenate([[-1], at[:-1]])
-            before[(np.cumsum(sizes) - sizes)] = -1
-            at, before = at[training], before[training]
-            pairs, n = np.unique((before + 1) * (len(words) + 1) + at, return_counts=True)
-            first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
-            begin = np.where(first < 0, START, words[np.maximum(first, 0)])
-            second = words[second]
-            order, edges = _by_bucket(hot.segments(begin, _pair(begin, second), buckets), buckets)
-            used = np.flatnonzero(np.diff(edges))
-            cut = [order[edges[k] : edges[k + 1]] for k in used]
+            pairs = _pairs_of(words, at, sizes, buckets, hot)
+            counts = np.bincount(pairs.place[training], minlength=len(pairs.keys)).astype(np.uint32)
+            runs = np.diff(pairs.heads, append=len(pairs.keys)).astype(np.uint32)
+            used = np.flatnonzero(np.diff(pairs.edges))
+            cut = [slice(pairs.edges[k], pairs.edges[k + 1]) for k in used]
+            heads = np.searchsorted(pairs.heads, pairs.edges)
+            cut_heads = [slice(heads[k], heads[k + 1]) for k in used]
+            first = pairs.begin[pairs.heads]
             yield pa.record_batch(
                 {
-                    "bucket": used.astype(np.int32), "first": pa.array([begin[c].tobytes() for c in cut], pa.binary()),
-                    "second": pa.array([second[c].tobytes() for c in cut], pa.binary()), "counts": pa.array([n[c].astype(np.uint32).tobytes() for c in cut], pa.binary()),
+                    "bucket": used.astype(np.int32), "chunk": np.full(len(used), row["chunk"]),
+                    "first": pa.array([first[c].tobytes() for c in cut_heads], pa.binary()), "runs": pa.array([runs[c].tobytes() for c in cut_heads], pa.binary()),
+                    "pairs": pa.array([pairs.keys[c].tobytes() for c in cut], pa.binary()), "counts": pa.array([counts[c].tobytes() for c in cut], pa.binary()),
                 }
             )
 
     return run
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    unique, inverse = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(inverse, counts, len(unique)).astype(np.int64)
-
-
 def _word_counts(hot_tokens: int):
     """One bucket: total each word's counts and answer every chunk."""
 
     def run(table: pa.Table) -> pa.Table:
         words = [np.frombuffer(w.as_buffer(), np.uint64) for w in table["words"]]
-        counts = [np.frombuffer(c.as_buffer(), np.uint32) for c in table["counts"]]
-        unique, total = _summed(words, counts)
-        answers = [total[np.searchsorted(unique, w)].astype(np.uint32).tobytes() for w in words]
-        n, known, hot = table.num_rows, int((total > 0).sum()), total > hot_tokens
+        unique, inverse = np.unique(np.concatenate(words), return_inverse=True)
+        total, asked = (np.bincount(inverse, _joined(table[name], np.uint32), len(unique)).astype(np.int64) for name in ("counts", "asked"))
+        ends = np.cumsum([len(w) for w in words])
+        answers = np.split(total[inverse].astype(np.uint32), ends[:-1])
+        n, known, hot = table.num_rows, int((total > 0).sum()), (total > hot_tokens) | (asked > hot_tokens)
         # the bucket's totals and frequent words ride on its first row
         head = lambda x, none, kind: pa.array([x] + [none] * (n - 1), kind)
         return pa.table(
             {
-                "chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array(answers, pa.binary()), "tokens": head(int(total.sum()), 0, pa.int64()), "distinct": head(known, 0, pa.int64()),
-                "hot": head(unique[hot].tobytes(), None, pa.binary()), "hot_uses": head(total[hot].tobytes(), None, pa.binary()),
+                "chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array([a.tobytes() for a in answers], pa.binary()), "tokens": head(int(total.sum()), 0, pa.int64()), "distinct": head(known, 0, pa.int64()),
+                "hot": head(unique[hot].tobytes(), None, pa.binary()), "hot_uses": head(total[hot].tobytes(), None, pa.binary()), "hot_asked": head(asked[hot].tobytes(), None, pa.binary()),
             }
         )
 
@@ -232,12 +262,12 @@ def _word_counts(hot_tokens: int):
 
 
 def _frequent(replies: DataFrame, hot_tokens: int) -> Frequent:
-    found = replies.where(F.length("hot") > 0).select("hot", "hot_uses").collect()  # at most tokens / hot_tokens words
+    found = replies.where(F.length("hot") > 0).select("hot", "hot_uses", "hot_asked").collect()  # at most tokens / hot_tokens words
     words = np.frombuffer(b"".join(r["hot"] for r in found), np.uint64)
     words = np.where(words == END, START, words)  # a text's first pair begins with START, and none with its end
-    uses = np.frombuffer(b"".join(r["hot_uses"] for r in found), np.int64)
+    uses, asked = (np.frombuffer(b"".join(r[name] for r in found), np.int64) for name in ("hot_uses", "hot_asked"))
     order = np.argsort(words)
-    return Frequent(words[order], uses[order], hot_tokens)
+    return Frequent(words[order], uses[order], hot_tokens, np.zeros(len(words), np.int64), asked[order])
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -282,78 +312,80 @@ def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _segment(hot: Frequent):
-    """One bucket: count its pairs, then fill its segment of the filter with
-    pairs, contexts and numbers of followers; those of frequent words are told."""
+def _probed(bits: np.ndarray, keys: np.ndarray, block_bytes: int) -> np.ndarray:
+    """``probe`` for a block of keys at a time: levels are 64 at most."""
+    step = max(1, block_bytes // keys.itemsize)
+    return np.concatenate([np.zeros(0, np.uint8), *(probe(bits, keys[k : k + step]).astype(np.uint8) for k in range(0, len(keys), step))])
+
+
+def _segment(hot: Frequent, block_bytes: int):
+    """One bucket: count its pairs, fill its segment of the filter with pairs,
+    contexts and numbers of followers, and answer every chunk with the levels
+    read back; followers of frequent words are told."""
 
     def run(table: pa.Table) -> pa.Table:
-        join = lambda name, kind: np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table[name]])
-        first, second, counts = join("first", np.uint64), join("second", np.uint64), join("counts", np.uint32)
-        pairs, where, inverse = np.unique(_pair(first, second), return_index=True, return_inverse=True)
-        n = np.bincount(inverse, counts, len(pairs)).astype(np.int64)
-        contexts, owner = np.unique(first[where], return_inverse=True)
+        runs, asked = _joined(table["runs"], np.uint32).astype(np.int64), _joined(table["pairs"], np.uint64)
+        first, heads = _joined(table["first"], np.uint64), np.cumsum(runs) - runs
+        pairs, where, inverse = np.unique(asked, return_index=True, return_inverse=True)
+        n = np.bincount(inverse, _joined(table["counts"], np.uint32), len(pairs)).astype(np.int64)
+        contexts, of_run = np.unique(first, return_inverse=True)
+        owner = np.repeat(of_run, runs)[where]
+        seen = n > 0  # the others are only asked for
         uses = np.bincount(owner, n, len(contexts)).astype(np.int64)
-        mass = np.bincount(owner, minlength=len(contexts))  # distinct followers
+        mass = np.bincount(owner[seen], minlength=len(contexts))  # distinct followers
         at, told = hot.find(contexts)
-        whole = ~told
-        keys = np.concatenate([pairs, salted(contexts[whole], 31), salted(contexts[whole], 32)])
-        counts = np.concatenate([n, uses[whole], mass[whole]])
+        own = ~told & (uses > 0)
+        keys = np.concatenate([pairs[seen], salted(contexts[own], 31), salted(contexts[own], 32)])
+        bits = build_filter(keys, np.concatenate([n[seen], uses[own], mass[own]]))
+        levels = _probed(bits, pairs, block_bytes)[inverse]
+        about = np.stack([_probed(bits, salted(contexts, s), block_bytes) for s in (31, 32)], axis=1)[of_run]
+        sizes, head_sizes = ([len(v.as_buffer()) // 8 for v in table[name]] for name in ("pairs", "first"))
+        head = lambda x: pa.array([x.astype(np.int64).tobytes()] + [None] * (table.num_rows - 1), pa.binary())
         return pa.table(
             {
-                "bucket": table["bucket"].slice(0, 1), "bits": pa.array([build_filter(keys, counts).tobytes()], pa.binary()),
-                "hot": pa.array([at[told].astype(np.int64).tobytes()], pa.binary()), "followers": pa.array([mass[told].astype(np.int64).tobytes()], pa.binary()),
+                "chunk": table["chunk"], "bucket": table["bucket"], "seen": pa.array([x.tobytes() for x in np.split(levels, np.cumsum(sizes)[:-1])], pa.binary()),
+                "about": pa.array([x.tobytes() for x in np.split(about, np.cumsum(head_sizes)[:-1])], pa.binary()), "hot": head(at[told]), "followers": head(mass[told]),
             }
         )
 
     return run
 
 
-def _score(segments, buckets: int, tokens: int, distinct: int, hot: Frequent):
-    """Base columns and this block's part of the model's log probability."""
-    start_of = {k: np.frombuffer(v, np.uint8) for k, v in segments.value.items()}
+def _score(buckets: int, tokens: int, distinct: int, hot: Frequent):
+    """Base columns and the model's log probability of a chunk's documents."""
     floor = tokens + SMOOTH * (distinct + 1)
 
     def run(table: pa.Table) -> pa.Table:
         chunk = table.filter(pc.is_valid(table["doc_ids"])).to_pylist()[0]
         words, at, sizes, _ = _open(chunk)
+
+        def answers(name: str, kind) -> np.ndarray:  # in the order they were asked for
+            rows = table.filter(pc.is_valid(table[name]))
+            return _joined(rows[name], kind, np.argsort(rows["bucket"].to_numpy()))
+
         counts = np.zeros(len(words), np.int64)
-        members, edges = _by_bucket(_bucket(words, buckets), buckets)
-        for r in table.filter(pc.is_null(table["doc_ids"])).select(["bucket", "counts"]).to_pylist():
-            own = members[edges[r["bucket"]] : edges[r["bucket"] + 1]]
-            counts[own] = np.frombuffer(r["counts"], np.uint32)  # in the order they were asked for
+        counts[_by_bucket(_bucket(words, buckets), buckets)[0]] = answers("counts", np.uint32)
         n = len(sizes)
         row = np.repeat(np.arange(n), sizes)
         log_p = np.log10((counts + SMOOTH) / floor)
         known = np.bincount(row, counts[at] > 0, n).astype(np.int64)
         plain = np.bincount(row, log_p[at], n)
         # the model: distinct (context, word) pairs of the chunk
-        before = np.concatenate([[-1], at[:-1]])
-        before[np.cumsum(sizes) - sizes] = -1
-        pairs, inverse = np.unique((before + 1) * (len(words) + 1) + at, return_inverse=True)
-        first, second = pairs // (len(words) + 1) - 1, pairs % (len(words) + 1)
-        begin = np.where(first < 0, START, words[np.maximum(first, 0)])
-        keys = _pair(begin, words[second])
-        members, edges = _by_bucket(hot.segments(begin, keys, buckets), buckets)
-        logs = np.zeros(len(pairs))
-        for bucket, bits in start_of.items():
-            own = members[edges[bucket] : edges[bucket + 1]]
-            if not len(own):
-                continue
-            context, to = np.unique(begin[own], return_inverse=True)
-            levels = [probe(bits, salted(context, s)) for s in (31, 32)]
-            number, told = hot.find(context)
-            for k, sums in enumerate((hot.uses, hot.followers)):
-                levels[k][told] = level(sums[number[told]])
-            uses, mass = (expected(x)[to] for x in levels)
-            seen = expected(probe(bits, keys[own]))
-            total = np.maximum(uses, mass)
-            direct = np.maximum(seen - DISCOUNT, 0.0)
-            # the discounted rest backs off
-            rest = np.clip(DISCOUNT * mass / np.maximum(total, 1.0), 1e-3, 1.0)
-            backoff = np.where(uses > 0, np.log10(rest), 0.0) + log_p[second[own]]
-            p = np.minimum(np.where(seen > 0, direct, 0.0) / np.maximum(total, 1.0), 1.0) + 10.0**backoff
-            logs[own] = np.log10(np.minimum(p, 1.0))
-        model = np.bincount(row, logs[inverse], n)
+        pairs = _pairs_of(words, at, sizes, buckets, hot)
+        seen, levels = expected(answers("seen", np.uint8).astype(np.int64)), answers("about", np.uint8).reshape(-1, 2).astype(np.int64)
+        number, told = hot.find(pairs.begin[pairs.heads])
+        for k, sums in enumerate((hot.uses, hot.followers)):
+            told_sums = sums[number[told]]
+            levels[told, k] = np.where(told_sums > 0, level(told_sums), 0)
+        uses, mass = expected(levels[:, 0]), expected(levels[:, 1])
+        total = np.maximum(uses, mass)
+        # the discounted rest backs off
+        rest = np.clip(DISCOUNT * mass / np.maximum(total, 1.0), 1e-3, 1.0)
+        to = np.repeat(np.arange(len(pairs.heads)), np.diff(pairs.heads, append=len(pairs.keys)))
+        direct = np.maximum(seen - DISCOUNT, 0.0)
+        backoff = np.where(uses > 0, np.log10(rest), 0.0)[to] + log_p[pairs.second]
+        p = np.minimum(np.where(seen > 0, direct, 0.0) / np.maximum(total, 1.0)[to], 1.0) + 10.0**backoff
+        model = np.bincount(row, np.log10(np.minimum(p, 1.0))[pairs.place], n)
         return pa.table(
             {
                 "chunk": np.full(n, chunk["chunk"]), "nth": np.arange(n, dtype=np.int32), "doc_id": pa.array(chunk["doc_ids"], pa.int64()), "held_out": pa.array(chunk["held"], pa.bool_()), "n_tokens": pa.array(sizes, pa.int64()),
@@ -379,30 +411,13 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, block_bytes: int = BLOC
     tokens, distinct = replies.agg(F.sum("tokens"), F.sum("distinct")).first()
     hot = _frequent(replies, hot_tokens)
     pairs = chunks.mapInArrow(_pair_lists(buckets, hot), _PAIRS)
-    filters = staged(pairs.groupBy("bucket").applyInArrow(_segment(hot), _SEGMENTS), "op1-filter")
-
-    answers = replies.select("chunk", F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("at"), "bucket", "counts")
-    together = chunks.withColumns({"bucket": F.lit(None).cast("int"), "counts": F.lit(None).cast("binary")}).unionByName(answers)
-    sizes, hot.followers = dict.fromkeys(range(buckets), len(_NO_BITS)), np.zeros(len(hot.words), np.int64)
-    for r in filters.select("bucket", F.length("bits").alias("n"), "hot", "followers").collect():  # a row for each segment
-        sizes[r["bucket"]] = r["n"]
+    levels = staged(pairs.groupBy("bucket").applyInArrow(_segment(hot, block_bytes), _LEVELS), "op1-filter")
+    for r in levels.where(F.length("hot") > 0).select("hot", "followers").collect():  # at most two for each hot_tokens tokens
         np.add.at(hot.followers, np.frombuffer(r["hot"], np.int64), np.frombuffer(r["followers"], np.int64))
-    blocks, filled = [[]], 0
-    for bucket, n in sizes.items():
-        if blocks[-1] and filled + n > block_bytes:
-            blocks.append([])
-            filled = 0
-        blocks[-1].append(bucket)
-        filled += n
-    out = None
-    for block in blocks:
-        # at most block_bytes; a segment without training pairs answers no to all
-        segments = spark.sparkContext.broadcast(dict.fromkeys(block, _NO_BITS) | {r["bucket"]: bytes(r["bits"]) for r in filters.where(F.col("bucket").isin(block)).collect()})
-        scored = together.groupBy("chunk").applyInArrow(_score(segments, buckets, int(tokens), int(distinct), hot), _SCORES)
-        out = scored if out is None else out.union(scored)
-    if len(blocks) > 1:
-        out = out.groupBy("chunk", "nth", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens").agg(F.first("base_score").alias("base_score"), F.sum("score").alias("score"))
-    return out.drop("chunk", "nth")
+    together = chunks
+    for answers in (replies.select("chunk", "bucket", "counts"), levels.select("chunk", "bucket", "seen", "about")):
+        together = together.unionByName(answers, allowMissingColumns=True)
+    return together.groupBy("chunk").applyInArrow(_score(buckets, int(tokens), int(distinct), hot), _SCORES).drop("chunk", "nth")
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
